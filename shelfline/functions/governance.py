@@ -100,7 +100,7 @@ class GovernedReader:
         """The two policy functions for this principal, for use in SQL text."""
         visible = "true" if self.is_member(ADMIN_GROUP) else f"ship_country = '{FILTER_COUNTRY}'"
         masked = f"regexp_replace(email, r'{EMAIL_PATTERN}', '{EMAIL_MASK}')"
-        body = email if self.is_member(PII_GROUP) else masked
+        body = "email" if self.is_member(PII_GROUP) else masked
         spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION mask_email(email STRING) RETURNS STRING RETURN {body}")
         spark.sql(
             "CREATE OR REPLACE TEMPORARY FUNCTION filter_by_country(ship_country STRING) "

@@ -9,9 +9,10 @@ from pyspark.sql.types import StructType
 
 from shelfline.sources import tables
 
-# Reader settings per format; sub-folders of a feed belong to the feed.
+# Reader settings per format; sub-folders of a feed belong to the feed. The header of a CSV file
+# must name the columns of the declared schema in their order, or the read fails.
 READ_OPTIONS = {
-    "csv": {"header": "true", "escape": '"', "recursiveFileLookup": "true"},
+    "csv": {"header": "true", "escape": '"', "enforceSchema": "false", "recursiveFileLookup": "true"},
     "json": {"recursiveFileLookup": "true"},
     "parquet": {"recursiveFileLookup": "true"},
 }

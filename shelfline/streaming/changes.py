@@ -9,6 +9,8 @@ base as tombstones: a late, older update cannot bring a deleted key back.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
 from shelfline.plans.silver import newest_change, without_tombstones
@@ -32,6 +34,16 @@ class ChangeTable:
         newest_change(changes).write.mode("overwrite").parquet(path)
         tables.mark(changes.sparkSession, path)
 
+    def writer(self, fold_every: int) -> Callable[[DataFrame, int], None]:
+        """As :meth:`write_batch`, and folds now and then, for a stream that never ends."""
+
+        def write(changes: DataFrame, batch_id: int) -> None:
+            self.write_batch(changes, batch_id)
+            if (batch_id + 1) % fold_every == 0:
+                self.fold()
+
+        return write
+
     def _ready(self, kind: str) -> list[str]:
         """Finished folders of a kind, oldest first."""
         root = f"{self.root}/{kind}"
@@ -65,3 +77,14 @@ class ChangeTable:
     def current(self) -> DataFrame:
         """Current rows, without deleted keys and without change columns."""
         return without_tombstones(self.newest())
+
+    def drop_folded(self, keep: int = 2) -> None:
+        """Delete batches and bases that the newest ``keep`` bases no longer need."""
+        bases = self._ready("base")[-keep:]
+        if not bases:
+            return
+        oldest = _number(bases[0])
+        for kind, limit in (("base", oldest), ("batches", oldest + 1)):
+            for name in tables.folders(self.spark, f"{self.root}/{kind}"):
+                if _number(name) < limit:
+                    tables.remove(self.spark, f"{self.root}/{kind}/{name}")

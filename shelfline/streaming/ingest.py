@@ -5,7 +5,7 @@ Progress is in the stream's checkpoint, so a repeated or restarted run adds noth
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,11 +21,11 @@ def bronze_stream(
     fmt: str,
     schema: StructType,
     provenance: bool = False,
-    max_bytes: str | None = None,
+    max_bytes: int | None = None,
 ) -> DataFrame:
     """New files of a feed as a stream, with the ingestion clock and, if asked, file and file time.
 
-    ``max_bytes`` bounds a micro-batch (for example ``"200g"``), so a large backlog is worked off
+    ``max_bytes`` bounds a micro-batch (given as a number), so a large backlog is worked off
     in pieces that can be retried alone.
     """
     reader = spark.readStream.format(fmt).schema(schema).options(**READ_OPTIONS[fmt])
@@ -76,9 +76,21 @@ def batch_stream(
     return _triggered(writer, every).start()
 
 
-def run(query: StreamingQuery) -> list[dict]:
-    """Wait for a triggered query; returns the progress of its micro-batches."""
-    query.awaitTermination()
-    if query.exception():
-        raise query.exception()
-    return [p if isinstance(p, dict) else p.__dict__ for p in query.recentProgress]
+def wait(queries: Iterable[StreamingQuery]) -> None:
+    """Wait for triggered queries that were started together; a failed one raises its error."""
+    for query in queries:
+        query.awaitTermination()
+
+
+def observed_counts(query: StreamingQuery, dataset: str) -> dict[str, int]:
+    """Sums of what :func:`shelfline.operators.quality.observed` counted in the micro-batches.
+
+    A query keeps its last ``spark.sql.streaming.numRecentProgressUpdates`` reports; counts of a
+    longer history come from a batch run of the metrics over bronze.
+    """
+    counts: dict[str, int] = {}
+    for progress in query.recentProgress:
+        seen = progress.observedMetrics.get(dataset)
+        for name, value in seen.asDict().items() if seen else ():
+            counts[name] = counts.get(name, 0) + value
+    return counts

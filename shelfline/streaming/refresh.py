@@ -8,16 +8,19 @@ until the new generation is complete.
 from __future__ import annotations
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
 
+from shelfline.operators.quality import ORDER_CHECKS, rejects
 from shelfline.plans import gold, silver
 from shelfline.plans.questions import ORDER_MONTH, with_order_month
 from shelfline.sources import tables
 from shelfline.sources.landing import remembered_schema
 from shelfline.streaming.changes import ChangeTable
-from shelfline.streaming.ingest import append_stream, batch_stream, bronze_stream, run, table_stream
+from shelfline.streaming.ingest import append_stream, batch_stream, bronze_stream, table_stream, wait
 
 
 @dataclass(frozen=True)
@@ -37,10 +40,14 @@ FEEDS = (
     Feed("customers", "parquet", "bronze_customers_cdc"),
 )
 
-# The layer of each table, shown by readers of a refreshed store.
+# How many micro-batches of customer changes are kept apart before they are folded into one.
+FOLD_EVERY = 64
+
+# The layer of each table.
 QUALITY = {
     **{feed.table: "bronze" for feed in FEEDS},
     "silver_orders": "silver",
+    "silver_orders_rejects": "silver",
     "silver_products": "silver",
     "silver_clickstream": "silver",
     "silver_customers": "silver",
@@ -88,56 +95,72 @@ def open_store(spark: SparkSession, root: str) -> Store:
     return Store(spark, root, complete[-1])
 
 
-def ingest(store: Store, landing: str, feed: Feed, max_bytes: str | None = None) -> list[dict]:
+def start_bronze(
+    store: Store, landing: str, feed: Feed, max_bytes: int | None = None, every: str | None = None
+) -> StreamingQuery:
     """Append the new files of one feed to its bronze table."""
     source = f"{landing}/{feed.folder}"
     schema = remembered_schema(store.spark, f"{store.path}/schemas/{feed.folder}", source, feed.fmt)
     rows = bronze_stream(store.spark, source, feed.fmt, schema, feed.provenance, max_bytes)
-    return run(append_stream(rows, store.table(feed.table), store.checkpoint(feed.table)))
-
-
-def refresh_silver(store: Store) -> dict[str, list[dict]]:
-    """Silver streams, the change state and the product view."""
-    spark = store.spark
-    orders = silver.silver_orders(table_stream(spark, store.table("bronze_orders")), observe_as="silver_orders")
-    clicks = silver.silver_clickstream(
-        table_stream(spark, store.table("bronze_clickstream")), observe_as="silver_clickstream"
-    )
-    progress = {
-        "silver_orders": run(
-            append_stream(
-                with_order_month(orders),
-                store.table("silver_orders"),
-                store.checkpoint("silver_orders"),
-                partition_by=ORDER_MONTH,
-            )
-        ),
-        "silver_clickstream": run(
-            append_stream(clicks, store.table("silver_clickstream"), store.checkpoint("silver_clickstream"))
-        ),
+    return append_stream(rows, store.table(feed.table), store.checkpoint(feed.table), every=every)
+
+
+def start_silver(store: Store, every: str | None = None) -> dict[str, StreamingQuery]:
+    """The silver streams: checked orders and clicks, the orders that were dropped, customer changes.
+
+    Without ``every`` each takes what its bronze table holds and ends; with it they run on.
+    """
+    orders = table_stream(store.spark, store.table("bronze_orders"))
+    clicks = table_stream(store.spark, store.table("bronze_clickstream"))
+    appended = {
+        "silver_orders": with_order_month(silver.silver_orders(orders, observe_as="silver_orders")),
+        "silver_orders_rejects": rejects(silver.typed_orders(orders), ORDER_CHECKS),
+        "silver_clickstream": silver.silver_clickstream(clicks, observe_as="silver_clickstream"),
+    }
+    started = {
+        name: append_stream(
+            rows,
+            store.table(name),
+            store.checkpoint(name),
+            partition_by=ORDER_MONTH if name == "silver_orders" else None,
+            every=every,
+        )
+        for name, rows in appended.items()
     }
-    state = store.customers()
-    changes = table_stream(spark, store.table("bronze_customers_cdc"))
-    progress["silver_customers"] = run(
-        batch_stream(changes, state.write_batch, store.checkpoint("silver_customers"))
-    )
-    state.fold()
-    tables.write_version(
-        silver.silver_products(spark.read.parquet(store.table("bronze_products"))), store.table("silver_products")
-    )
-    return progress
-
-
-def refresh_gold(store: Store, as_of: dt.date) -> dict[str, DataFrame]:
-    """Recompute the gold views from the silver snapshots."""
-    orders, products = store.read("silver_orders"), store.read("silver_products")
+    changes = table_stream(store.spark, store.table("bronze_customers_cdc"))
+    write_batch = store.customers().writer(fold_every=FOLD_EVERY)
+    started["silver_customers"] = batch_stream(changes, write_batch, store.checkpoint("silver_customers"), every)
+    return started
+
+
+def start_continuous(store: Store, landing: str, every: str) -> list[StreamingQuery]:
+    """Bronze and silver streams of a store that has been refreshed once, running on an interval.
+
+    Views are not streams: call :func:`refresh_views` as often as they should follow.
+    """
+    bronze = [start_bronze(store, landing, feed, every=every) for feed in FEEDS]
+    return bronze + list(start_silver(store, every).values())
+
+
+def refresh_views(store: Store, as_of: dt.date) -> dict[str, DataFrame]:
+    """Recompute the product view and the gold views from the silver snapshots.
+
+    The gold views do not depend on each other, so their jobs are submitted together and share
+    the cluster.
+    """
+    store.customers().fold()
+    products = silver.silver_products(store.read("bronze_products"))
+    products = tables.write_version(products, store.table("silver_products"))
+    orders = store.read("silver_orders")
     views = {
         "gold_revenue_daily": gold.gold_revenue_daily(orders),
         "gold_top_products": gold.gold_top_products(orders, products),
         "gold_cart_abandonment": gold.gold_cart_abandonment(store.read("silver_clickstream")),
         "gold_customer_ltv": gold.gold_customer_ltv(store.read("silver_customers"), orders, as_of),
     }
-    return {name: tables.write_version(view, store.table(name)) for name, view in views.items()}
+    with ThreadPoolExecutor(len(views)) as pool:
+        written = {n: pool.submit(tables.write_version, view, store.table(n)) for n, view in views.items()}
+        return {name: done.result() for name, done in written.items()}
 
 
 def refresh(
@@ -146,7 +169,7 @@ def refresh(
     root: str,
     as_of: dt.date,
     full: bool = False,
-    max_bytes: str | None = None,
+    max_bytes: int | None = None,
 ) -> Store:
     """Bring all tables below ``root`` up to date with the files below ``landing``."""
     known = _generations(spark, root)
@@ -154,9 +177,8 @@ def refresh(
     if full or not known:
         number += 1
     store = Store(spark, root, f"g{number:06d}")
-    for feed in FEEDS:
-        ingest(store, landing, feed, max_bytes)
-    refresh_silver(store)
-    refresh_gold(store, as_of)
+    wait([start_bronze(store, landing, feed, max_bytes) for feed in FEEDS])
+    wait(start_silver(store).values())
+    refresh_views(store, as_of)
     tables.mark(spark, store.path)
     return store
