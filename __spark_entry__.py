@@ -102,6 +102,16 @@ def _from_store(name: str, query: Callable[[DataFrame], DataFrame]) -> Callable[
     return lambda spark, sf_dir: query(_store(spark, sf_dir).read(name))
 
 
+def _sql_tool(sql: str, as_of: dt.date) -> Callable[[SparkSession, str], DataFrame]:
+    """A call of one of the SQL table functions over the stored gold tables."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        tools.register(spark, _warehouse(spark, sf_dir).gold(), as_of)
+        return spark.sql(sql)
+
+    return run
+
+
 def _without(*columns: str) -> Callable[[DataFrame], DataFrame]:
     return lambda df: df.drop(*columns)
 
@@ -253,20 +263,19 @@ def _appended_turns(source: Tables) -> DataFrame:
 def _conversation_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     turns, index = adapters.conversation_turns, conversations.session_index
 
-    def remaining(rows: Callable[[DataFrame], DataFrame]) -> Callable[[Tables], DataFrame]:
-        def query(source: Tables) -> DataFrame:
-            all_turns = turns(source)
-            return conversations.without_sessions(rows(all_turns), _deleted_sessions(all_turns))
+    def without_deleted(source: Tables) -> DataFrame:
+        return conversations.without_messages(turns(source), _deleted_sessions(turns(source)))
 
-        return query
+    def index_without_deleted(source: Tables) -> DataFrame:
+        return conversations.without_sessions(index(turns(source)), _deleted_sessions(turns(source)))
 
     return {
         "session_messages": _from_tables(lambda s: conversations.session_messages(turns(s))),
         "session_index": _from_tables(lambda s: index(turns(s))),
         "session_list": _from_tables(lambda s: conversations.session_list(index(turns(s)))),
         "packed_prompts": _from_tables(lambda s: conversations.packed_prompts(turns(s))),
-        "deleted_sessions": _from_tables(remaining(lambda t: t)),
-        "deleted_sessions_index": _from_tables(remaining(index)),
+        "deleted_sessions": _from_tables(without_deleted),
+        "deleted_sessions_index": _from_tables(index_without_deleted),
         "response_answers": _from_tables(_response_answers),
         "appended_turns": _from_tables(_appended_turns),
     }
@@ -310,6 +319,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "top_n_all": _on(PRODUCTS, query=lambda p: tools.get_top_products(p, 40, "")),
         "abandonment_rate": _on(SESSIONS, query=lambda s: tools.get_abandonment_rate(s, 14, CLICKS_AS_OF)),
         "at_risk_customers": _on(LTV, query=lambda v: tools.get_at_risk_customers(v, 250_000.0, 120)),
+        "sql_revenue_range": _sql_tool(
+            "SELECT * FROM get_revenue_summary(DATE'2000-01-01', DATE'2000-03-31')", AS_OF
+        ),
+        "sql_top_n_category": _sql_tool("SELECT * FROM get_top_products(25, 'ECONOMY')", AS_OF),
+        "sql_abandonment_rate": _sql_tool("SELECT * FROM get_abandonment_rate(14)", CLICKS_AS_OF),
+        "sql_at_risk_customers": _sql_tool("SELECT * FROM get_at_risk_customers(250000.0D, 120)", AS_OF),
         # questions in words
         "revenue_last_week_best_country": _on(DAILY, query=lambda d: questions.last_week_best_country(d, AS_OF)),
         "return_rate_by_country": _on(DAILY, query=questions.return_rate_by_country),
@@ -374,6 +389,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             ("analyst_NATION_3", "admin_NATION_3"),
             ("order_id", "product_id", "total_amount", "ship_country"),
         ),
+        "masked_customers_sample": lambda spark, sf_dir: (
+            _reader(spark, sf_dir, "analyst_NATION_3")
+            .read("silver_customers", _warehouse(spark, sf_dir).table("silver_customers"))
+            .select("customer_id", "first_name", "email", "segment")
+            .orderBy("customer_id")
+            .limit(10)
+        ),
         "principal_orders": _principal_orders,
         # conversations
         **_conversation_queries(),

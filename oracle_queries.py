@@ -445,6 +445,9 @@ def _governed() -> dict[str, str]:
         + f"""SELECT '{people[0]}' AS principal, customer_id, first_name, {masked} AS email, segment
 FROM current_customers
 UNION ALL SELECT '{people[1]}', customer_id, first_name, email, segment FROM current_customers""",
+        "masked_customers_sample": _with(CUSTOMERS)
+        + f"""SELECT customer_id, first_name, {masked} AS email, segment FROM current_customers
+ORDER BY customer_id LIMIT 10""",
         "tag_masked_customers": _with(CUSTOMERS)
         + f"""SELECT '{people[0]}' AS principal, customer_id, first_name[1] || '***' AS first_name,
   last_name[1] || '***' AS last_name, {masked} AS email, country FROM current_customers
@@ -565,7 +568,7 @@ SELECT printf('E%08d', id) AS event_id, printf('C%05d', 1 + {k.below(1, customer
 def all_queries(
     as_of: dt.date, month_day: dt.date, clicks_as_of: dt.date, week: tuple[dt.date, dt.date]
 ) -> dict[str, str]:
-    return {
+    queries = {
         **_layers(as_of),
         **_dq(),
         **_on_daily(as_of, month_day, week),
@@ -576,3 +579,9 @@ def all_queries(
         **_conversations(),
         **_generated(),
     }
+    return queries | {
+        "sql_revenue_range": queries["revenue_range"],
+        "sql_top_n_category": queries["top_n_category"],
+        "sql_abandonment_rate": queries["abandonment_rate"],
+        "sql_at_risk_customers": queries["at_risk_customers"],
+    }

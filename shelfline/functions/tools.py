@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfline.operators import money
+from shelfline.operators.dates import today
 from shelfline.plans.bi import PRODUCT_REPORT, top_products
 
 REVENUE_COLUMNS = ("order_day", "ship_country", "order_count", "total_revenue", "avg_order_value")
@@ -34,12 +35,12 @@ def get_top_products(products: DataFrame, n: int, cat_filter: str | None = "") -
     return top_products(products.filter(wanted), n)
 
 
-def get_abandonment_rate(sessions: DataFrame, days_back: int, as_of: dt.date) -> DataFrame:
+def get_abandonment_rate(sessions: DataFrame, days_back: int, as_of: dt.date | None = None) -> DataFrame:
     """Share of abandoned sessions among all sessions of each day, from ``days_back`` days ago on."""
-    since = as_of - dt.timedelta(days=days_back)
+    since = F.date_sub(today(as_of), days_back)
     abandoned = F.count_if("abandoned")
     return (
-        sessions.filter(F.col("session_start") >= F.lit(since).cast("timestamp"))
+        sessions.filter(F.col("session_start") >= since.cast("timestamp"))
         .groupBy(F.to_date("session_start").alias("day"))
         .agg(
             F.count(F.lit(1)).alias("total_sessions"),

@@ -43,10 +43,13 @@ CLICK_CHECKS = (
 )
 
 
+def _accepted(checks: Sequence[Expectation]) -> Column:
+    return reduce(Column.__and__, [check.holds() for check in checks if check.drop], F.lit(True))
+
+
 def enforce(rows: DataFrame, checks: Sequence[Expectation]) -> DataFrame:
     """Rows that hold every dropping expectation. Works on batches and on streams."""
-    dropping = [check.holds() for check in checks if check.drop]
-    return rows.filter(reduce(Column.__and__, dropping)) if dropping else rows
+    return rows.filter(_accepted(checks))
 
 
 def _passed(checks: Sequence[Expectation]) -> list[Column]:
@@ -80,7 +83,5 @@ def metrics(rows: DataFrame, dataset: str, checks: Sequence[Expectation]) -> Dat
 
 def rejects(rows: DataFrame, checks: Sequence[Expectation]) -> DataFrame:
     """Dropped rows with the names of the expectations they failed, for a side table."""
-    reasons = F.array_compact(
-        F.array(*[F.when(~check.holds(), F.lit(check.name)) for check in checks if check.drop])
-    )
-    return rows.withColumn("reasons", reasons).filter(F.size("reasons") > 0)
+    reasons = [F.when(~check.holds(), F.lit(check.name)) for check in checks if check.drop]
+    return rows.filter(~_accepted(checks)).withColumn("reasons", F.array_compact(F.array(*reasons)))

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfline.operators import money
+from shelfline.operators.dates import in_month_of
 
 
 def revenue_trend(daily: DataFrame) -> DataFrame:
@@ -79,14 +80,7 @@ def bi_counters(daily: DataFrame) -> DataFrame:
     )
 
 
-def in_month_of(day: str, as_of: dt.date) -> Column:
-    """The calendar month of ``as_of`` as a plain range, which the Parquet scan can use."""
-    first = as_of.replace(day=1)
-    following = (first + dt.timedelta(days=32)).replace(day=1)
-    return (F.col(day) >= F.lit(first)) & (F.col(day) < F.lit(following))
-
-
-def month_revenue(daily: DataFrame, as_of: dt.date) -> DataFrame:
+def month_revenue(daily: DataFrame, as_of: dt.date | None = None) -> DataFrame:
     return daily.filter(in_month_of("order_day", as_of)).agg(
         money.rounded_total("total_revenue").alias("current_month_revenue"),
         F.sum("order_count").alias("current_month_orders"),

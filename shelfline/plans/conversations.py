@@ -55,9 +55,28 @@ def session_list(index: DataFrame) -> DataFrame:
     return index.orderBy(F.desc_nulls_last("updated_at"), "conv_id")
 
 
-def without_sessions(rows: DataFrame, deleted: DataFrame) -> DataFrame:
-    """Messages, or index entries, of the sessions that are not on the delete list."""
-    return rows.join(deleted.select("conv_id").distinct(), "conv_id", "left_anti")
+def _part(column: str) -> Column:
+    return F.call_function("div", F.col(column), F.lit(TURNS_PER_PART)).alias("part")
+
+
+def _with_session_values(rows: DataFrame, position: str, values: DataFrame, how: str = "inner") -> DataFrame:
+    """Rows joined with values that are known per session, without moving a session to one task.
+
+    The values first meet the few (conv_id, part) pairs that occur, and then the rows on that pair.
+    """
+    pairs = rows.select("conv_id", _part(position)).distinct().join(values, "conv_id", how)
+    return rows.withColumn("part", _part(position)).join(pairs, ["conv_id", "part"], how)
+
+
+def without_messages(turns: DataFrame, deleted: DataFrame) -> DataFrame:
+    """Messages of the sessions that are not on the delete list."""
+    pairs = turns.select("conv_id", _part("turn")).distinct().join(deleted, "conv_id", "left_semi")
+    return turns.withColumn("part", _part("turn")).join(pairs, ["conv_id", "part"], "left_anti").drop("part")
+
+
+def without_sessions(index: DataFrame, deleted: DataFrame) -> DataFrame:
+    """Index entries, one row per session, of the sessions that are not on the delete list."""
+    return index.join(deleted, "conv_id", "left_anti")
 
 
 def packed_prompts(turns: DataFrame) -> DataFrame:
@@ -68,15 +87,13 @@ def packed_prompts(turns: DataFrame) -> DataFrame:
     the header and the question go are taken per part first, without the texts, and are joined
     back on (conv_id, part), where the gathered texts already lie.
     """
-    part = F.call_function("div", F.col("turn"), F.lit(TURNS_PER_PART)).alias("part")
-    spans = turns.groupBy("conv_id", part).agg(F.max("turn").alias("_last"), F.count(F.lit(1)).alias("_n"))
+    spans = turns.groupBy("conv_id", _part("turn")).agg(F.max("turn").alias("_last"), F.count(F.lit(1)).alias("_n"))
     whole = spans.groupBy("conv_id").agg(
         F.min("part").alias("_first_part"), F.max("_last").alias("_last_turn"), F.sum("_n").alias("_turns")
     )
     layout = spans.select("conv_id", "part").join(whole, "conv_id")
-    gathered = turns.groupBy("conv_id", part).agg(
-        F.sort_array(F.collect_list(F.struct("turn", "role", F.coalesce("content", F.lit("")).alias("content")))).alias("_messages")
-    )
+    message = F.struct("turn", "role", F.coalesce("content", F.lit("")).alias("content"))
+    gathered = turns.groupBy("conv_id", _part("turn")).agg(F.sort_array(F.collect_list(message)).alias("_messages"))
 
     def line(message: Column) -> Column:
         label = F.when(message["role"] == "user", USER_LABEL).otherwise(ASSISTANT_LABEL)
@@ -120,18 +137,9 @@ def append_exchanges(turns: DataFrame, exchanges: DataFrame) -> DataFrame:
     """
     ends = turns.groupBy("conv_id").agg((F.max("turn") + 1).alias("_next"))
     position = F.coalesce("_next", F.lit(0)) + 2 * F.col("number")
-    added = (
-        exchanges.join(ends, "conv_id", "left")
-        .select(
-            "conv_id",
-            F.inline(
-                F.array(
-                    F.struct(position.alias("turn"), F.lit("user").alias("role"), F.col("question").alias("content")),
-                    F.struct(
-                        (position + 1).alias("turn"), F.lit("assistant").alias("role"), F.col("answer").alias("content")
-                    ),
-                )
-            ),
-        )
+    question = F.struct(position.alias("turn"), F.lit("user").alias("role"), F.col("question").alias("content"))
+    answer = F.struct((position + 1).alias("turn"), F.lit("assistant").alias("role"), F.col("answer").alias("content"))
+    added = _with_session_values(exchanges, "number", ends, "left").select(
+        "conv_id", F.inline(F.array(question, answer))
     )
     return turns.select("conv_id", "turn", "role", "content").unionByName(added)

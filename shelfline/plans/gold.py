@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfline.operators import money
+from shelfline.operators.dates import today
 from shelfline.schemas import ORDER_STATUSES
 
 
@@ -72,7 +73,7 @@ def gold_cart_abandonment(clicks: DataFrame) -> DataFrame:
     )
 
 
-def gold_customer_ltv(customers: DataFrame, orders: DataFrame, as_of: dt.date) -> DataFrame:
+def gold_customer_ltv(customers: DataFrame, orders: DataFrame, as_of: dt.date | None = None) -> DataFrame:
     """Value of each customer from completed orders (an order without status counts as well).
 
     A customer without any order stays, with no value; one whose orders are all of another status
@@ -99,6 +100,6 @@ def gold_customer_ltv(customers: DataFrame, orders: DataFrame, as_of: dt.date) -
             "lifetime_value",
             "avg_order_value",
             "last_order_date",
-            F.datediff(F.lit(as_of), F.to_date("last_order_date")).alias("days_since_last_order"),
+            F.datediff(today(as_of), F.to_date("last_order_date")).alias("days_since_last_order"),
         )
     )

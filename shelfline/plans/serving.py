@@ -111,6 +111,15 @@ def kpi_aov(daily: DataFrame) -> DataFrame:
     return kpi_totals(daily).select(value.alias("aov"))
 
 
+# The labels of the figures.
+REVENUE_CARD, ORDERS_CARD, VALUE_CARD, LTV_CARD = (
+    "Total Revenue",
+    "Total Orders",
+    "Avg Order Value",
+    "Avg Customer LTV",
+)
+
+
 def kpi_cards(daily: DataFrame, ltv: DataFrame) -> DataFrame:
     """The four figures as display text."""
     numbers = kpi_totals(daily)
@@ -118,14 +127,14 @@ def kpi_cards(daily: DataFrame, ltv: DataFrame) -> DataFrame:
     orders = numbers.select(
         F.inline(
             F.array(
-                F.struct(F.lit("Total Revenue").alias("label"), as_dollars(F.col("revenue"), 0).alias("value")),
-                F.struct(F.lit("Total Orders").alias("label"), as_count(F.col("orders")).alias("value")),
-                F.struct(F.lit("Avg Order Value").alias("label"), as_dollars(value, 2).alias("value")),
+                F.struct(F.lit(REVENUE_CARD).alias("label"), as_dollars(F.col("revenue"), 0).alias("value")),
+                F.struct(F.lit(ORDERS_CARD).alias("label"), as_count(F.col("orders")).alias("value")),
+                F.struct(F.lit(VALUE_CARD).alias("label"), as_dollars(value, 2).alias("value")),
             )
         )
     )
     customers = kpi_avg_ltv(ltv).select(
-        F.lit("Avg Customer LTV").alias("label"),
+        F.lit(LTV_CARD).alias("label"),
         as_dollars(F.coalesce("avg_ltv", F.lit(0.0)), 2).alias("value"),
     )
     return orders.unionByName(customers)

@@ -1,4 +1,4 @@
-"""Column layouts of the raw feeds (as DDL text) the keys of the published tables, and the fixed value domains."""
+"""Column layouts of the raw feeds (as DDL text), the keys of the published tables, and the fixed value domains."""
 
 from __future__ import annotations
 

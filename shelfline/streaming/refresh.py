@@ -142,7 +142,7 @@ def start_continuous(store: Store, landing: str, every: str) -> list[StreamingQu
     return bronze + list(start_silver(store, every).values())
 
 
-def refresh_views(store: Store, as_of: dt.date) -> dict[str, DataFrame]:
+def refresh_views(store: Store, as_of: dt.date | None = None) -> dict[str, DataFrame]:
     """Recompute the product view and the gold views from the silver snapshots.
 
     The gold views do not depend on each other, so their jobs are submitted together and share
@@ -167,7 +167,7 @@ def refresh(
     spark: SparkSession,
     landing: str,
     root: str,
-    as_of: dt.date,
+    as_of: dt.date | None = None,
     full: bool = False,
     max_bytes: int | None = None,
 ) -> Store:

@@ -169,3 +169,12 @@ def test_prompt_texts_are_shuffled_once(spark, sf_dir, settings):
 def test_session_sort_is_by_ranges_of_session_and_turn(spark, sf_dir):
     plan = plan_of(conversations.session_messages(adapters.conversation_turns(Tables(spark, sf_dir))))
     assert re.search(r"rangepartitioning\(conv_id#\d+L ASC NULLS FIRST, turn#\d+L", plan)
+
+
+def test_messages_of_a_hot_session_are_spread_before_they_are_deleted(spark, sf_dir, settings):
+    settings(spark__sql__autoBroadcastJoinThreshold="-1")
+    turns = adapters.conversation_turns(Tables(spark, sf_dir))
+    plan = plan_of(conversations.without_messages(turns, turns.filter("role = 'system'").select("conv_id")))
+    assert re.search(r"SortMergeJoin \[conv_id#\d+L, part#\d+L\].*LeftAnti", plan)
+    moved = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert re.search(r"hashpartitioning\(conv_id#\d+L, part#\d+L", moved[0])
