@@ -76,7 +76,7 @@ def bi_counters(daily: DataFrame) -> DataFrame:
     return revenue_trend(daily).agg(
         money.total("revenue").alias("total_revenue"),
         F.sum("orders").alias("total_orders"),
-        money.mean("avg_order_value", "decimal(18,8)").alias("avg_order_value"),
+        money.mean("avg_order_value", digits=8).alias("avg_order_value"),
     )
 
 

@@ -45,7 +45,7 @@ def last_week_best_country(daily: DataFrame, as_of: dt.date) -> DataFrame:
     by_country = (
         get_revenue_summary(daily, *week_before(as_of))
         .groupBy("ship_country")
-        .agg(F.sum(F.col("total_revenue").cast(money.AMOUNT)).alias("revenue"))
+        .agg(money.exact_total("total_revenue").alias("revenue"))
     )
     # One row per country is left here; the lowest name wins a tie.
     return by_country.agg(
@@ -144,7 +144,7 @@ def premium_idle(ltv: DataFrame, min_ltv: float = 1000.0, inactive_days: int = 9
 def weekly_category_revenue(orders: DataFrame, products: DataFrame) -> DataFrame:
     """Revenue by week and category; orders are reduced per product and week before the join."""
     week = F.date_trunc("week", "order_date").alias("week_start")
-    sold = orders.groupBy("product_id", week).agg(F.sum(F.col("total_amount").cast(money.AMOUNT)).alias("_revenue"))
+    sold = orders.groupBy("product_id", week).agg(money.exact_total("total_amount").alias("_revenue"))
     return (
         sold.join(products.select("product_id", "category"), "product_id")
         .groupBy("week_start", "category")
@@ -168,9 +168,7 @@ def abandonment_trend(rates: DataFrame) -> DataFrame:
 
 def ltv_heatmap(ltv: DataFrame, countries: list[str]) -> DataFrame:
     """Mean lifetime value, one row per segment and one column per listed country."""
-    value = F.col("lifetime_value").cast(money.AMOUNT)
-    cells = ltv.groupBy("segment").pivot("country", countries).agg(F.avg(value))
-    return cells.select("segment", *[F.round(F.col(f"`{c}`"), 2).cast("double").alias(c) for c in countries])
+    return ltv.groupBy("segment").pivot("country", countries).agg(money.rounded_mean("lifetime_value"))
 
 
 def flagged_top_products(products: DataFrame, category: str, n: int = 5, above_pct: float = 15.0) -> DataFrame:
@@ -187,7 +185,7 @@ def category_revenue_and_abandonment(
     A session counts for a category when one of its cart events names a product of it. Orders are
     reduced per product, and cart events per session and product, before they meet the products.
     """
-    revenue = orders.groupBy("product_id").agg(F.sum(F.col("total_amount").cast(money.AMOUNT)).alias("_revenue"))
+    revenue = orders.groupBy("product_id").agg(money.exact_total("total_amount").alias("_revenue"))
     categories = products.select("product_id", "category")
     earned = (
         revenue.join(categories, "product_id")
