@@ -22,6 +22,7 @@ from shelfline.schemas import PUBLISHED_KEYS  # noqa: E402
 from shelfline.session import shared_dir  # noqa: E402
 from shelfline.sources import adapters, tables  # noqa: E402
 from shelfline.sources.adapters import Tables, bronze  # noqa: E402
+from shelfline.streaming.ingest import CORRUPT  # noqa: E402
 from shelfline.streaming.refresh import Store  # noqa: E402
 from shelfline.warehouse import Warehouse  # noqa: E402
 
@@ -116,7 +117,7 @@ def _without(*columns: str) -> Callable[[DataFrame], DataFrame]:
     return lambda df: df.drop(*columns)
 
 
-CLOCKS = ("_ingestion_ts", questions.ORDER_MONTH)
+CLOCKS = ("_ingestion_ts", questions.ORDER_MONTH, CORRUPT)
 DAILY, PRODUCTS, SESSIONS, LTV = (
     "gold_revenue_daily",
     "gold_top_products",

@@ -10,10 +10,12 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from shelfline.sources.landing import READ_OPTIONS
 
+CORRUPT = "_corrupt_record"
+
 
 def bronze_stream(
     spark: SparkSession,
@@ -25,10 +27,15 @@ def bronze_stream(
 ) -> DataFrame:
     """New files of a feed as a stream, with the ingestion clock and, if asked, file and file time.
 
-    ``max_bytes`` bounds a micro-batch (given as a number), so a large backlog is worked off
-    in pieces that can be retried alone.
+    A CSV or JSON record that does not fit the schema keeps its raw text in ``_corrupt_record``.
+    ``max_bytes`` bounds a micro-batch, so a large backlog is worked off in pieces that can be
+    retried alone.
     """
+    if fmt != "parquet":
+        schema = StructType([*schema.fields, StructField(CORRUPT, StringType())])
     reader = spark.readStream.format(fmt).schema(schema).options(**READ_OPTIONS[fmt])
+    if fmt != "parquet":
+        reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
     if max_bytes:
         reader = reader.option("maxBytesPerTrigger", max_bytes)
     files = reader.load(path)

@@ -13,7 +13,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
+from shelfline import schemas
 from shelfline.operators.quality import ORDER_CHECKS, rejects
 from shelfline.plans import gold, silver
 from shelfline.plans.questions import ORDER_MONTH, with_order_month
@@ -25,19 +27,20 @@ from shelfline.streaming.ingest import append_stream, batch_stream, bronze_strea
 
 @dataclass(frozen=True)
 class Feed:
-    """A landing folder and the bronze table it fills."""
+    """A landing folder, the bronze table it fills, and its schema where none is inferred."""
 
     folder: str
     fmt: str
     table: str
+    declared: str
     provenance: bool = False
 
 
 FEEDS = (
-    Feed("orders", "csv", "bronze_orders", provenance=True),
-    Feed("products", "json", "bronze_products"),
-    Feed("clickstream", "json", "bronze_clickstream"),
-    Feed("customers", "parquet", "bronze_customers_cdc"),
+    Feed("orders", "csv", "bronze_orders", schemas.ORDERS, provenance=True),
+    Feed("products", "json", "bronze_products", schemas.PRODUCTS),
+    Feed("clickstream", "json", "bronze_clickstream", schemas.CLICKS),
+    Feed("customers", "parquet", "bronze_customers_cdc", schemas.CUSTOMER_CHANGES),
 )
 
 # How many micro-batches of customer changes are kept apart before they are folded into one.
@@ -96,11 +99,19 @@ def open_store(spark: SparkSession, root: str) -> Store:
 
 
 def start_bronze(
-    store: Store, landing: str, feed: Feed, max_bytes: int | None = None, every: str | None = None
+    store: Store,
+    landing: str,
+    feed: Feed,
+    max_bytes: int | None = None,
+    every: str | None = None,
+    infer: bool = True,
 ) -> StreamingQuery:
     """Append the new files of one feed to its bronze table."""
     source = f"{landing}/{feed.folder}"
-    schema = remembered_schema(store.spark, f"{store.path}/schemas/{feed.folder}", source, feed.fmt)
+    if infer:
+        schema = remembered_schema(store.spark, f"{store.path}/schemas/{feed.folder}", source, feed.fmt)
+    else:
+        schema = StructType.fromDDL(feed.declared)
     rows = bronze_stream(store.spark, source, feed.fmt, schema, feed.provenance, max_bytes)
     return append_stream(rows, store.table(feed.table), store.checkpoint(feed.table), every=every)
 
@@ -170,14 +181,19 @@ def refresh(
     as_of: dt.date | None = None,
     full: bool = False,
     max_bytes: int | None = None,
+    infer: bool = True,
 ) -> Store:
-    """Bring all tables below ``root`` up to date with the files below ``landing``."""
+    """Bring all tables below ``root`` up to date with the files below ``landing``.
+
+    The first run of a generation infers the schemas, which reads the text feeds once more;
+    ``infer=False`` takes the declared ones instead.
+    """
     known = _generations(spark, root)
     number = int(known[-1][1:]) if known else 0
     if full or not known:
         number += 1
     store = Store(spark, root, f"g{number:06d}")
-    wait([start_bronze(store, landing, feed, max_bytes) for feed in FEEDS])
+    wait([start_bronze(store, landing, feed, max_bytes, infer=infer) for feed in FEEDS])
     wait(start_silver(store).values())
     refresh_views(store, as_of)
     tables.mark(spark, store.path)

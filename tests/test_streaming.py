@@ -5,6 +5,7 @@ import random
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from shelfline.plans import silver
 from shelfline.sources import generate as gen
@@ -34,7 +35,7 @@ def land(rows, folder, number, orders):
     landing.write_parquet(rows["customers"], f"{folder}/customers/batch{number}")
 
 
-def same(left, right, drop=("_ingestion_ts", "order_month")):
+def same(left, right, drop=("_ingestion_ts", "order_month", "_corrupt_record")):
     left, right = left.drop(*drop), right.drop(*drop).select(*left.drop(*drop).columns)
     return left.exceptAll(right).isEmpty() and right.exceptAll(left).isEmpty()
 
@@ -57,7 +58,7 @@ def test_bronze_is_what_was_landed(spark, one_delivery):
     assert same(
         bronze.withColumn("order_date", F.date_format("order_date", "yyyy-MM-dd HH:mm:ss")),
         rows["orders"],
-        drop=("_ingestion_ts", "_source_file", "_source_ts"),
+        drop=("_ingestion_ts", "_source_file", "_source_ts", "_corrupt_record"),
     )
     assert same(store.read("bronze_clickstream"), rows["clicks"])
     assert same(store.read("bronze_customers_cdc"), rows["customers"])
@@ -156,6 +157,35 @@ def test_csv_with_columns_in_another_order_is_refused(spark, scratch):
         ingest.wait([ingest.append_stream(rows, f"{scratch}/out", f"{scratch}/checkpoint")])
 
 
+def test_records_that_do_not_fit_keep_their_text(spark, scratch):
+    spark.createDataFrame([("id,amount\n1,2.5\n2,oops\n3,4.5,extra",)], "t string").coalesce(1).write.text(f"{scratch}/csv")
+    spark.createDataFrame([('{"id": 1}',), ('{"id": "x"}',), ("{broken",)], "t string").write.text(f"{scratch}/json")
+    schema = StructType.fromDDL("id int, amount double")
+    for fmt, bad in (("csv", {"2,oops", "3,4.5,extra"}), ("json", {'{"id": "x"}', "{broken"})):
+        rows = ingest.bronze_stream(spark, f"{scratch}/{fmt}", fmt, schema)
+        ingest.wait([ingest.append_stream(rows, f"{scratch}/{fmt}-out", f"{scratch}/{fmt}-checkpoint")])
+        stored = spark.read.parquet(f"{scratch}/{fmt}-out")
+        assert stored.count() == 3
+        assert {r[0] for r in stored.filter("_corrupt_record IS NOT NULL").select("_corrupt_record").collect()} == bad
+
+
+def test_declared_schemas_give_the_same_tables(spark, one_delivery, scratch):
+    folder, _, whole = one_delivery
+    store = refresh.refresh(spark, folder, scratch, TODAY, infer=False)
+    assert dict(store.read("bronze_orders").dtypes)["order_date"] == "string"
+    for name in ("silver_orders", "silver_clickstream", "silver_products", "silver_customers", "gold_customer_ltv"):
+        assert same(store.read(name), whole.read(name)), name
+
+
+def test_not_a_number_is_dropped_by_the_amount_check(spark, scratch):
+    feed = gen.orders(gen.ids(spark, 3), 3, END)
+    amounts = F.when(F.col("order_id") == "O0000002", float("nan")).when(F.col("order_id") == "O0000003", float("inf"))
+    rows = feed.withColumn("total_amount", F.coalesce(amounts, "total_amount")).withColumn(
+        "_ingestion_ts", F.current_timestamp()
+    )
+    assert [r.order_id for r in silver.silver_orders(rows).collect()] == ["O0000001"]
+
+
 def test_continuous_streams_pick_up_new_files(spark, scratch):
     rows = feeds(spark)
     folder, root = f"{scratch}/landing", f"{scratch}/store"
