@@ -1,10 +1,10 @@
-"""The given tables as landing files, and sample feeds of the given tables' sizes."""
+"""Landing files: the seeded sample feeds, and the given tables; sample feeds of the tables' sizes."""
 
 from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfline.schemas import TIME_FORMAT
@@ -16,6 +16,33 @@ from shelfline.warehouse import Warehouse
 SAMPLE_END = dt.datetime(2025, 1, 1)
 
 
+def land_sample_feeds(
+    spark: SparkSession,
+    folder: str,
+    customers: int = generate.CUSTOMERS,
+    products: int = generate.PRODUCTS,
+    orders: int = generate.ORDERS,
+    clicks: int = generate.CLICKS,
+    sessions: int = generate.SESSIONS,
+    end: dt.datetime | None = None,
+    seed: int = 42,
+) -> None:
+    """Make the four sample feeds and land them, the orders in two batches by order id.
+
+    Times run over the year up to ``end``, by default up to now.
+    """
+    end = end or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None, microsecond=0)
+    order_ids = generate.ids(spark, orders)
+    batches = landing.split_arrivals(order_ids, F.col("id"), orders // 2)
+    for number, ids in enumerate(batches, start=1):
+        rows = generate.orders(ids, orders, end, customers, products, seed)
+        landing.write_csv(rows, f"{folder}/orders/batch{number}")
+    landing.write_parquet(generate.customers(generate.ids(spark, customers), seed), f"{folder}/customers")
+    landing.write_json(generate.products(generate.ids(spark, products), seed), f"{folder}/products")
+    events = generate.clicks(generate.ids(spark, clicks), clicks, end, customers, products, sessions, seed)
+    landing.write_json(events, f"{folder}/clickstream")
+
+
 def _as_text(df: DataFrame, column: str) -> DataFrame:
     return df.withColumn(column, F.date_format(column, TIME_FORMAT))
 

@@ -16,7 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from shelfline import schemas
-from shelfline.operators.quality import ORDER_CHECKS, rejects
+from shelfline.operators.quality import CLICK_CHECKS, ORDER_CHECKS, rejects
 from shelfline.plans import gold, silver
 from shelfline.plans.questions import ORDER_MONTH, with_order_month
 from shelfline.sources import tables
@@ -53,6 +53,7 @@ QUALITY = {
     "silver_orders_rejects": "silver",
     "silver_products": "silver",
     "silver_clickstream": "silver",
+    "silver_clickstream_rejects": "silver",
     "silver_customers": "silver",
     "gold_revenue_daily": "gold",
     "gold_top_products": "gold",
@@ -86,6 +87,13 @@ class Store:
         return self.spark.read.parquet(self.table(name))
 
 
+    def create_views(self) -> list[str]:
+        """Temporary views with the tables' names, for queries written in SQL."""
+        for name in QUALITY:
+            self.read(name).createOrReplaceTempView(name)
+        return list(QUALITY)
+
+
 def _generations(spark: SparkSession, root: str) -> list[str]:
     return [g for g in tables.folders(spark, root) if g.startswith("g")]
 
@@ -117,7 +125,7 @@ def start_bronze(
 
 
 def start_silver(store: Store, every: str | None = None) -> dict[str, StreamingQuery]:
-    """The silver streams: checked orders and clicks, the orders that were dropped, customer changes.
+    """The silver streams: checked orders and clicks, the rows that were dropped, customer changes.
 
     Without ``every`` each takes what its bronze table holds and ends; with it they run on.
     """
@@ -127,6 +135,7 @@ def start_silver(store: Store, every: str | None = None) -> dict[str, StreamingQ
         "silver_orders": with_order_month(silver.silver_orders(orders, observe_as="silver_orders")),
         "silver_orders_rejects": rejects(silver.typed_orders(orders), ORDER_CHECKS),
         "silver_clickstream": silver.silver_clickstream(clicks, observe_as="silver_clickstream"),
+        "silver_clickstream_rejects": rejects(silver.typed_clicks(clicks), CLICK_CHECKS),
     }
     started = {
         name: append_stream(

@@ -57,6 +57,12 @@ class Warehouse:
                 self._stored[name] = tables.write_version(self.define(name), f"{self.root}/{name}", partition)
             return self._stored[name]
 
+    def drop(self) -> None:
+        """Delete the stored tables."""
+        with self._lock:
+            self._stored.clear()
+            tables.remove(self.source.spark, self.root)
+
     def gold(self) -> dict[str, DataFrame]:
         return {
             name: self.table(name)

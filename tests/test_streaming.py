@@ -7,7 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from shelfline.plans import silver
+from shelfline import samples
+from shelfline.plans import bi, silver
 from shelfline.sources import generate as gen
 from shelfline.sources import landing, tables
 from shelfline.streaming import ingest, refresh
@@ -109,6 +110,25 @@ def test_full_refresh_makes_a_new_generation_beside_the_old(spark, scratch):
     assert refresh.open_store(spark, root).path == second.path
 
 
+def test_sample_feeds_and_sql_over_the_store(spark, scratch):
+    samples.land_sample_feeds(spark, f"{scratch}/in", 50, 20, 600, 900, 100, END)
+    store = refresh.refresh(spark, f"{scratch}/in", f"{scratch}/out", TODAY)
+    assert spark.read.csv(f"{scratch}/in/orders/batch1", header=True).count() == 300
+    assert "gold_customer_ltv" in store.create_views()
+    totals = spark.sql("SELECT sum(order_count) n, sum(total_revenue) r FROM gold_revenue_daily").head()
+    orders = spark.sql("SELECT count(*) n, sum(total_amount) r FROM silver_orders").head()
+    assert totals.n == orders.n == 600 and totals.r == pytest.approx(orders.r)
+    trend = spark.sql(
+        "WITH w AS (SELECT date_trunc('week', order_day) week, sum(total_revenue) r FROM gold_revenue_daily GROUP BY 1) "
+        "SELECT week, r, lag(r) OVER (ORDER BY week) before FROM w ORDER BY week DESC LIMIT 8"
+    )
+    assert [round(r.r, 2) for r in trend.collect()] == [
+        r.weekly_revenue for r in bi.wow_revenue(store.read("gold_revenue_daily")).collect()
+    ]
+    assert store.read("silver_customers").count() == 50
+    assert store.read("gold_cart_abandonment").agg(F.sum("event_count")).head()[0] == 900
+
+
 def test_open_store_before_any_refresh(spark, scratch):
     with pytest.raises(FileNotFoundError):
         refresh.open_store(spark, scratch)
@@ -135,6 +155,7 @@ def test_observed_counts_and_rejects(spark, scratch):
 def test_rejected_rows_are_kept_by_the_refresh(spark, one_delivery):
     _, _, store = one_delivery
     assert store.read("silver_orders_rejects").count() == 0
+    assert store.read("silver_clickstream_rejects").count() == 0
 
 
 def test_schema_is_inferred_once(spark, scratch):
