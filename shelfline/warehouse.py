@@ -9,6 +9,7 @@ from __future__ import annotations
 import datetime as dt
 import threading
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 
@@ -18,6 +19,9 @@ from shelfline.plans.questions import ORDER_MONTH, with_order_month
 from shelfline.sources import adapters, tables
 from shelfline.sources.adapters import Tables, bronze
 
+SILVER = ("silver_orders", "silver_products", "silver_clickstream", "silver_customers")
+GOLD = ("gold_revenue_daily", "gold_top_products", "gold_cart_abandonment", "gold_customer_ltv")
+
 
 class Warehouse:
     def __init__(self, source: Tables, root: str, as_of: dt.date):
@@ -25,7 +29,7 @@ class Warehouse:
         self.root = root
         self.as_of = as_of
         self._stored: dict[str, DataFrame] = {}
-        self._lock = threading.RLock()
+        self._locks = {name: threading.Lock() for name in (*SILVER, *GOLD)}
 
     def define(self, name: str) -> DataFrame:
         """The query that makes a table, over the stored tables it is made from."""
@@ -51,7 +55,7 @@ class Warehouse:
 
     def table(self, name: str) -> DataFrame:
         """The stored table, written on first use."""
-        with self._lock:
+        with self._locks[name]:
             if name not in self._stored:
                 partition = ORDER_MONTH if name == "silver_orders" else None
                 self._stored[name] = tables.write_version(self.define(name), f"{self.root}/{name}", partition)
@@ -59,12 +63,10 @@ class Warehouse:
 
     def drop(self) -> None:
         """Delete the stored tables."""
-        with self._lock:
-            self._stored.clear()
-            tables.remove(self.source.spark, self.root)
+        self._stored.clear()
+        tables.remove(self.source.spark, self.root)
 
     def gold(self) -> dict[str, DataFrame]:
-        return {
-            name: self.table(name)
-            for name in ("gold_revenue_daily", "gold_top_products", "gold_cart_abandonment", "gold_customer_ltv")
-        }
+        """All gold tables; those that are not stored yet are written side by side."""
+        with ThreadPoolExecutor(len(GOLD)) as pool:
+            return dict(zip(GOLD, pool.map(self.table, GOLD)))
