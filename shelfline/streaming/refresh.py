@@ -202,7 +202,8 @@ def refresh(
     if full or not known:
         number += 1
     store = Store(spark, root, f"g{number:06d}")
-    wait([start_bronze(store, landing, feed, max_bytes, infer=infer) for feed in FEEDS])
+    with ThreadPoolExecutor(len(FEEDS)) as pool:
+        wait(list(pool.map(lambda feed: start_bronze(store, landing, feed, max_bytes, infer=infer), FEEDS)))
     wait(start_silver(store).values())
     refresh_views(store, as_of)
     tables.mark(spark, store.path)

@@ -35,6 +35,12 @@ def test_top_products(spark, gold, category):
     assert sorted(got) == sorted(want) and len(got) == (0 if category == "no such" else 7)
 
 
+def test_many_top_products(spark, gold):
+    want = tools.get_top_products(gold["gold_top_products"], 1500, "").collect()
+    got = spark.sql("SELECT * FROM get_top_products(1500, '')").collect()
+    assert sorted(got) == sorted(want) and len(got) == 1500
+
+
 def test_top_products_without_category(spark, gold):
     assert spark.sql("SELECT * FROM get_top_products(5, NULL)").count() == 5
 
