@@ -64,17 +64,20 @@ def silver_clickstream(bronze: DataFrame, observe_as: str | None = None) -> Data
 
 def silver_products(bronze: DataFrame) -> DataFrame:
     """Newest delivery of each product, with its margin in percent of the price."""
-    price, cost = F.col("price"), F.col("cost")
-    return newest_per_key(bronze, ["product_id"], [F.col("_ingestion_ts")]).select(
-        "product_id",
-        F.col("name").alias("product_name"),
-        "category",
-        "brand",
-        _typed("price", "double"),
-        _typed("cost", "double"),
-        F.round((price - cost) / F.nullif(price, F.lit(0)) * 100, 2).alias("margin_pct"),
-        _typed("stock_qty", "int"),
-        _typed("rating", "double"),
+    margin = (F.col("price") - F.col("cost")) / F.nullif("price", F.lit(0)) * 100
+    return (
+        newest_per_key(bronze, ["product_id"], [F.col("_ingestion_ts")])
+        .select(
+            "product_id",
+            F.col("name").alias("product_name"),
+            "category",
+            "brand",
+            _typed("price", "double"),
+            _typed("cost", "double"),
+            _typed("stock_qty", "int"),
+            _typed("rating", "double"),
+        )
+        .withColumn("margin_pct", F.round(margin, 2))
     )
 
 

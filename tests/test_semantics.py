@@ -275,3 +275,14 @@ def test_unreadable_values_become_null_and_are_then_dropped(spark):
 def test_last_week_is_the_calendar_week_before():
     assert questions.week_before(dt.date(2024, 3, 15)) == (dt.date(2024, 3, 4), dt.date(2024, 3, 10))
     assert questions.week_before(dt.date(2024, 3, 11)) == (dt.date(2024, 3, 4), dt.date(2024, 3, 10))
+
+
+def test_prices_that_came_as_text_have_a_margin(spark):
+    bronze = spark.createDataFrame(
+        [("P1", "n", "c", "b", "10", "7.5", "3", "4.5", 1), ("P2", "n", "c", "b", "free", "1", "x", "", 1)],
+        "product_id string, name string, category string, brand string, price string, cost string, "
+        "stock_qty string, rating string, at int",
+    ).withColumn("_ingestion_ts", F.timestamp_seconds("at"))
+    got = {r.product_id: r for r in silver.silver_products(bronze.drop("at")).collect()}
+    assert (got["P1"].margin_pct, got["P1"].stock_qty, got["P1"].rating) == (25.0, 3, 4.5)
+    assert (got["P2"].price, got["P2"].margin_pct, got["P2"].stock_qty) == (None, None, None)
