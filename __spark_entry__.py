@@ -8,7 +8,7 @@ import sys
 import threading
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -188,6 +188,17 @@ def _as_principals(table: str, policy: str, principals: tuple[str, ...], columns
     return run
 
 
+def _sql_policy(table: str, principal: str, sql: str) -> Callable[[SparkSession, str], DataFrame]:
+    """A query that calls the SQL policy functions as one principal."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        _warehouse(spark, sf_dir).table(table).createOrReplaceTempView(table)
+        _reader(spark, sf_dir, principal).register(spark, country="NATION_7")
+        return spark.sql(sql)
+
+    return run
+
+
 def _principal_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders of the nations of one region, by a (principal, country) table."""
     source = Tables(spark, sf_dir)
@@ -223,7 +234,7 @@ def _response_log(turns: DataFrame) -> DataFrame:
     """
     content = F.col("content")
 
-    def message(kind: str, text) -> F:
+    def message(kind: str, text: Column) -> Column:
         return F.struct(F.lit(kind).alias("type"), text.alias("content"))
 
     spoken = F.to_json(F.struct(F.array(message("human", F.lit("?")), message("ai", content)).alias("messages")))
@@ -397,6 +408,17 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             .orderBy("customer_id")
             .limit(10)
         ),
+        "sql_masked_customers": _sql_policy(
+            "silver_customers",
+            "analyst_NATION_3",
+            "SELECT customer_id, first_name, mask_email(email) AS email, segment FROM silver_customers",
+        ),
+        "sql_filtered_orders": _sql_policy(
+            "silver_orders",
+            "analyst_NATION_3",
+            "SELECT order_id, product_id, total_amount, ship_country FROM silver_orders "
+            "WHERE filter_by_country(ship_country)",
+        ),
         "principal_orders": _principal_orders,
         # conversations
         **_conversation_queries(),

@@ -225,7 +225,8 @@ def _layers(as_of: dt.date) -> dict[str, str]:
         + """SELECT printf('P%04d', p_partkey) AS product_id, p_name AS name, p_type AS category, p_brand AS brand,
   price, cost, p_partkey * 37 % 501 AS stock_qty, 3 + CAST(p_partkey % 21 AS DOUBLE) / 10 AS rating
 FROM products_raw""",
-        "ingested_clickstream": _with(CLICKS) + f"SELECT {CLICK_FIELDS}, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts FROM clicks_feed",
+        "ingested_clickstream": _with(CLICKS)
+        + f"SELECT {CLICK_FIELDS}, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts FROM clicks_feed",
         "ingested_customer_changes": _with(CUSTOMERS) + "SELECT * FROM customer_changes",
     }
 
@@ -456,6 +457,10 @@ UNION ALL SELECT '{people[1]}', customer_id, first_name, last_name, email, count
         + """SELECT 'analyst_NATION_3' AS principal, order_id, product_id, total_amount, ship_country
 FROM silver_orders WHERE ship_country = 'NATION_7'
 UNION ALL SELECT 'admin_NATION_3', order_id, product_id, total_amount, ship_country FROM silver_orders""",
+        "sql_masked_customers": _with(CUSTOMERS)
+        + f"SELECT customer_id, first_name, {masked} AS email, segment FROM current_customers",
+        "sql_filtered_orders": _with(ORDERS)
+        + "SELECT order_id, product_id, total_amount, ship_country FROM silver_orders WHERE ship_country = 'NATION_7'",
         "principal_orders": _with(ORDERS)
         + """SELECT * FROM silver_orders WHERE ship_country IN (
   SELECT n_name FROM nation JOIN region ON n_regionkey = r_regionkey WHERE r_name = 'ASIA')""",

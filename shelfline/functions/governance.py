@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfline.functions.scalars import EMAIL_MASK, EMAIL_PATTERN, mask_email, mask_name
@@ -96,9 +96,9 @@ class GovernedReader:
                 table = mask_tagged(table)
         return table
 
-    def register(self, spark) -> None:
+    def register(self, spark: SparkSession, country: str = FILTER_COUNTRY) -> None:
         """The two policy functions for this principal, for use in SQL text."""
-        visible = "true" if self.is_member(ADMIN_GROUP) else f"ship_country = '{FILTER_COUNTRY}'"
+        visible = "true" if self.is_member(ADMIN_GROUP) else f"ship_country = '{country}'"
         masked = f"regexp_replace(email, r'{EMAIL_PATTERN}', '{EMAIL_MASK}')"
         body = "email" if self.is_member(PII_GROUP) else masked
         spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION mask_email(email STRING) RETURNS STRING RETURN {body}")

@@ -86,7 +86,6 @@ class Store:
             return tables.read_latest(self.spark, self.table(name))
         return self.spark.read.parquet(self.table(name))
 
-
     def create_views(self) -> list[str]:
         """Temporary views with the tables' names, for queries written in SQL."""
         for name in QUALITY:
