@@ -11,7 +11,8 @@ import datetime as dt
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
@@ -70,7 +71,8 @@ class Store:
         self.path = f"{root}/{generation}"
 
     def table(self, name: str) -> str:
-        return f"{self.path}/{QUALITY[name]}/{name}"
+        layer = QUALITY[name.removesuffix("_progress")]
+        return f"{self.path}/{layer}/{name}"
 
     def checkpoint(self, name: str) -> str:
         return f"{self.path}/checkpoints/{name}"
@@ -161,8 +163,56 @@ def start_continuous(store: Store, landing: str, every: str) -> list[StreamingQu
     return bronze + list(start_silver(store, every).values())
 
 
+def _in_months(column: Column, months: list[dt.date | None]) -> Column:
+    known = [month for month in months if month is not None]
+    found = column.isin(known) if known else F.lit(False)
+    return found | column.isNull() if None in months else found
+
+
+def _rows_by_month(orders: DataFrame) -> DataFrame:
+    """Row counts of the stored months, which the scan takes from the files' footers."""
+    return orders.groupBy(ORDER_MONTH).agg(F.count(F.lit(1)).alias("rows"))
+
+
+def changed_months(store: Store, orders: DataFrame) -> list[dt.date | None] | None:
+    """Months that have grown since the daily revenue was last computed; None before that.
+
+    Orders are only ever appended, so a month has changed when its row count has. One value per
+    calendar month comes back.
+    """
+    progress = store.table("gold_revenue_daily_progress")
+    if not tables.versions(store.spark, progress):
+        return None
+    grown = _rows_by_month(orders).subtract(tables.read_latest(store.spark, progress))
+    return [row[0] for row in grown.select(ORDER_MONTH).collect()]
+
+
+def refresh_daily_revenue(store: Store, orders: DataFrame) -> DataFrame:
+    """Daily revenue, computed again for the months that new orders fall in and kept for the others.
+
+    The progress is stored after the view, so a run that dies in between computes a month twice
+    and never misses one.
+    """
+    path = store.table("gold_revenue_daily")
+    months = changed_months(store, orders)
+    if months == []:
+        return tables.read_latest(store.spark, path)
+    if months is None:
+        view = gold.gold_revenue_daily(orders)
+    else:
+        again = F.coalesce(_in_months(F.trunc("order_day", "month"), months), F.lit(False))
+        kept = tables.read_latest(store.spark, path).filter(~again)
+        view = kept.unionByName(gold.gold_revenue_daily(orders.filter(_in_months(F.col(ORDER_MONTH), months))))
+    stored = tables.write_version(view, path)
+    tables.write_version(_rows_by_month(orders), store.table("gold_revenue_daily_progress"))
+    return stored
+
+
 def refresh_views(store: Store, as_of: dt.date | None = None) -> dict[str, DataFrame]:
-    """Recompute the product view and the gold views from the silver snapshots.
+    """Refresh the product view and the gold views from the silver snapshots.
+
+    Daily revenue is computed again for the months that changed. The other views hold distinct
+    counts over all time, which cannot be carried on exactly, and are computed as a whole.
 
     The gold views do not depend on each other, so their jobs are submitted together and share
     the cluster.
@@ -172,13 +222,13 @@ def refresh_views(store: Store, as_of: dt.date | None = None) -> dict[str, DataF
     products = tables.write_version(products, store.table("silver_products"))
     orders = store.read("silver_orders")
     views = {
-        "gold_revenue_daily": gold.gold_revenue_daily(orders),
         "gold_top_products": gold.gold_top_products(orders, products),
         "gold_cart_abandonment": gold.gold_cart_abandonment(store.read("silver_clickstream")),
         "gold_customer_ltv": gold.gold_customer_ltv(store.read("silver_customers"), orders, as_of),
     }
-    with ThreadPoolExecutor(len(views)) as pool:
+    with ThreadPoolExecutor(len(views) + 1) as pool:
         written = {n: pool.submit(tables.write_version, view, store.table(n)) for n, view in views.items()}
+        written["gold_revenue_daily"] = pool.submit(refresh_daily_revenue, store, orders)
         return {name: done.result() for name, done in written.items()}
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from shelfline import samples
-from shelfline.plans import bi, silver
+from shelfline.plans import bi, gold, silver
 from shelfline.sources import generate as gen
 from shelfline.sources import landing, tables
 from shelfline.streaming import ingest, refresh
@@ -97,6 +97,41 @@ def test_deliveries_in_pieces_give_the_same_tables(spark, one_delivery, scratch)
         assert same(store.read(name), whole.read(name)), name
 
 
+def test_daily_revenue_is_refreshed_for_the_months_that_changed(spark, scratch, monkeypatch):
+    rows = feeds(spark)
+    folder, root = f"{scratch}/landing", f"{scratch}/store"
+    may = F.col("order_date").like("2024-05%")
+    late_may = may & F.col("ship_country").isin("US")
+    land(rows, folder, 1, rows["orders"].filter(~late_may))
+    refresh.refresh(spark, folder, root, TODAY)
+    computed = []
+    whole = gold.gold_revenue_daily
+    monkeypatch.setattr(
+        refresh.gold,
+        "gold_revenue_daily",
+        lambda orders: computed.append({r[0] for r in orders.select("order_month").distinct().collect()}) or whole(orders),
+    )
+    store = refresh.open_store(spark, root)
+    assert refresh.changed_months(store, store.read("silver_orders")) == []
+    refresh.refresh(spark, folder, root, TODAY)
+    assert computed == []  # nothing new, nothing computed
+    undated = rows["orders"].limit(3).withColumn("order_id", F.concat("order_id", F.lit("x")))
+    late = rows["orders"].filter(late_may).unionByName(undated.withColumn("order_date", F.lit("no date")))
+    landing.write_csv(late, f"{folder}/orders/batch2")
+    store = refresh.refresh(spark, folder, root, TODAY)
+    assert computed == [{dt.date(2024, 5, 1), None}]
+    assert same(store.read("gold_revenue_daily"), whole(store.read("silver_orders")))
+    assert store.read("gold_revenue_daily").filter("order_day IS NULL").agg(F.sum("order_count")).head()[0] == 3
+    # More undated rows change the undated group only.
+    landing.write_csv(
+        undated.withColumn("order_id", F.concat("order_id", F.lit("y"))).withColumn("order_date", F.lit("none")),
+        f"{folder}/orders/batch3",
+    )
+    store = refresh.refresh(spark, folder, root, TODAY)
+    assert computed[1:] == [{None}]
+    assert same(store.read("gold_revenue_daily"), whole(store.read("silver_orders")))
+
+
 def test_full_refresh_makes_a_new_generation_beside_the_old(spark, scratch):
     rows = feeds(spark)
     folder, root = f"{scratch}/landing", f"{scratch}/store"
