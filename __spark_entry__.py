@@ -26,6 +26,18 @@ from shelfline.streaming.ingest import CORRUPT  # noqa: E402
 from shelfline.streaming.refresh import Store  # noqa: E402
 from shelfline.warehouse import Warehouse  # noqa: E402
 
+try:  # the pipeline operators stand or fall with their own subpackage
+    from shelfline.llm import oracles as llm_oracles  # noqa: E402
+    from shelfline.llm import queries as llm_queries  # noqa: E402
+except ModuleNotFoundError as missing:
+    if missing.name not in ("shelfline.llm", "shelfline.llm.queries", "shelfline.llm.oracles", "corpus_pipeline"):
+        raise
+    LLM_QUERIES, LLM_ORACLES = {}, {}
+except ImportError:  # an emptied folder is a package without the modules
+    LLM_QUERIES, LLM_ORACLES = {}, {}
+else:
+    LLM_QUERIES, LLM_ORACLES = llm_queries.QUERIES, llm_oracles.ORACLES
+
 # The tables end on 2001-08-01 (orders) and 2024-01-30 (events); "today" is pinned beside that.
 AS_OF = dt.date(2001, 8, 1)
 MONTH_DAY = dt.date(2001, 7, 15)
@@ -440,14 +452,17 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "generated_products": _from_tables(samples.generated_products),
         "generated_orders": _from_tables(samples.generated_orders),
         "generated_clicks": _from_tables(samples.generated_clicks),
+        # operators for training text
+        **LLM_QUERIES,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     """The same queries in SQL over the given tables."""
-    return oracle_queries.all_queries(
+    own = oracle_queries.all_queries(
         as_of=AS_OF, month_day=MONTH_DAY, clicks_as_of=CLICKS_AS_OF, week=questions.week_before(AS_OF)
     )
+    return {**own, **LLM_ORACLES}
 
 
 def entry(spark: SparkSession) -> DataFrame:
