@@ -10,8 +10,10 @@ Two texts of Jaccard similarity 0.85 miss each other in all 16 orders with proba
 and 5e-4 at the deep one; at 0.9, 1e-9 and 3e-6. Within regions nothing is left out:
 
 1. Every member is compared with its region's pivot. Confirmed links give first components.
-2. Where a member is in another component than the pivot, it is compared with every member of its region
-   that is still in another component. In regions of copies there is none; the pairs grow with the members that differ.
+2. Members in another component than the pivot are compared with other pivots, drawn anew in each of some turns: in a
+   group of copies that resemble only some of each other, each turn joins most of what was apart.
+3. Members that are still apart are compared with every member of their regions that is in another component.
+   Turns only spare pairs that the components already answer; what is left after them is compared whole.
 
 Links are confirmed on the full shingle sets, as 64-bit hashes of the five words.
 
@@ -156,25 +158,82 @@ def _regions(classes: DataFrame, crowded: int) -> DataFrame:
     return named(wide.filter(F.col("size") <= crowded), "shallow").unionByName(named(narrow, "deep"))
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Those pairs (a, b) of classes whose sets are similar enough."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("code")).distinct()
+def _class_sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(code, n, shingles) of the classes in ``wanted`` (code)."""
     ids = classes.join(wanted, "code", "left_semi").select("doc_id").distinct()
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(ids, "doc_id", "left_semi")
     # An id may name several versions, and a version may stand there twice.
-    sets = stored(_sets(texts).join(wanted, "code", "left_semi").dropDuplicates(["code"]), "shingle-sets")
+    return _sets(texts).join(wanted, "code", "left_semi").dropDuplicates(["code"])
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Those pairs (a, b) of classes whose sets are similar enough."""
     left = sets.select(F.col("code").alias("a"), F.col("n").alias("n_a"), F.col("shingles").alias("s_a"))
     right = sets.select(F.col("code").alias("b"), F.col("n").alias("n_b"), F.col("shingles").alias("s_b"))
     common = F.size(F.array_intersect("s_a", "s_b")).alias("common")
-    return (
-        pairs.join(left, "a")
-        .join(right, "b")
-        .select("a", "b", common, (F.col("n_a") + F.col("n_b")).alias("both"))
-        .filter(100 * F.col("common") >= percent * (F.col("both") - F.col("common")))
-        .select("a", "b")
+    compared = pairs.join(left, "a").join(right, "b").select("a", "b", common, (F.col("n_a") + F.col("n_b")).alias("both"))
+    return compared.filter(_enough(F.col("common"), F.col("both"), percent)).select("a", "b")
+
+
+def _merged(parts: DataFrame, links: DataFrame) -> DataFrame:
+    """The components ``parts`` (node, component) with more links."""
+    for side in ("a", "b"):
+        at = parts.select(F.col("node").alias(side), F.col("component").alias("_at"))
+        links = links.join(at, side, "left").withColumn(side, F.coalesce("_at", side)).drop("_at")
+    links = stored(links.filter("a <> b").distinct(), "merges")
+    if not links.head(1):
+        return parts
+    tops = components(links).select(F.col("node").alias("component"), F.col("component").alias("top"))
+    moved = parts.join(tops, "component", "left").select("node", F.coalesce("top", "component").alias("component"))
+    # Classes that had no link before are roots of their own.
+    fresh = tops.join(parts.select(F.col("node").alias("component")), "component", "left_anti")
+    fresh = fresh.select(F.col("component").alias("node"), F.col("top").alias("component"))
+    return stored(moved.unionByName(fresh), "merged")
+
+
+def _placed(regions: DataFrame, parts: DataFrame) -> DataFrame:
+    """The members of the regions with their components."""
+    own = parts.select(F.col("node").alias("code"), F.col("component").alias("own"))
+    return regions.join(own, "code", "left").select("region", "code", "n", F.coalesce("own", "code").alias("own"))
+
+
+def _far_from_pivot(placed: DataFrame, turn: int) -> DataFrame:
+    """Members in another component than their region's pivot of this turn: (region, size, code, n, own, pivot, pivot_n)."""
+    drawn = F.min(F.struct(F.xxhash64("code", "region", F.lit(turn)).alias("_"), "code", "n", "own")).alias("pivot")
+    pivots = placed.groupBy("region").agg(F.count("*").alias("size"), drawn)
+    return placed.join(pivots, "region").filter(F.col("own") != F.col("pivot.own")).select(
+        "region", "size", "code", "n", "own", F.col("pivot.code").alias("pivot"), F.col("pivot.n").alias("pivot_n")
     )
 
 
+def _enough(common: Column, both: Column, percent: int) -> Column:
+    return 100 * common >= percent * (both - common)
+
+
+def _across(placed: DataFrame, odd: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links of each odd member with members of its regions that are in another component.
+
+    The exact test stands in the join's condition, so pairs that fail it are never written. Two members may
+    share regions of several trees: only the first of these, by the regions' own order, tests the pair.
+    """
+    all_of = placed.join(odd.select("region").distinct(), "region", "left_semi")
+    lists = all_of.groupBy("code").agg(F.sort_array(F.collect_set("region")).alias("all"))  # at most one per tree
+    members = all_of.join(lists, "code").join(sets.select("code", "shingles"), "code")
+    left = members.join(odd.select("region", "code"), ["region", "code"], "left_semi").select(
+        F.col("region").alias("same"),
+        F.col("code").alias("c"),
+        F.col("n").alias("m"),
+        F.col("own").alias("at"),
+        F.col("all").alias("every"),
+        F.col("shingles").alias("other"),
+    )
+    first = F.array_min(F.array_intersect("all", "every")) == F.col("region")
+    apart = (F.col("own") != F.col("at")) & _similar("n", "m", percent) & first
+    linked = _enough(F.size(F.array_intersect("shingles", "other")), F.col("n") + F.col("m"), percent)
+    found = members.join(left, (F.col("region") == F.col("same")) & apart & linked)
+    return found.select(*_ordered("code", "c")).distinct()
+
+
 def _versions(usable: DataFrame) -> DataFrame:
     """Links between the classes of one id."""
     seen = usable.select("doc_id", "code").distinct()
@@ -182,7 +241,7 @@ def _versions(usable: DataFrame) -> DataFrame:
     return seen.join(least, "doc_id").filter("code <> a").select("a", F.col("code").alias("b"))
 
 
-def near_duplicates(docs: DataFrame, *, percent: int = 85, crowded: int = 24) -> DataFrame:
+def near_duplicates(docs: DataFrame, *, percent: int = 85, crowded: int = 24, turns: int = 2) -> DataFrame:
     """A row per document: ``n_shingles``, ``component_id`` and ``kept``."""
     sketches = stored(_sketches(docs), "sketches")
     usable = sketches.filter((F.col("n") > 0) & F.col("doc_id").isNotNull())
@@ -199,38 +258,22 @@ def near_duplicates(docs: DataFrame, *, percent: int = 85, crowded: int = 24) ->
         .distinct(),
         "pairs",
     )
-    links = _confirmed(pairs, docs, classes, percent).unionByName(_versions(usable))
-    parts = stored(components(links), "parts")
-
-    # Members whose pivot is in another component meet all of the region that is elsewhere than they.
-    own = parts.select(F.col("node").alias("code"), F.col("component").alias("own"))
-    pivots = parts.select(F.col("node").alias("pivot"), F.col("component").alias("theirs"))
-    placed = stored(
-        regions.join(own, "code", "left")
-        .join(pivots, "pivot", "left")
-        .select("region", "code", "n", F.coalesce("own", "code").alias("own"), F.coalesce("theirs", "pivot").alias("theirs")),
-        "placed",
-    )
-    odd = placed.filter("own <> theirs").select("region", F.col("code").alias("c"), F.col("n").alias("m"), F.col("own").alias("at"))
-    more = stored(
-        placed.join(odd, "region")
-        .filter((F.col("own") != F.col("at")) & _similar("n", "m", percent))
-        .select(*_ordered("code", "c"))
-        .distinct()
-        .join(pairs, ["a", "b"], "left_anti"),
-        "more-pairs",
-    )
-    found = parts.select("node", "component")
-    if more.head(1):
-        late = _confirmed(more, docs, classes, percent)
-        for side in ("a", "b"):
-            at = parts.select(F.col("node").alias(side), F.col("component").alias(f"{side}_at"))
-            late = late.join(at, side, "left").withColumn(side, F.coalesce(f"{side}_at", side)).drop(f"{side}_at")
-        merged = components(late).select(F.col("node").alias("component"), F.col("component").alias("top"))
-        within = classes.select(F.col("code").alias("node")).join(parts, "node", "left")
-        within = within.withColumn("component", F.coalesce("component", "node"))
-        found = within.join(merged, "component", "left").select("node", F.coalesce("top", "component").alias("component"))
-        found = stored(found, "merged-parts")
+    sets = stored(_class_sets(docs, classes, regions.select("code").distinct()), "shingle-sets")
+    links = _confirmed(pairs, sets, percent).unionByName(_versions(usable))
+    found = stored(components(links), "parts")
+    members = regions.select("region", "code", "n")
+    for turn in range(turns + 1):
+        placed = stored(_placed(members, found), "placed")
+        odd = stored(_far_from_pivot(placed, turn), "odd")
+        left, rows = odd.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0], placed.count()
+        if not left:
+            break
+        last = turn == turns or left <= 2 * rows
+        if last:
+            found = _merged(found, _across(placed, odd, sets, percent))
+            break
+        close = odd.filter(_similar("n", "pivot_n", percent)).select(*_ordered("code", "pivot")).distinct()
+        found = _merged(found, _confirmed(stored(close, "more-pairs"), sets, percent))
 
     of_class = classes.select("code", "doc_id").join(found.withColumnRenamed("node", "code"), "code", "left")
     of_class = of_class.withColumn("component", F.coalesce("component", "code"))
