@@ -66,6 +66,12 @@ def country_filter(country: str = FILTER_COUNTRY) -> Column:
     return F.col("ship_country") == country
 
 
+def sql_text(value: str) -> str:
+    """A value as a SQL string, whatever quotes and backslashes it holds."""
+    escaped = value.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
 class GovernedReader:
     """Reads tables as one principal.
 
@@ -98,7 +104,7 @@ class GovernedReader:
 
     def register(self, spark: SparkSession, country: str = FILTER_COUNTRY) -> None:
         """The two policy functions for this principal, for use in SQL text."""
-        visible = "true" if self.is_member(ADMIN_GROUP) else f"ship_country = '{country}'"
+        visible = "true" if self.is_member(ADMIN_GROUP) else f"ship_country = {sql_text(country)}"
         masked = f"regexp_replace(email, r'{EMAIL_PATTERN}', '{EMAIL_MASK}')"
         body = "email" if self.is_member(PII_GROUP) else masked
         spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION mask_email(email STRING) RETURNS STRING RETURN {body}")

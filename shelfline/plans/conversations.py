@@ -55,8 +55,9 @@ def session_list(index: DataFrame) -> DataFrame:
     return index.orderBy(F.desc_nulls_last("updated_at"), "conv_id")
 
 
-def _part(column: str) -> Column:
-    return F.call_function("div", F.col(column), F.lit(TURNS_PER_PART)).alias("part")
+def _part(column: str, size: int = TURNS_PER_PART) -> Column:
+    """The part of a position; rows without one share part -1."""
+    return F.coalesce(F.call_function("div", F.col(column), F.lit(size)), F.lit(-1)).cast("long").alias("part")
 
 
 def _with_session_values(rows: DataFrame, position: str, values: DataFrame, how: str = "inner") -> DataFrame:
@@ -69,9 +70,11 @@ def _with_session_values(rows: DataFrame, position: str, values: DataFrame, how:
 
 
 def without_messages(turns: DataFrame, deleted: DataFrame) -> DataFrame:
-    """Messages of the sessions that are not on the delete list."""
-    pairs = turns.select("conv_id", _part("turn")).distinct().join(deleted, "conv_id", "left_semi")
-    return turns.withColumn("part", _part("turn")).join(pairs, ["conv_id", "part"], "left_anti").drop("part")
+    """Messages of the sessions that are not on the delete list.
+
+    One join on the session, so a message without a turn goes as well; adaptive execution splits a hot session.
+    """
+    return turns.join(deleted.select("conv_id"), "conv_id", "left_anti")
 
 
 def without_sessions(index: DataFrame, deleted: DataFrame) -> DataFrame:
@@ -79,21 +82,21 @@ def without_sessions(index: DataFrame, deleted: DataFrame) -> DataFrame:
     return index.join(deleted, "conv_id", "left_anti")
 
 
-def packed_prompts(turns: DataFrame) -> DataFrame:
+def packed_prompts(turns: DataFrame, turns_per_part: int = TURNS_PER_PART) -> DataFrame:
     """The whole session as one prompt: its history, then its last message as the question.
 
-    (conv_id, part, prompt): a session has one row per 256 turns, nearly always a single one; its
+    (conv_id, part, prompt): a session has one row per ``turns_per_part`` turns, nearly always a single one; its
     prompt is the rows in order of ``part``, joined by line breaks. The counts that decide where
     the header and the question go are taken per part first, without the texts, and are joined
     back on (conv_id, part), where the gathered texts already lie.
     """
-    spans = turns.groupBy("conv_id", _part("turn")).agg(F.max("turn").alias("_last"), F.count(F.lit(1)).alias("_n"))
+    spans = turns.groupBy("conv_id", _part("turn", turns_per_part)).agg(F.max("turn").alias("_last"), F.count(F.lit(1)).alias("_n"))
     whole = spans.groupBy("conv_id").agg(
         F.min("part").alias("_first_part"), F.max("_last").alias("_last_turn"), F.sum("_n").alias("_turns")
     )
     layout = spans.select("conv_id", "part").join(whole, "conv_id")
     message = F.struct("turn", "role", F.coalesce("content", F.lit("")).alias("content"))
-    gathered = turns.groupBy("conv_id", _part("turn")).agg(F.sort_array(F.collect_list(message)).alias("_messages"))
+    gathered = turns.groupBy("conv_id", _part("turn", turns_per_part)).agg(F.sort_array(F.collect_list(message)).alias("_messages"))
 
     def line(message: Column) -> Column:
         label = F.when(message["role"] == "user", USER_LABEL).otherwise(ASSISTANT_LABEL)

@@ -54,14 +54,14 @@ def write_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str],
 
 
 def publish_status(name: str, source: DataFrame, copy: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows and key checksum of the source and of its copy, and whether they agree.
+    """Rows and checksum of the source and of its copy, and whether they agree.
 
-    The checksum adds key hashes, so it does not depend on the order of the rows and both sides
+    The checksum adds hashes of whole rows, so a copy with another value fails too; it does not depend on the order of the rows and both sides
     are read once, without a join.
     """
 
     def hashed(df: DataFrame, is_source: bool) -> DataFrame:
-        return df.select(F.lit(is_source).alias("_source"), F.xxhash64(*keys).cast("decimal(20,0)").alias("_hash"))
+        return df.select(F.lit(is_source).alias("_source"), F.xxhash64(*source.columns).cast("decimal(20,0)").alias("_hash"))
 
     source_side = F.col("_source")
     same = (F.col("source_rows") == F.col("copy_rows")) & (F.col("source_checksum") == F.col("copy_checksum"))

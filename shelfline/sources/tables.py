@@ -90,8 +90,12 @@ def read_latest(spark: SparkSession, root: str) -> DataFrame:
 
 
 def drop_old_versions(spark: SparkSession, root: str, keep: int = 2) -> list[str]:
-    """Delete finished versions but the newest ``keep``; returns what was deleted."""
-    old = versions(spark, root)[:-keep] if keep > 0 else []
+    """Delete finished versions but the newest ``keep``, and what failed before the newest; returns what was deleted."""
+    finished = versions(spark, root)
+    if keep <= 0 or not finished:
+        return []
+    failed = [p for p in (f"{root}/{v}" for v in folders(spark, root)) if p not in finished and p < finished[-1]]
+    old = sorted([*finished[:-keep], *failed])
     for path in old:
         remove(spark, path)
     return old

@@ -15,6 +15,8 @@ from pyspark.sql.types import StringType, StructField, StructType
 from shelfline.sources.landing import READ_OPTIONS
 
 CORRUPT = "_corrupt_record"
+# A file is read whatever its date. The stream's log of files it has seen keeps one line for each of them.
+ANY_AGE = {"maxFileAge": "36500d"}
 
 
 def bronze_stream(
@@ -33,7 +35,7 @@ def bronze_stream(
     """
     if fmt != "parquet":
         schema = StructType([*schema.fields, StructField(CORRUPT, StringType())])
-    reader = spark.readStream.format(fmt).schema(schema).options(**READ_OPTIONS[fmt])
+    reader = spark.readStream.format(fmt).schema(schema).options(**READ_OPTIONS[fmt], **ANY_AGE)
     if fmt != "parquet":
         reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
     if max_bytes:
@@ -51,7 +53,7 @@ def bronze_stream(
 
 def table_stream(spark: SparkSession, path: str) -> DataFrame:
     """Rows appended to a stored table, as a stream."""
-    return spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
+    return spark.readStream.schema(spark.read.parquet(path).schema).options(**ANY_AGE).parquet(path)
 
 
 def _triggered(writer, every: str | None):
@@ -84,9 +86,15 @@ def batch_stream(
 
 
 def wait(queries: Iterable[StreamingQuery]) -> None:
-    """Wait for triggered queries that were started together; a failed one raises its error."""
-    for query in queries:
-        query.awaitTermination()
+    """Wait for triggered queries that were started together; where one fails the others are stopped."""
+    queries = list(queries)
+    try:
+        for query in queries:
+            query.awaitTermination()
+    finally:
+        for query in queries:
+            if query.isActive:
+                query.stop()
 
 
 def observed_counts(query: StreamingQuery, dataset: str) -> dict[str, int]:
