@@ -9,25 +9,31 @@ import datetime as dt
 
 
 def _dec(x: str) -> str:
-    return f"CAST({x} AS DECIMAL(18,4))"
+    """The printed digits of a double as a decimal."""
+    return f"CAST(CAST({x} AS VARCHAR) AS DECIMAL(38,8))"
+
+
+def _double(decimal: str) -> str:
+    """The double next to a decimal of any length."""
+    return f"CAST(CAST({decimal} AS VARCHAR) AS DOUBLE)"
 
 
 def _sum(x: str, digits: int | None = None) -> str:
     total = f"SUM({_dec(x)})"
-    return f"CAST({total if digits is None else f'ROUND({total}, {digits})'} AS DOUBLE)"
+    return _double(total if digits is None else f"ROUND({total}, {digits})")
 
 
 def _avg(x: str, digits: int) -> str:
     """Mean rounded half away from zero, in whole numbers."""
-    s, n, unit = f"CAST(SUM({_dec(x)}) * 10000 AS HUGEINT)", f"COUNT({x})", 10 ** (4 - digits)
+    s, n, unit = f"CAST(SUM({_dec(x)}) * 100000000 AS HUGEINT)", f"COUNT({x})", 10 ** (8 - digits)
     return (
         f"CASE WHEN {n} > 0 THEN SIGN({s}) * CAST((2 * ABS({s}) + {unit} * {n}) // ({2 * unit} * {n}) AS DOUBLE)"
         f" / {10 ** digits} END"
     )
 
 
-def _mean(x: str, kind: str = "DECIMAL(18,4)") -> str:
-    return f"CAST(SUM(CAST({x} AS {kind})) AS DOUBLE) / COUNT({x})"
+def _mean(x: str) -> str:
+    return f"{_sum(x)} / COUNT({x})"
 
 
 def _round(x: str, digits: int) -> str:
@@ -252,7 +258,7 @@ totals AS (
   CAST(SUM(order_count) AS BIGINT) AS total_orders FROM gold_revenue_daily GROUP BY 1""",
         "bi_counters": _with(*base, trend)
         + f"""SELECT {_sum('revenue')} AS total_revenue, CAST(SUM(orders) AS BIGINT) AS total_orders,
-  {_mean('avg_order_value', 'DECIMAL(18,8)')} AS avg_order_value FROM trend""",
+  {_mean('avg_order_value')} AS avg_order_value FROM trend""",
         "month_revenue": _with(*base)
         + f"""SELECT {_sum('total_revenue', 2)} AS current_month_revenue,
   CAST(SUM(order_count) AS BIGINT) AS current_month_orders FROM gold_revenue_daily
@@ -280,9 +286,9 @@ by_country AS (
   SELECT ship_country, SUM({_dec('total_revenue')}) AS revenue FROM gold_revenue_daily
   WHERE order_day BETWEEN DATE '{week[0]}' AND DATE '{week[1]}' GROUP BY 1)""",
         )
-        + """SELECT CAST(SUM(revenue) AS DOUBLE) AS week_revenue,
+        + """SELECT CAST(CAST(SUM(revenue) AS VARCHAR) AS DOUBLE) AS week_revenue,
   (SELECT ship_country FROM by_country ORDER BY revenue DESC, ship_country LIMIT 1) AS best_country,
-  CAST(MAX(revenue) AS DOUBLE) AS best_country_revenue FROM by_country""",
+  CAST(CAST(MAX(revenue) AS VARCHAR) AS DOUBLE) AS best_country_revenue FROM by_country""",
         "return_rate_by_country": _with(*base)
         + f"""SELECT ship_country, CAST(SUM(returns) AS BIGINT) AS returns, CAST(SUM(order_count) AS BIGINT) AS orders,
   {_pct('SUM(returns)', 'SUM(order_count)', 2)} AS return_rate_pct FROM gold_revenue_daily GROUP BY 1""",
@@ -420,7 +426,7 @@ WHERE lifetime_value >= 250000 AND days_since_last_order >= 120 AND is_active {b
 WHERE segment = 'Premium' AND lifetime_value IS NOT NULL {best} 10""",
         "premium_idle": base
         + f"""SELECT {risk} FROM gold_customer_ltv WHERE segment = 'Premium' AND lifetime_value >= 1000
-  AND days_since_last_order >= 90 AND is_active {best} 100""",
+  AND days_since_last_order >= 90 AND is_active""",
         "ltv_heatmap": base + f"SELECT segment, {cells} FROM gold_customer_ltv GROUP BY 1",
         "kpi_avg_ltv": base
         + f"SELECT {_avg('lifetime_value', 2)} AS avg_ltv FROM gold_customer_ltv WHERE lifetime_value > 0",

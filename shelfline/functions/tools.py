@@ -52,15 +52,13 @@ def get_abandonment_rate(sessions: DataFrame, days_back: int, as_of: dt.date | N
     )
 
 
-def get_at_risk_customers(ltv: DataFrame, min_ltv: float, inactive_days: int) -> DataFrame:
-    """Active customers of at least this value who have not ordered for this long, best 100 first."""
+def get_at_risk_customers(
+    ltv: DataFrame, min_ltv: float, inactive_days: int, limit: int | None = RISK_LIMIT
+) -> DataFrame:
+    """Active customers of at least this value who have not ordered for this long, best first; None means all."""
     lapsed = (F.col("lifetime_value") >= min_ltv) & (F.col("days_since_last_order") >= inactive_days)
-    return (
-        ltv.filter(lapsed & F.col("is_active"))
-        .orderBy(F.desc("lifetime_value"), "customer_id")
-        .limit(RISK_LIMIT)
-        .select(*RISK_COLUMNS)
-    )
+    ordered = ltv.filter(lapsed & F.col("is_active")).orderBy(F.desc("lifetime_value"), "customer_id")
+    return (ordered if limit is None else ordered.limit(limit)).select(*RISK_COLUMNS)
 
 
 def _table_function(spark: SparkSession, name: str, arguments: str, source: DataFrame, columns, body: str) -> None:

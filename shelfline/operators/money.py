@@ -1,40 +1,35 @@
 """Exact sums and means of money and percent columns.
 
 The tables hold DOUBLE amounts. Adding doubles gives a last digit that depends on the order of the
-rows, so a rounded total could change between two runs of one job. Amounts are therefore counted in
-ten-thousandths, as whole numbers, and turned back once per group. The whole numbers are added in
-two parts, of which neither can overflow below 2^43 rows; that is several times faster than adding
-decimals, and partial sums still combine on the map side.
+rows, so a rounded total could change between two runs of one job. Amounts are therefore added as
+decimals, taken from the printed digits of the double, with eight digits after the point. Partial sums
+still combine on the map side.
 
-An amount must lie below 9 * 10^14 (for four digits); a larger one fails the query and is not cut.
+Silver keeps amounts below ``LIMIT`` only. A total may have 30 digits before the point, which is room for
+10^12 amounts of that size; beyond it the query fails and nothing is cut.
 """
 
 from __future__ import annotations
 
-from decimal import Decimal
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-DIGITS = 4
-LOW_BITS = 20
+MONEY = "decimal(38,8)"
+LIMIT = 1e18
 
 
 def _column(amount: str | Column) -> Column:
     return F.col(amount) if isinstance(amount, str) else amount
 
 
-def finite(number: Column) -> Column:
-    """The number, or NULL where it is infinite or not a number."""
-    return F.when(F.abs(number) < float("inf"), number)
+def addable(number: Column) -> Column:
+    """The number, or NULL where it is not a number, infinite or too large to be added."""
+    return F.when(F.abs(number) < LIMIT, number)
 
 
-def exact_total(amount: str | Column, digits: int = DIGITS) -> Column:
+def exact_total(amount: str | Column) -> Column:
     """Sum of a money column as a decimal."""
-    units = F.rint(_column(amount) * 10**digits).cast("bigint")
-    high = F.sum(F.shiftright(units, LOW_BITS)).cast("decimal(20,0)")
-    low = F.sum(units.bitwiseAND(F.lit(2**LOW_BITS - 1))).cast("decimal(20,0)")
-    return (high * F.lit(Decimal(2**LOW_BITS)) + low) * F.lit(Decimal(1).scaleb(-digits))
+    return F.sum(_column(amount).cast(MONEY))
 
 
 def total(amount: str | Column) -> Column:
@@ -49,13 +44,16 @@ def _count(amount: str | Column) -> Column:
     return F.nullif(F.count(_column(amount)), F.lit(0))
 
 
-def mean(amount: str | Column, digits: int = DIGITS) -> Column:
-    """Unrounded mean of amounts that are exact to ``digits``: the exact sum divided once."""
-    return exact_total(amount, digits).cast("double") / _count(amount)
+def mean(amount: str | Column) -> Column:
+    """Unrounded mean: the exact sum divided once."""
+    return total(amount) / _count(amount)
 
 
 def rounded_mean(amount: str | Column, digits: int = 2) -> Column:
-    return F.round(exact_total(amount) / _count(amount), digits).cast("double")
+    """Mean rounded once. A quotient keeps the digits that its whole part leaves: twelve, or eight from 10^26 on."""
+    whole, rows = exact_total(amount), _count(amount)
+    usual = F.round(whole.try_cast("decimal(34,8)") / rows, digits).cast("double")
+    return F.coalesce(usual, F.round(whole / rows, digits).cast("double"))
 
 
 def percent(part: Column, whole: Column, digits: int) -> Column:

@@ -76,7 +76,7 @@ def bi_counters(daily: DataFrame) -> DataFrame:
     return revenue_trend(daily).agg(
         money.total("revenue").alias("total_revenue"),
         F.sum("orders").alias("total_orders"),
-        money.mean("avg_order_value", digits=8).alias("avg_order_value"),
+        money.mean("avg_order_value").alias("avg_order_value"),
     )
 
 
@@ -130,6 +130,6 @@ def moving_average(daily: DataFrame, days: int = 7) -> DataFrame:
     return (
         daily.groupBy("order_day")
         .agg(money.total("total_revenue").alias("revenue"))
-        .withColumn("moving_avg", F.round(F.avg(F.col("revenue").cast("decimal(18,4)")).over(span), 2).cast("double"))
+        .withColumn("moving_avg", F.round(F.avg(F.col("revenue").cast(money.MONEY)).over(span), 2).cast("double"))
         .orderBy("order_day")
     )

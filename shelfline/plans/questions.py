@@ -137,8 +137,8 @@ def top_products_of_month(orders: DataFrame, products: DataFrame, as_of: dt.date
 
 
 def premium_idle(ltv: DataFrame, min_ltv: float = 1000.0, inactive_days: int = 90) -> DataFrame:
-    """Valuable Premium customers who stopped ordering."""
-    return get_at_risk_customers(ltv.filter(F.col("segment") == "Premium"), min_ltv, inactive_days)
+    """All valuable Premium customers who stopped ordering."""
+    return get_at_risk_customers(ltv.filter(F.col("segment") == "Premium"), min_ltv, inactive_days, limit=None)
 
 
 def weekly_category_revenue(orders: DataFrame, products: DataFrame) -> DataFrame:

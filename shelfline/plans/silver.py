@@ -9,15 +9,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfline.operators.money import finite
+from shelfline.operators.money import addable
 from shelfline.operators.newest import newest_per_key
 from shelfline.operators.quality import CLICK_CHECKS, ORDER_CHECKS, enforce, observed
 
 
 def _typed(name: str, kind: str) -> Column:
-    """Cast that turns what cannot be read, or is no finite number, into NULL, which the checks see."""
+    """Cast that turns what cannot be read, or is no number that can be added, into NULL, which the checks see."""
     value = F.col(name).try_cast(kind)
-    return (finite(value) if kind == "double" else value).alias(name)
+    return (addable(value) if kind == "double" else value).alias(name)
 
 
 def typed_orders(bronze: DataFrame) -> DataFrame:

@@ -77,8 +77,9 @@ def deliver_and_refresh(warehouse: Warehouse, landing_dir: str, root: str, as_of
 
 
 def described_orders(bronze: DataFrame) -> DataFrame:
-    """Bronze orders with the delivery their file came in, and whether the file's time is known."""
-    return bronze.select(
+    """Bronze orders, their date typed, with the delivery their file came in and whether the file's time is known."""
+    typed = bronze.withColumn("order_date", F.col("order_date").try_cast("timestamp"))
+    return typed.select(
         *[c for c in bronze.columns if not c.startswith("_")],
         F.regexp_extract("_source_file", r"/orders/(batch\d)/", 1).alias("delivery"),
         (F.col("_source_ts") <= F.col("_ingestion_ts")).alias("file_is_older"),

@@ -5,10 +5,13 @@ from __future__ import annotations
 import json
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DecimalType, IntegralType, StructField, StructType
 
 from shelfline.sources import tables
 
+# Holds every whole number that is inferred, and fractions.
+ANY_NUMBER = DecimalType(38, 10)
+
 # Reader settings per format; sub-folders of a feed belong to the feed. The header of a CSV file
 # must name the columns of the declared schema in their order, or the read fails.
 READ_OPTIONS = {
@@ -45,13 +48,42 @@ def infer_schema(spark: SparkSession, path: str, fmt: str, sampling_ratio: float
     return reader.load(path).schema
 
 
+def lasting_schema(found: StructType, declared: StructType, fmt: str) -> StructType:
+    """A schema inferred from a first delivery, made fit for later ones.
+
+    Known columns take their declared type. Whole numbers of other columns become decimals, as a later delivery may
+    bring a fraction. Known columns that the first delivery lacks are added to JSON feeds; a CSV feed
+    has the columns of its header. A Parquet file holds its types, so nothing is changed there.
+    """
+    if fmt == "parquet":
+        return found
+    known = {field.name: field for field in declared.fields}
+    wide = [
+        known.get(field.name)
+        or StructField(field.name, ANY_NUMBER if isinstance(field.dataType, IntegralType) else field.dataType)
+        for field in found.fields
+    ]
+    missing = [field for field in declared.fields if field.name not in found.names] if fmt == "json" else []
+    return StructType([*wide, *missing])
+
+
 def remembered_schema(
-    spark: SparkSession, store: str, path: str, fmt: str, sampling_ratio: float = 1.0
+    spark: SparkSession,
+    store: str,
+    path: str,
+    fmt: str,
+    sampling_ratio: float = 1.0,
+    declared: StructType | None = None,
 ) -> StructType:
-    """The schema inferred when the feed was first read, kept at ``store`` and used ever after."""
+    """The schema inferred when the feed was first read, kept at ``store`` and used ever after.
+
+    ``declared`` names the columns that are known before, see :func:`lasting_schema`.
+    """
     if tables.exists(spark, f"{store}/{tables.READY}"):
         return StructType.fromJson(json.loads(spark.read.text(store, wholetext=True).head()[0]))
     schema = infer_schema(spark, path, fmt, sampling_ratio)
+    if declared is not None:
+        schema = lasting_schema(schema, declared, fmt)
     spark.createDataFrame([(schema.json(),)], "schema string").coalesce(1).write.mode("overwrite").text(store)
     tables.mark(spark, store)
     return schema

@@ -117,10 +117,11 @@ def start_bronze(
 ) -> StreamingQuery:
     """Append the new files of one feed to its bronze table."""
     source = f"{landing}/{feed.folder}"
+    schema = StructType.fromDDL(feed.declared)
     if infer:
-        schema = remembered_schema(store.spark, f"{store.path}/schemas/{feed.folder}", source, feed.fmt)
-    else:
-        schema = StructType.fromDDL(feed.declared)
+        schema = remembered_schema(
+            store.spark, f"{store.path}/schemas/{feed.folder}", source, feed.fmt, declared=schema
+        )
     rows = bronze_stream(store.spark, source, feed.fmt, schema, feed.provenance, max_bytes)
     return append_stream(rows, store.table(feed.table), store.checkpoint(feed.table), every=every)
 

@@ -37,6 +37,15 @@ def test_totals_and_means_are_exact(spark, rows):
         assert got[group].m == float(exact)
 
 
+@few
+@given(st.lists(st.tuples(st.integers(1, 10**14), st.integers(-6, 4)), min_size=1, max_size=30))
+def test_amounts_of_all_sizes_add_up(spark, parts):
+    amounts = [Decimal(digits).scaleb(power) for digits, power in parts]
+    table = spark.createDataFrame([(float(a),) for a in amounts], "x double")
+    got = table.repartition(3).agg(money.exact_total("x").alias("t"), money.total("x").alias("d")).first()
+    assert got.t == sum(amounts) and got.d == float(sum(amounts))
+
+
 order_rows = st.lists(
     st.tuples(
         st.none() | st.sampled_from(["O1", "O2", "O3"]),

@@ -1,13 +1,17 @@
 """Rows and files that break a job or slip through it unseen."""
 
+import datetime as dt
 import os
 import time
 
 import pytest
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from shelfline.functions import governance
-from shelfline.plans import conversations, serving
-from shelfline.sources import tables
+from shelfline.operators import money, quality
+from shelfline.plans import bi, conversations, serving, silver
+from shelfline.sources import landing, tables
 from shelfline.streaming import ingest
 
 TURNS = "conv_id long, turn long, role string, content string"
@@ -35,6 +39,48 @@ def test_registered_filter_takes_the_name_as_it_is(spark, country):
     assert [r.ship_country for r in found] == [country]
 
 
+@pytest.mark.parametrize(
+    "rows, amount, want",
+    [(1_000_000, "0.00004D", 40.0), (3_000_000, "8e14D", 2.4e21), (2, "if(id = 0, 1e15D, 5D)", 1e15 + 5)],
+)
+def test_no_amount_is_too_small_or_too_large_to_add(spark, rows, amount, want):
+    assert spark.range(rows).selectExpr(f"{amount} AS x").agg(money.rounded_total("x")).first()[0] == want
+
+
+def test_moving_average_of_large_days(spark):
+    days = "order_day date, total_revenue double"
+    daily = spark.createDataFrame([(dt.date(2024, 1, 1), 2e14), (dt.date(2024, 1, 2), 4e14)], days)
+    assert [r.moving_avg for r in bi.moving_average(daily).collect()] == [2e14, 3e14]
+
+
+def test_amounts_that_cannot_be_added_are_rejected(spark):
+    bronze = spark.createDataFrame(
+        [("O1", "C1", "P1", "1", "1", a, "completed", "2024-01-01", "DE") for a in ("1e18", "NaN", "9e17")],
+        "order_id string, customer_id string, product_id string, quantity string, unit_price string, "
+        "total_amount string, status string, order_date string, ship_country string",
+    ).withColumn("_ingestion_ts", F.current_timestamp())
+    assert [r.total_amount for r in silver.silver_orders(bronze).collect()] == [9e17]
+    rejected = quality.rejects(silver.typed_orders(bronze), quality.ORDER_CHECKS).collect()
+    assert [r.reasons for r in rejected] == [["positive_amount"]] * 2
+
+
+def test_types_of_a_first_delivery_do_not_bind_later_ones(spark, scratch):
+    def land(number, amount, bonus):
+        text = f"order_id,total_amount,order_date,bonus\n0{number},{amount},2024-01-01,{bonus}"
+        path = f"{scratch}/in/batch{number}"
+        spark.createDataFrame([(text,)], "t string").coalesce(1).write.text(path)
+
+    declared = StructType.fromDDL("order_id string, total_amount double, order_date string")
+    for number, amount, bonus in ((1, "10", "1"), (2, "10.50", "2.5")):
+        land(number, amount, bonus)
+        schema = landing.remembered_schema(spark, f"{scratch}/schema", f"{scratch}/in", "csv", declared=declared)
+        rows = ingest.bronze_stream(spark, f"{scratch}/in", "csv", schema)
+        ingest.wait([ingest.append_stream(rows, f"{scratch}/out", f"{scratch}/log")])
+    got = spark.read.parquet(f"{scratch}/out").orderBy("order_id").collect()
+    assert [(r.order_id, r.total_amount, float(r.bonus)) for r in got] == [("01", 10.0, 1.0), ("02", 10.5, 2.5)]
+    assert all(r._corrupt_record is None for r in got)
+
+
 def test_failed_copies_are_dropped_with_old_ones(spark, scratch):
     good = spark.createDataFrame([(1, 2.0)], "k long, v double")
     bad = spark.createDataFrame([(None, 2.0)], "k long, v double")
