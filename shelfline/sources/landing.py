@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql.types import DecimalType, IntegralType, StructField, StructType
+from pyspark.sql.types import DecimalType, IntegralType, StructField, StructType, TimestampType
 
 from shelfline.sources import tables
 
@@ -51,20 +51,22 @@ def infer_schema(spark: SparkSession, path: str, fmt: str, sampling_ratio: float
 def lasting_schema(found: StructType, declared: StructType, fmt: str) -> StructType:
     """A schema inferred from a first delivery, made fit for later ones.
 
-    Known columns take their declared type. Whole numbers of other columns become decimals, as a later delivery may
-    bring a fraction. Known columns that the first delivery lacks are added to JSON feeds; a CSV feed
+    Known columns take their declared type; only times that were found stay times, and a later record whose time cannot
+    be read keeps its text in the corrupt-record column. Whole numbers of other columns become decimals, as a later delivery
+    may bring a fraction. Known columns that the first delivery lacks are added to JSON feeds; a CSV feed
     has the columns of its header. A Parquet file holds its types, so nothing is changed there.
     """
     if fmt == "parquet":
         return found
     known = {field.name: field for field in declared.fields}
-    wide = [
-        known.get(field.name)
-        or StructField(field.name, ANY_NUMBER if isinstance(field.dataType, IntegralType) else field.dataType)
-        for field in found.fields
-    ]
+
+    def lasting(field: StructField) -> StructField:
+        if field.name in known and not isinstance(field.dataType, TimestampType):
+            return known[field.name]
+        return StructField(field.name, ANY_NUMBER if isinstance(field.dataType, IntegralType) else field.dataType)
+
     missing = [field for field in declared.fields if field.name not in found.names] if fmt == "json" else []
-    return StructType([*wide, *missing])
+    return StructType([*map(lasting, found.fields), *missing])
 
 
 def remembered_schema(
