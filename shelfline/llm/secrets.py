@@ -18,6 +18,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
@@ -79,7 +81,7 @@ def find_spans(texts: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     found = parts[0]
     for part in parts[1:]:
         found = found.unionByName(part)
-    along = Window.partitionBy("blob", "rank").orderBy("pos")
+    along = Window.partitionBy("blob", "rank").orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     end = F.sum(F.col("gap") + F.coalesce("long", F.lit(0))).over(along)
     spans = (
         found.withColumn("end", end.cast("long"))
@@ -129,7 +131,9 @@ class Ledger:
             .select(F.col("blob").alias("new_blob"), F.col("first.doc_id").alias("new_id"))
         )
         chosen = (F.col("blob") == F.col("new_blob")) & F.col("doc_id").eqNullSafe(F.col("new_id"))
-        texts = addressed.join(new, chosen).select("blob", "text")
+        # Equal rows share blob and id: one text of each blob is cut. Only texts that hold a match are moved.
+        holding = reduce(or_, (F.col("text").rlike(rule.pattern) for rule in rules))
+        texts = addressed.filter(holding).join(new, chosen).select("blob", "text").dropDuplicates(["blob"])
         spans = find_spans(texts, rules)
         none = F.array().cast(f"array<{SPAN}>")
         scanned = (

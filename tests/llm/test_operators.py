@@ -396,3 +396,14 @@ def test_redaction(documents, spark, scratch):
     rows = [(1, "é token=" + "ab12" * 10 + " end"), (2, None), (3, "clean"), (4, "token=abcdef1")]
     got = {r.doc_id: r.text for r in secrets.redact(documents(rows), secrets.Ledger(spark, scratch)).collect()}
     assert got == {1: "é [SECRET] end", 2: None, 3: "clean", 4: "[SECRET]"}
+def test_spans_of_equal_rows_and_of_rows_without_id(documents, spark, scratch):
+    texts = {5: "token=abcdef1", None: "a token=abcdef2 b token=abcdef3", 6: "token=abcdef4"}
+    rows = [(doc, text) for doc, text in texts.items() for _ in range(1 if doc == 6 else 2)]
+    found = secrets.Ledger(spark, f"{scratch}/a").scan(documents(rows)).collect()
+    got = collections.Counter((r.doc_id, tuple((s.start, s.end) for s in r.spans)) for r in found)
+    assert got == {(5, ((0, 13),)): 2, (None, ((2, 15), (18, 31))): 2, (6, ((0, 13),)): 1}
+    clean = secrets.redact(documents(rows), secrets.Ledger(spark, f"{scratch}/b")).collect()
+    texts = collections.Counter((r.doc_id, r.text) for r in clean)
+    assert texts == {(5, "[SECRET]"): 2, (None, "a [SECRET] b [SECRET]"): 2, (6, "[SECRET]"): 1}
+
+
