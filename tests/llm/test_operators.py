@@ -252,6 +252,21 @@ def test_vectors_are_those_of_brute_force(spark):
     assert near >= 0.9 * sum(links.values())
 
 
+@pytest.mark.parametrize("block", [64, 1024])
+def test_vectors_of_few_directions_lose_no_pair_between_cells(spark, block):
+    draw = np.random.default_rng(7)
+    flat = draw.normal(size=(1500, 4)) @ np.linalg.qr(draw.normal(size=(64, 4)))[0].T
+    ids = draw.permutation(1500)
+    rows = [(int(i), (v + draw.normal(size=64) * 0.01).astype("float32").tolist(), 0) for i, v in zip(ids, flat)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    got = {r.vec_id: r.n_links for r in vectors.near_duplicates(df, per_cell=100, block=block).collect()}
+    unit = np.array([r[1] for r in rows], float)
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    links = (unit @ unit.T >= 0.93).sum(axis=1) - 1
+    assert links.sum() > 10_000
+    assert got == {r[0]: int(n) for r, n in zip(rows, links)}
+
+
 def test_vectors_of_an_empty_table(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>, label int")
     assert vectors.near_duplicates(df).count() == 0
