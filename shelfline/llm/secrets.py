@@ -51,13 +51,22 @@ BASE_RULES = (
     Rule("access", r"AKIA[A-Z0-9]{16,}"),
     Rule("hex", r"[0-9a-f]{24,}"),
 )
+# A private key runs to its END line: no run of five dashes lies between. Where that line is missing it runs over header
+# lines and the lines of base64, of which the last may be short. Classes, not groups, take the long stretches:
+# Java's search would go one call deeper for each turn of a group.
+_KEY_BODY = (
+    r"(?:[^-]*(?:-{1,4}[^-]+){0,60}-----END [A-Z ]{0,30}PRIVATE KEY-----"
+    r"|(?:[ \t]*\r?\n[A-Z][A-Za-z-]*:[^\r\n]*){0,8}"
+    r"(?:[ \t]*(?:[\r\n]|\\[rn])(?:[A-Za-z0-9+/\\\r\n]*|[\r\n]*[ \t]+[A-Za-z0-9+/\\\r\n \t]*)[A-Za-z0-9+/]{16,}={0,2}"
+    r"(?:\r?\n[ \t]*[A-Za-z0-9+/]{1,15}(?:={1,2}|\r?\n))?)?)"
+)
 MORE_RULES = (
-    Rule("private_key", r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----"),
+    Rule("private_key", r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----" + _KEY_BODY),
     Rule("web_token", r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
     Rule("forge_token", r"gh[pousr]_[A-Za-z0-9]{36,}"),
 )
 RULES = (*BASE_RULES, *MORE_RULES)
-VERSION = "2"
+VERSION = "3"
 SPAN = "struct<start:long,rank:int,end:long>"
 
 

@@ -396,6 +396,17 @@ def test_spans_are_those_of_the_plain_search(documents, spark, scratch):
         assert [(s.start, s.rank, s.end) for s in r.spans] == by_text[r.doc_id]
 
 
+def test_spans_of_equal_rows_and_of_rows_without_id(documents, spark, scratch):
+    texts = {5: "token=abcdef1", None: "a token=abcdef2 b token=abcdef3", 6: "token=abcdef4"}
+    rows = [(doc, text) for doc, text in texts.items() for _ in range(1 if doc == 6 else 2)]
+    found = secrets.Ledger(spark, f"{scratch}/a").scan(documents(rows)).collect()
+    got = collections.Counter((r.doc_id, tuple((s.start, s.end) for s in r.spans)) for r in found)
+    assert got == {(5, ((0, 13),)): 2, (None, ((2, 15), (18, 31))): 2, (6, ((0, 13),)): 1}
+    clean = secrets.redact(documents(rows), secrets.Ledger(spark, f"{scratch}/b")).collect()
+    texts = collections.Counter((r.doc_id, r.text) for r in clean)
+    assert texts == {(5, "[SECRET]"): 2, (None, "a [SECRET] b [SECRET]"): 2, (6, "[SECRET]"): 1}
+
+
 def test_ledger_scans_only_what_is_new(documents, spark, scratch):
     ledger = secrets.Ledger(spark, scratch)
     ledger.scan(documents([(1, "token=abcdef1"), (2, "plain")]))
@@ -411,14 +422,32 @@ def test_redaction(documents, spark, scratch):
     rows = [(1, "é token=" + "ab12" * 10 + " end"), (2, None), (3, "clean"), (4, "token=abcdef1")]
     got = {r.doc_id: r.text for r in secrets.redact(documents(rows), secrets.Ledger(spark, scratch)).collect()}
     assert got == {1: "é [SECRET] end", 2: None, 3: "clean", 4: "[SECRET]"}
-def test_spans_of_equal_rows_and_of_rows_without_id(documents, spark, scratch):
-    texts = {5: "token=abcdef1", None: "a token=abcdef2 b token=abcdef3", 6: "token=abcdef4"}
-    rows = [(doc, text) for doc, text in texts.items() for _ in range(1 if doc == 6 else 2)]
-    found = secrets.Ledger(spark, f"{scratch}/a").scan(documents(rows)).collect()
-    got = collections.Counter((r.doc_id, tuple((s.start, s.end) for s in r.spans)) for r in found)
-    assert got == {(5, ((0, 13),)): 2, (None, ((2, 15), (18, 31))): 2, (6, ((0, 13),)): 1}
-    clean = secrets.redact(documents(rows), secrets.Ledger(spark, f"{scratch}/b")).collect()
-    texts = collections.Counter((r.doc_id, r.text) for r in clean)
-    assert texts == {(5, "[SECRET]"): 2, (None, "a [SECRET] b [SECRET]"): 2, (6, "[SECRET]"): 1}
 
 
+def test_redaction_of_whole_private_keys(documents, spark, scratch):
+    begin, end = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    lines = [("Ab9+/xYz" * 8)[i:] + "q7" * (i // 2) for i in range(0, 24, 2)] + ["Zx81Qa=="]
+    body, crypt = "\n".join(lines), "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0F\n\n"
+    rows = [
+        (1, f"a {begin}\n{body}\n{end} b"),
+        (2, f"a {begin}\r\n{crypt}{body}\r\n{end} b"),
+        (3, f"a {begin}\n{body}\nWords, and more."),
+        (4, f"a {begin}\n{crypt}{body}"),
+        (5, f"a {begin}\\n{body}\\n{end}' b".replace("\n", "\\n")),
+        (6, f"a {begin}\n    {body}\nWords, and more.".replace("\n", "\n    ")),
+        (7, f"a {begin}\n{body}\n{begin}\n{body}\n{end} b"),
+        (8, f"a {begin} is how a key starts - nothing more"),
+        (9, f"{begin}\n" + "well-known words " * 20_000),
+    ]
+    got = {r.doc_id: r.text for r in secrets.redact(documents(rows), secrets.Ledger(spark, scratch)).collect()}
+    assert got == {
+        1: "a [SECRET] b",
+        2: "a [SECRET] b",
+        3: "a [SECRET]\nWords, and more.",
+        4: "a [SECRET]",
+        5: "a [SECRET]' b",
+        6: "a [SECRET]\n    Words, and more.",
+        7: "a [SECRET]\n[SECRET] b",
+        8: "a [SECRET] is how a key starts - nothing more",
+        9: "[SECRET]\n" + "well-known words " * 20_000,
+    }
