@@ -120,6 +120,15 @@ def test_near_duplicates_of_odd_rows(documents):
     assert near_dedup.near_duplicates(documents([])).count() == 0
 
 
+def test_deep_orders_rarely_miss_a_pair():
+    draw, missed = np.random.default_rng(11), 0
+    for _ in range(4000):
+        common = draw.integers(0, 1 << 63, 200, dtype=np.uint64)
+        one, two = (np.concatenate([common, draw.integers(0, 1 << 63, 25, dtype=np.uint64)]) for _ in range(2))
+        missed += not any(x == y for x, y in zip(near_dedup.prefixes(one)[-1], near_dedup.prefixes(two)[-1]))
+    assert missed <= 2
+
+
 def test_components_of_long_paths(spark):
     links = [(i, i + 1) for i in range(200)] + [(1000, x) for x in range(1001, 1100)] + [(5, 5)]
     got = {r.node: r.component for r in components.components(spark.createDataFrame(links, "a long, b long")).collect()}
