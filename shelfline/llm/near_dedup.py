@@ -21,7 +21,7 @@ Links are confirmed on the full shingle sets, as 64-bit hashes of the five words
 Defined results: a text without words (null, empty, blank) has an empty set and is linked with nothing; a text of
 fewer than five words is one shingle; rows with a null id are returned with a null component and not kept; rows that
 share an id are one document that has the links of all of them; an empty table gives an empty result; other columns
-are left behind by ``near_duplicates`` and kept by ``representatives``.
+are left behind by ``near_duplicates`` and kept by ``representatives``, which judges each version of an id by itself.
 """
 
 from __future__ import annotations
@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfline.llm.common import stored
+from shelfline.llm.common import stored, without
 from shelfline.llm.components import components
 
 SHINGLE = 5
@@ -308,8 +308,25 @@ def near_duplicates(docs: DataFrame, *, percent: int = 85, crowded: int = 24, tu
     )
 
 
-def representatives(docs: DataFrame, *, percent: int = 85, crowded: int = 24) -> DataFrame:
-    """``docs`` without those that repeat another one; of rows equal in id one stays, null ids stay."""
-    judged = near_duplicates(docs, percent=percent, crowded=crowded)
-    dropped = judged.filter("component_id IS NOT NULL AND NOT kept").select("doc_id").distinct()
-    return docs.join(dropped, "doc_id", "left_anti")
+def representatives(docs: DataFrame, *, percent: int = 85, crowded: int = 24, turns: int = 2) -> DataFrame:
+    """``docs`` with one row of each group of near copies, of its smallest id; null ids stay.
+
+    Versions of one id are judged apart: one goes only if its own text repeats another. Of rows without words one stays per id.
+    """
+    sketches, of_class = _components(docs, percent, crowded, turns, False)
+    first = of_class.groupBy("component").agg(F.min(F.struct("doc_id", "code")).alias("first")).select("first.*")
+    rows = sketches.filter("doc_id IS NOT NULL").groupBy("doc_id", "code", "text_key").agg(
+        F.count("*").alias("times"), F.first("n").alias("n")
+    )
+    rows = stored(rows, "versions")
+    # Texts of one class may differ in blanks or case: one of them stays.
+    one = rows.groupBy("doc_id", "code").agg(F.min("text_key").alias("text_key"), F.first("n").alias("n"))
+    kept = one.filter("n = 0").unionByName(one.filter("n > 0").join(first, ["doc_id", "code"], "left_semi"))
+    judged = rows.join(kept.select("doc_id", "code", "text_key", F.lit(True).alias("kept")), ["doc_id", "code", "text_key"], "left")
+    judged = stored(judged.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), "times", "kept"), "judged")
+    keyed = without(docs, ("_id", "_key")).withColumns({"_id": F.col("doc_id").cast("long"), "_key": _text_key()})
+    other = judged.filter("kept IS NULL OR times > 1").select("_id", "_key")
+    repeated = judged.filter("kept AND times > 1").select("_id", "_key")
+    alone = keyed.join(other, ["_id", "_key"], "left_anti")
+    again = keyed.join(repeated, ["_id", "_key"], "left_semi").dropDuplicates(["_id", "_key"])
+    return alone.unionByName(again).drop("_id", "_key")

@@ -120,6 +120,17 @@ def test_near_duplicates_of_odd_rows(documents):
     assert near_dedup.near_duplicates(documents([])).count() == 0
 
 
+def test_representatives_of_repeated_rows_and_versions(documents):
+    a, b, c, d = (words_of(100, seed) for seed in (21, 22, 23, 24))
+    near = " ".join([*a[:-1], "changed"])
+    rows = [(5, " ".join(a)), (5, " ".join(a)), (5, " ".join(a)), (7, near), (7, " ".join(b)), (8, " ".join(b).upper())]
+    rows += [(9, " ".join(c)), (9, " ".join([*c[:-1], "new"])), (9, " ".join(d)), (None, near), (None, near)]
+    rows += [(3, ""), (3, ""), (4, None)]
+    got = near_dedup.representatives(documents(rows)).collect()
+    kept = collections.Counter((r.doc_id, (r.text or "").split(" ")[0]) for r in got)
+    assert kept == {(5, a[0]): 1, (7, b[0]): 1, (9, c[0]): 1, (9, d[0]): 1, (None, a[0]): 2, (3, ""): 1, (4, ""): 1}
+
+
 def test_deep_orders_rarely_miss_a_pair():
     draw, missed = np.random.default_rng(11), 0
     for _ in range(4000):
