@@ -8,7 +8,19 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from shelfline.llm import language, licenses, mixing, near_dedup, packing, rules, secrets, sharding, toxicity, vectors
+from shelfline.llm import (
+    language,
+    licenses,
+    mixing,
+    near_dedup,
+    packing,
+    rules,
+    secrets,
+    sharding,
+    substrings,
+    toxicity,
+    vectors,
+)
 from shelfline.llm.common import reach_workers, table
 from shelfline.session import shared_dir
 
@@ -92,6 +104,10 @@ def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.deduplicated(table(spark, sf_dir, "documents"))
+
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -116,6 +132,7 @@ QUERIES: dict[str, Query] = {
         op8_sharding,
         op9_best_fit_packing,
         op10_secret_scans,
+        op13_substring_dedup,
     )
 }
 QUERIES["pipeline"] = corpus_pipeline.run
