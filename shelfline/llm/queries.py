@@ -14,6 +14,8 @@ from shelfline.llm import (
     mixing,
     near_dedup,
     packing,
+    prefix_trie,
+    ranking,
     rules,
     secrets,
     sharding,
@@ -104,6 +106,14 @@ def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranking.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
+
+
 def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.deduplicated(table(spark, sf_dir, "documents"))
 
@@ -132,6 +142,8 @@ QUERIES: dict[str, Query] = {
         op8_sharding,
         op9_best_fit_packing,
         op10_secret_scans,
+        op11_ranked_search,
+        op12_prefix_trie,
         op13_substring_dedup,
     )
 }
