@@ -10,11 +10,13 @@ A window is 35 words in a row. A word goes when a window over it has a word sequ
    sketches of a slice are merged into two rows of counters, and an anchor counts as estimated repeated if both its
    counters have reached two. The number of slices grows with the anchors, so a merged slice stays of one size, and
    nothing is broadcast.
-3. The second pass hashes the windows of estimated anchors to 128 bits and groups them exactly: a window that starts at two
-   places of the corpus is repeated. All others were counted once and cannot be.
+3. The second pass hashes the windows of estimated anchors to 96 bits and groups them exactly: a window that starts at
+   two places of the corpus is repeated. All others were counted once and cannot be. Windows travel as columns of
+   bytes by slices of the hash range, with the text and place to which the answer goes.
 
-Hot keys: a partition sends an anchor twice at most, windows are grouped with partial aggregates, and the joins on
-text, anchor and window are plain inner or left joins, whose large partitions adaptive execution splits.
+Hot keys: a partition sends an anchor twice at most; windows that repeat within what a task holds are settled there, and one
+row of each is sent on for the others, so a slice gets one row of a window from each task. The joins are plain inner or
+left joins, whose large partitions adaptive execution splits.
 
 Defined results: a null, empty or blank text has no words and nothing to remove (its kept text is empty); a text
 of fewer than 35 words stays; rows that repeat a text of 35 words or more lose all of it, with equal or null ids as well; an
@@ -35,7 +37,7 @@ from shelfline.llm.common import stored
 from shelfline.llm.hashing import run_hashes, sliding, word_hashes
 
 WINDOW, ANCHOR = 35, 12
-# Anchors of a slice when slices are planned, and the counters of each of its two rows.
+# Anchors or windows of a slice, as slices are planned, and the counters of each of its two rows.
 PER_SLICE, WIDTH_BITS = 1 << 20, 22
 _SPAN = WINDOW - ANCHOR + 1
 # Rows that leave a Python worker at once.
@@ -95,10 +97,12 @@ def estimated(values: np.ndarray, width_bits: int = WIDTH_BITS) -> np.ndarray:
     return np.unique(values[least >= 2]) if len(values) else values
 
 
-def _sketch(texts: DataFrame, per_slice: int, width_bits: int) -> DataFrame:
+def _slice_bits(rows: int, per_slice: int) -> int:
+    return max(0, (max(rows, 1) - 1).bit_length() - (per_slice - 1).bit_length())
+
+
+def _sketch(texts: DataFrame, per_slice: int, bits: int, width_bits: int) -> DataFrame:
     """(anchor) of those estimated repeated."""
-    total = texts.agg(F.sum(F.size("anchors"))).first()[0] or 0
-    bits = max(0, (max(total, 1) - 1).bit_length() - (per_slice - 1).bit_length())
 
     def partition_sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[np.ndarray] = []
@@ -126,69 +130,144 @@ def _sketch(texts: DataFrame, per_slice: int, width_bits: int) -> DataFrame:
 
 
 def _flags(texts: DataFrame, repeated: DataFrame) -> DataFrame:
-    """(k1, k2, copies, first_id, flagged): texts that stand several times or have anchors estimated repeated."""
-    hit = texts.select("k1", "k2", F.explode(F.array_distinct("anchors")).alias("anchor")).join(repeated, "anchor")
-    by_text = hit.groupBy("k1", "k2").agg(F.collect_list("anchor").alias("flagged"))
-    counted = texts.select("k1", "k2", "copies", "first_id").join(by_text, ["k1", "k2"], "left")
+    """(uid, k1, k2, copies, first_id, flagged): texts that stand several times or have anchors estimated repeated."""
+    hit = texts.select("uid", F.explode(F.array_distinct("anchors")).alias("anchor")).join(repeated, "anchor")
+    by_text = hit.groupBy("uid").agg(F.collect_list("anchor").alias("flagged"))
+    counted = texts.select("uid", "k1", "k2", "copies", "first_id").join(by_text, "uid", "left")
     return counted.filter("copies > 1 OR flagged IS NOT NULL")
 
 
 _FOUND = (
-    "doc_id long, k1 long, k2 long, n_words long, n_removed long, kept_sha256 string, text string, "
-    "h1 array<long>, h2 array<long>, start array<int>"
+    "doc_id long, n_words long, n_removed long, kept_sha256 string, uid long, text string, starts array<int>, "
+    "slice long, h binary, g binary, u binary, s binary"
 )
+_COLUMNS = [field.split()[0] for field in _FOUND.split(", ")]
+# In place of where a window starts: it is known to be repeated. Windows that need no answer have their place inverted.
+_SETTLED = np.iinfo(np.int32).min
 
 
 def _sha(words: list[bytes]) -> str:
     return hashlib.sha256(b" ".join(words)).hexdigest()
 
 
-def _second_pass(marked: DataFrame) -> DataFrame:
-    """Settled documents, and the windows that must be grouped; a text stays with the row only where it is still open."""
-
-    def judged(row) -> tuple:
+class Windows:
+    """Windows that must be grouped, as columns: a hash in two parts, the text and the place."""
+
+    def __init__(self, h: np.ndarray, g: np.ndarray, u: np.ndarray, s: np.ndarray):
+        self.h, self.g, self.u, self.s = h, g, u, s
+
+    @classmethod
+    def joined(cls, parts: list[Windows]) -> Windows:
+        return cls(*(np.concatenate([getattr(p, c) for p in parts]) for c in "hgus"))
+
+    def __getitem__(self, at: np.ndarray) -> Windows:
+        return Windows(*(getattr(self, c)[at] for c in "hgus"))
+
+    def __len__(self) -> int:
+        return len(self.h)
+
+    def grouped(self) -> tuple[Windows, np.ndarray, np.ndarray]:
+        """Sorted by hash; where each group of equal hashes begins, and whether its window is repeated."""
+        place = np.where(self.s < 0, ~self.s, self.s)
+        w = self[np.lexsort((place, self.u, self.g, self.h))]
+        place = np.where(w.s < 0, ~w.s, w.s)
+        fresh = np.ones(len(w), dtype=bool)
+        fresh[1:] = (w.h[1:] != w.h[:-1]) | (w.g[1:] != w.g[:-1])
+        begins = np.flatnonzero(fresh)
+        other = ~fresh
+        other[1:] &= (w.u[1:] != w.u[:-1]) | (place[1:] != place[:-1])
+        return w, begins, np.logical_or.reduceat(other | (w.s == _SETTLED), begins)
+
+    def answers(self) -> pd.DataFrame:
+        """(uid, starts) of those that need an answer."""
+        need = self[self.s >= 0]
+        need = need[np.lexsort((need.s, need.u))]
+        begins = np.flatnonzero(np.r_[True, need.u[1:] != need.u[:-1]]) if len(need) else np.empty(0, dtype=np.int64)
+        starts = np.split(need.s, begins[1:]) if len(need) else []
+        return pd.DataFrame({"uid": need.u[begins], "starts": pd.Series(starts, dtype=object)})
+
+    def settled_here(self) -> tuple[Windows, Windows]:
+        """Those that are repeated among themselves, and what other tasks must know: a row for each distinct window."""
+        w, begins, repeated = self.grouped()
+        sizes = np.diff(np.r_[begins, len(w)])
+        known = np.repeat(repeated, sizes)
+        first = w[begins]
+        first.s = np.where(repeated, _SETTLED, first.s)
+        return w[known], first
+
+    def sliced(self, bits: int) -> pd.DataFrame:
+        at = (self.h >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(self), dtype=np.int64)
+        # By text and place within a slice, where these columns compress.
+        order = np.lexsort((self.s, self.u, at))
+        w, at = self[order], at[order]
+        begins = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
+        columns = {c: [p.tobytes() for p in np.split(getattr(w, c), begins[1:])] for c in "hgus"}
+        return pd.DataFrame({"slice": at[begins], **columns})
+
+
+_TYPES = {"h": np.uint64, "g": np.uint32, "u": np.int64, "s": np.int32}
+
+
+def _second_pass(marked: DataFrame, per_slice: int, bits: int) -> DataFrame:
+    """Settled documents, texts that are still open, answers for them, and windows to be grouped."""
+
+    def judged(row) -> tuple[tuple, Windows | None]:
         words = words_of(row.text)
-        h1 = h2 = starts = np.empty(0, dtype=np.uint64)
-        repeated = len(words) >= WINDOW and row.copies == row.copies and (row.copies or 0) > 1
+        n = len(words)
+        repeated = n >= WINDOW and not pd.isna(row.copies) and row.copies > 1
         stands_for_all = not repeated or pd.isna(row.first_id) or row.first_id == row.doc_id
+        windows = None
         if row.flagged is not None and stands_for_all:
             hashes = word_hashes(words)
-            least, _ = window_anchors(hashes)
-            starts = np.flatnonzero(np.isin(least.view(np.int64), row.flagged))
-            h1, h2 = (run_hashes(hashes, WINDOW, lane)[starts] for lane in (0, 1))
-        windows = h1.view(np.int64), h2.view(np.int64), starts.astype(np.int32)
+            starts = np.flatnonzero(np.isin(window_anchors(hashes)[0].view(np.int64), row.flagged)).astype(np.int32)
+            h, g = (run_hashes(hashes, WINDOW, lane)[starts] for lane in (0, 1))
+            u = np.full(len(starts), int(row.uid), dtype=np.int64)
+            windows = Windows(h, (g >> np.uint64(32)).astype(np.uint32), u, ~starts if repeated else starts)
         if repeated:
-            return len(words), len(words), _sha([]), None, *windows
-        if len(starts):
-            return len(words), None, None, row.text, *windows
-        return len(words), 0, _sha(words), None, *windows
+            return (row.doc_id, n, n, _sha([]), None, None), windows
+        if windows is not None and len(windows):
+            return (row.doc_id, n, None, None, row.uid, row.text), windows
+        return (row.doc_id, n, 0, _sha(words), None, None), None
 
-    names = ["n_words", "n_removed", "kept_sha256", "text", "h1", "h2", "start"]
+    def framed(frame: pd.DataFrame) -> pd.DataFrame:
+        whole = {"doc_id": "Int64", "n_words": "Int64", "n_removed": "Int64", "uid": "Int64", "slice": "Int64"}
+        frame = frame.assign(**{name: None for name in _COLUMNS if name not in frame})
+        return frame[_COLUMNS].astype(whole)
 
     def found(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[Windows] = []
+
+        def sent() -> Iterator[pd.DataFrame]:
+            here, rest = Windows.joined(held).settled_here()
+            held.clear()
+            yield framed(here.answers())
+            yield framed(rest.sliced(bits))
+
         for batch in batches:
             for start in range(0, len(batch), _ROWS):
-                part = batch.iloc[start : start + _ROWS]
-                out = pd.DataFrame([judged(row) for row in part.itertuples(index=False)], columns=names)
-                out = out.astype({"n_words": "Int64", "n_removed": "Int64"})
-                for place, name in enumerate(("doc_id", "k1", "k2")):
-                    out.insert(place, name, part[name].array)
-                yield out
+                both = [judged(row) for row in batch.iloc[start : start + _ROWS].itertuples(index=False)]
+                yield framed(pd.DataFrame([row for row, _ in both], columns=_COLUMNS[:6], dtype=object))
+                held += [windows for _, windows in both if windows is not None and len(windows)]
+                if sum(map(len, held)) >= per_slice:
+                    yield from sent()
+        if held:
+            yield from sent()
 
     return marked.mapInPandas(found, _FOUND)
 
 
 def _repeated_starts(found: DataFrame) -> DataFrame:
-    """(k1, k2, starts): where repeated windows start in the open texts."""
-    zipped = F.explode(F.arrays_zip("h1", "h2", "start")).alias("w")
-    is_open = F.col("text").isNotNull().alias("open")
-    windows = found.filter(F.size("start") > 0).select("k1", "k2", is_open, zipped)
-    windows = windows.select("k1", "k2", "open", "w.h1", "w.h2", "w.start")
-    places = [f(c).alias(f"{f.__name__}_{c}") for c in ("k1", "k2", "start") for f in (F.min, F.max)]
-    elsewhere = "min_k1 <> max_k1 OR min_k2 <> max_k2 OR min_start <> max_start"
-    groups = windows.groupBy("h1", "h2").agg(*places).filter(elsewhere).select("h1", "h2")
-    hit = windows.filter("open").join(groups, ["h1", "h2"])
-    return hit.groupBy("k1", "k2").agg(F.collect_list("start").alias("starts"))
+    """(uid, starts): where repeated windows start in the open texts."""
+
+    def grouped(part: pd.DataFrame) -> pd.DataFrame:
+        columns = (np.frombuffer(b"".join(part[c]), dtype=kind) for c, kind in _TYPES.items())
+        w, begins, repeated = Windows(*columns).grouped()
+        return w[np.repeat(repeated, np.diff(np.r_[begins, len(w)]))].answers()
+
+    sent = found.filter("slice IS NOT NULL").select("slice", "h", "g", "u", "s")
+    answers = sent.groupBy("slice").applyInPandas(grouped, "uid long, starts array<int>")
+    here = found.filter("starts IS NOT NULL").select("uid", "starts")
+    return answers.unionByName(here).groupBy("uid").agg(F.flatten(F.collect_list("starts")).alias("starts"))
 
 
 def covered(starts: np.ndarray, n_words: int) -> np.ndarray:
@@ -220,29 +299,23 @@ def _kept_words(open_texts: DataFrame, text_too: bool) -> DataFrame:
     return open_texts.mapInPandas(kept, schema)
 
 
-def _judged(docs: DataFrame, per_slice: int, width_bits: int) -> tuple[DataFrame, DataFrame]:
-    """The rows of the second pass, and the repeated starts of those that are open."""
-    keyed = _keyed(docs)
-    anchors = _anchors(keyed)
-    texts = stored(
-        anchors.groupBy("k1", "k2").agg(
-            F.count("*").alias("copies"), F.min("doc_id").alias("first_id"), F.first("anchors").alias("anchors")
-        ),
-        "anchors",
-    )
-    flags = _flags(texts, _sketch(texts, per_slice, width_bits))
-    marked = keyed.join(flags, ["k1", "k2"], "left")
-    found = stored(_second_pass(marked), "windows")
-    return found, _repeated_starts(found)
-
-
 def deduplicated(
     docs: DataFrame, *, with_text: bool = False, per_slice: int = PER_SLICE, width_bits: int = WIDTH_BITS
 ) -> DataFrame:
     """(doc_id, n_words, n_removed, kept_sha256) a row of ``docs``; ``with_text`` adds ``kept_text`` where words were removed."""
-    found, starts = _judged(docs, per_slice, width_bits)
+    keyed = _keyed(docs)
+    texts = _anchors(keyed).groupBy("k1", "k2").agg(
+        F.count("*").alias("copies"), F.min("doc_id").alias("first_id"), F.first("anchors").alias("anchors")
+    )
+    texts = stored(texts.withColumn("uid", F.monotonically_increasing_id()), "anchors")
+    bits = _slice_bits(texts.agg(F.sum(F.size("anchors"))).first()[0] or 0, per_slice)
+    flags = stored(_flags(texts, _sketch(texts, per_slice, bits, width_bits)), "flags")
+    # An anchor has about a dozen windows.
+    window_bits = _slice_bits(flags.agg(F.sum(_SPAN // 2 * F.size("flagged"))).first()[0] or 0, per_slice)
+    found = stored(_second_pass(keyed.join(flags, ["k1", "k2"], "left"), per_slice, window_bits), "windows")
     columns = ["doc_id", "n_words", "n_removed", "kept_sha256"]
-    settled = found.filter("text IS NULL").select(*columns, F.when(F.col("n_removed") > 0, "").alias("kept_text"))
-    still = found.filter("text IS NOT NULL").select("doc_id", "k1", "k2", "text").join(starts, ["k1", "k2"], "left")
-    result = settled.unionByName(_kept_words(still.select("doc_id", "text", "starts"), with_text))
+    settled = found.filter("kept_sha256 IS NOT NULL").select(*columns, F.when(F.col("n_removed") > 0, "").alias("kept_text"))
+    still = found.filter("text IS NOT NULL").select("doc_id", "uid", "text")
+    still = still.join(_repeated_starts(found), "uid", "left").select("doc_id", "text", "starts")
+    result = settled.unionByName(_kept_words(still, with_text))
     return result if with_text else result.select(*columns)
