@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from shelfline.llm import licenses, mixing, rules, secrets
+from shelfline.llm import licenses, mixing, prefix_trie, ranking, rules, secrets, substrings
 
 _WORD = r"[^\x20\x09-\x0D]+"
 
@@ -137,9 +137,103 @@ def op10() -> str:
     FROM d LEFT JOIN spans s USING (r) GROUP BY d.r, d.doc_id"""
 
 
+def op11() -> str:
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    term = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+    def terms(table: str) -> str:
+        return f"regexp_extract_all(translate(coalesce({table}.text, ''), '{upper}', '{upper.lower()}'), '{term}')"
+
+    return rf"""
+    WITH d AS (SELECT row_number() OVER () AS r, doc_id, {terms("documents")} AS w FROM documents),
+    corpus AS (SELECT count(*) FILTER (len(w) > 0) AS docs, sum(len(w))::BIGINT AS total FROM d),
+    posted AS (SELECT r, t, count(*) AS tf FROM (SELECT r, unnest(w) AS t FROM d) GROUP BY r, t),
+    items AS (SELECT row_number() OVER () AS i, item_id, {terms("b")} AS w
+      FROM (SELECT DISTINCT item_id, text FROM benchmark) b),
+    asked AS (SELECT i, t, count(*) AS times FROM (SELECT i, unnest(w) AS t FROM items) GROUP BY i, t),
+    weighed AS (
+      SELECT t, floor(1000 * ln((2 * any_value(docs) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+      FROM posted, corpus WHERE t IN (SELECT t FROM asked) GROUP BY t),
+    scored AS (
+      SELECT a.i, p.r, sum(a.times * g.w * (({ranking.SCALE} * p.tf) // ({ranking.STEP} * p.tf
+          + {ranking.SLOPE} * (100 - {ranking.SHARE} + ({ranking.SHARE} * len(d.w) * docs) // total))))::BIGINT AS score
+      FROM asked a JOIN posted p USING (t) JOIN weighed g USING (t) JOIN d ON d.r = p.r, corpus GROUP BY a.i, p.r),
+    ranked AS (
+      SELECT i, doc_id, score, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST)::INT AS rank
+      FROM scored JOIN d USING (r) WHERE score > 0)
+    SELECT item_id, rank, doc_id, score FROM ranked JOIN items USING (i) WHERE rank <= {ranking.TOP}"""
+
+
+def _crc32(text: str) -> str:
+    """CRC-32 of a text of ASCII characters, bit by bit."""
+    bit = "CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END"
+    byte = f"list_reduce([xor(c, b)] || [0::BIGINT, 0, 0, 0, 0, 0, 0, 0], lambda x, y: {bit})"
+    codes = f"list_transform(string_split({text}, ''), lambda z: ord(z)::BIGINT)"
+    return f"xor(4294967295::BIGINT, list_reduce([4294967295::BIGINT] || {codes}, lambda c, b: {byte}))"
+
+
+def op12() -> str:
+    role, text = "coalesce(role, '')", "coalesce(text, '')"
+    name = f"md5(length({role}) || ':' || {role} || {text})"
+    return rf"""
+    WITH t AS (
+      SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, {name}) AS p, {name} AS name,
+        len(regexp_extract_all({text}, '{_WORD}'))::BIGINT AS words
+      FROM conversations WHERE conv_id IS NOT NULL),
+    c AS (
+      SELECT conv_id, conv_id - conv_id % {prefix_trie.GROUP} AS base, {_crc32("conv_id::VARCHAR")} % {prefix_trie.HEADS} AS h
+      FROM (SELECT DISTINCT conv_id FROM t)),
+    pieces AS (
+      SELECT c.conv_id, 0 AS own, p, name, words FROM c JOIN t ON t.conv_id = c.base AND p <= h
+      UNION ALL SELECT conv_id, 1, p, name, words FROM c JOIN t USING (conv_id) WHERE p > h),
+    s AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY own, p) AS d, name, words FROM pieces),
+    spots AS (
+      SELECT conv_id, d, words,
+        md5(string_agg(name, '') OVER (PARTITION BY conv_id ORDER BY d ROWS UNBOUNDED PRECEDING)) AS node FROM s
+      UNION ALL SELECT conv_id, 0, 0, '' FROM c),
+    m AS (
+      SELECT *, lag(node) OVER (PARTITION BY conv_id ORDER BY d) AS above,
+        d = max(d) OVER (PARTITION BY conv_id) AS last FROM spots),
+    nodes AS (
+      SELECT node, d, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(words) AS words, any_value(above) AS above,
+        sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (last), '')) AS ends_sha256
+      FROM m GROUP BY node, d),
+    kids AS (SELECT above AS node, count(*) AS n FROM nodes WHERE above IS NOT NULL GROUP BY above),
+    under AS (
+      SELECT m.node, sum((v.n_convs - 1) * v.words)::BIGINT AS saved_tokens,
+        count(*) FILTER (k.n IS NULL) AS n_leaves
+      FROM nodes v LEFT JOIN kids k USING (node) JOIN m ON m.conv_id = v.conv_id AND m.d <= v.d GROUP BY m.node)
+    SELECT n.conv_id, n.d::BIGINT AS depth, up.conv_id AS parent_conv_id, n.n_convs, coalesce(k.n, 0)::BIGINT AS n_children,
+      u.n_leaves, u.saved_tokens, n.ends_sha256
+    FROM nodes n JOIN under u USING (node) LEFT JOIN kids k USING (node) LEFT JOIN nodes up ON up.node = n.above"""
+
+
+def op13() -> str:
+    more = substrings.WINDOW - 1
+    return rf"""
+    WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '{_WORD}') AS w FROM documents),
+    windows AS (
+      SELECT r, p, md5(array_to_string(w[p : p + {more}], ' ')) AS h
+      FROM (SELECT r, w, unnest(range(1, len(w) - {more} + 1)) AS p FROM d WHERE len(w) > {more})),
+    repeated AS (SELECT h FROM windows GROUP BY h HAVING count(*) > 1),
+    hits AS (SELECT r, p, p AS start FROM windows SEMI JOIN repeated USING (h)),
+    words AS (SELECT r, unnest(range(1, len(w) + 1)) AS p, unnest(w) AS word FROM d),
+    judged AS (
+      SELECT r, p, word, p - max(start) OVER (PARTITION BY r ORDER BY p ROWS UNBOUNDED PRECEDING) <= {more} AS gone
+      FROM words LEFT JOIN hits USING (r, p)),
+    kept AS (
+      SELECT r, count(*) FILTER (gone) AS n_removed, string_agg(word, ' ' ORDER BY p) FILTER (gone IS NOT TRUE) AS text
+      FROM judged GROUP BY r)
+    SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed,
+      sha256(coalesce(text, '')) AS kept_sha256 FROM d LEFT JOIN kept USING (r)"""
+
+
 ORACLES = {
     "op1_license_scans": op1(),
     "op4_mixing": op4(),
     "op5_quality_rules": op5(),
     "op10_secret_scans": op10(),
+    "op11_ranked_search": op11(),
+    "op12_prefix_trie": op12(),
+    "op13_substring_dedup": op13(),
 }

@@ -15,7 +15,7 @@ before their parent and the ids that end in an unfinished node do not travel wit
 under the parent's name and joined with it at the end.
 
 Conversations are rebuilt first: conversation c takes the first h turns of conversation c - c % 20 and goes on with
-its own turns after its first h, h being the CRC-32 of its decimal id modulo 4.
+its own turns after its first h, h being the CRC-32 of its decimal id modulo 4; a remainder has the sign of its id.
 
 Defined results: turns without a conv_id belong to no conversation and are left out; a null role or text counts as
 empty; turns are ordered by number, null first, equal numbers by the hash that names the turn; repeated rows are turns

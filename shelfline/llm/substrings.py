@@ -26,6 +26,7 @@ empty table gives an empty result; columns other than ``doc_id`` and ``text`` ar
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -44,7 +45,7 @@ _SPAN = WINDOW - ANCHOR + 1
 _ROWS = 512
 
 
-def words_of(text: str | None) -> list[bytes]:
+def _words_of(text: str | None) -> list[bytes]:
     # Bytes split at the very six separators.
     return text.encode("utf-8", "surrogatepass").split() if text else []
 
@@ -73,7 +74,7 @@ def _anchors(keyed: DataFrame) -> DataFrame:
         for batch in batches:
             for start in range(0, len(batch), _ROWS):
                 part = batch.iloc[start : start + _ROWS]
-                anchors = [window_anchors(word_hashes(words_of(text)))[1].view(np.int64) for text in part["text"]]
+                anchors = [window_anchors(word_hashes(_words_of(text)))[1].view(np.int64) for text in part["text"]]
                 yield part[["doc_id", "k1", "k2"]].assign(anchors=anchors)[[len(a) > 0 for a in anchors]]
 
     return keyed.mapInPandas(found, "doc_id long, k1 long, k2 long, anchors array<long>")
@@ -137,19 +138,30 @@ def _flags(texts: DataFrame, repeated: DataFrame) -> DataFrame:
     return counted.filter("copies > 1 OR flagged IS NOT NULL")
 
 
-_FOUND = (
-    "doc_id long, n_words long, n_removed long, kept_sha256 string, uid long, text string, starts array<int>, "
-    "slice long, h binary, g binary, u binary, s binary"
-)
-_COLUMNS = [field.split()[0] for field in _FOUND.split(", ")]
 # In place of where a window starts: it is known to be repeated. Windows that need no answer have their place inverted.
 _SETTLED = np.iinfo(np.int32).min
+_TYPES = {"h": np.uint64, "g": np.uint32, "u": np.int64, "s": np.int32}
 
 
 def _sha(words: list[bytes]) -> str:
     return hashlib.sha256(b" ".join(words)).hexdigest()
 
 
+def _compressed(keyed: DataFrame) -> DataFrame:
+    """The texts as compressed bytes, as they are shuffled twice."""
+
+    def packed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            texts = [None if t is None else zlib.compress(t.encode("utf-8", "surrogatepass"), 1) for t in batch["text"]]
+            yield batch[["doc_id", "k1", "k2"]].assign(packed=texts)
+
+    return keyed.mapInPandas(packed, "doc_id long, k1 long, k2 long, packed binary")
+
+
+def _unpacked(packed: bytes | None) -> list[bytes]:
+    return [] if packed is None else zlib.decompress(packed).split()
+
+
 class Windows:
     """Windows that must be grouped, as columns: a hash in two parts, the text and the place."""
 
@@ -158,10 +170,10 @@ class Windows:
 
     @classmethod
     def joined(cls, parts: list[Windows]) -> Windows:
-        return cls(*(np.concatenate([getattr(p, c) for p in parts]) for c in "hgus"))
+        return cls(*(np.concatenate([getattr(p, c) for p in parts]) for c in _TYPES))
 
     def __getitem__(self, at: np.ndarray) -> Windows:
-        return Windows(*(getattr(self, c)[at] for c in "hgus"))
+        return Windows(*(getattr(self, c)[at] for c in _TYPES))
 
     def __len__(self) -> int:
         return len(self.h)
@@ -195,44 +207,28 @@ class Windows:
         first.s = np.where(repeated, _SETTLED, first.s)
         return w[known], first
 
-    def sliced(self, bits: int) -> pd.DataFrame:
-        at = (self.h >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(self), dtype=np.int64)
+    def sliced(self, at: np.ndarray, settled: bool = False) -> pd.DataFrame:
+        """As columns of bytes for each slice; those that are ``settled`` only pass on their answers."""
         # By text and place within a slice, where these columns compress.
         order = np.lexsort((self.s, self.u, at))
         w, at = self[order], at[order]
-        begins = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
-        columns = {c: [p.tobytes() for p in np.split(getattr(w, c), begins[1:])] for c in "hgus"}
-        return pd.DataFrame({"slice": at[begins], **columns})
+        begins = np.flatnonzero(np.r_[True, at[1:] != at[:-1]]) if len(w) else np.empty(0, dtype=np.int64)
+        columns = {c: [p.tobytes() for p in np.split(getattr(w, c), begins[1:])] if len(w) else [] for c in _TYPES}
+        return pd.DataFrame({"slice": at[begins], "settled": settled, **columns})
 
 
-_TYPES = {"h": np.uint64, "g": np.uint32, "u": np.int64, "s": np.int32}
+_SENT = "slice long, settled boolean, h binary, g binary, u binary, s binary"
 
 
-def _second_pass(marked: DataFrame, per_slice: int, bits: int) -> DataFrame:
-    """Settled documents, texts that are still open, answers for them, and windows to be grouped."""
-
-    def judged(row) -> tuple[tuple, Windows | None]:
-        words = words_of(row.text)
-        n = len(words)
-        repeated = n >= WINDOW and not pd.isna(row.copies) and row.copies > 1
-        stands_for_all = not repeated or pd.isna(row.first_id) or row.first_id == row.doc_id
-        windows = None
-        if row.flagged is not None and stands_for_all:
-            hashes = word_hashes(words)
-            starts = np.flatnonzero(np.isin(window_anchors(hashes)[0].view(np.int64), row.flagged)).astype(np.int32)
-            h, g = (run_hashes(hashes, WINDOW, lane)[starts] for lane in (0, 1))
-            u = np.full(len(starts), int(row.uid), dtype=np.int64)
-            windows = Windows(h, (g >> np.uint64(32)).astype(np.uint32), u, ~starts if repeated else starts)
-        if repeated:
-            return (row.doc_id, n, n, _sha([]), None, None), windows
-        if windows is not None and len(windows):
-            return (row.doc_id, n, None, None, row.uid, row.text), windows
-        return (row.doc_id, n, 0, _sha(words), None, None), None
-
-    def framed(frame: pd.DataFrame) -> pd.DataFrame:
-        whole = {"doc_id": "Int64", "n_words": "Int64", "n_removed": "Int64", "uid": "Int64", "slice": "Int64"}
-        frame = frame.assign(**{name: None for name in _COLUMNS if name not in frame})
-        return frame[_COLUMNS].astype(whole)
+def _windows(marked: DataFrame, per_slice: int, bits: int) -> DataFrame:
+    """The windows that must be grouped, by slices, and answers to those that are repeated within what a task holds."""
+
+    def hashed(row) -> Windows:
+        hashes = word_hashes(_unpacked(row.packed))
+        starts = np.flatnonzero(np.isin(window_anchors(hashes)[0].view(np.int64), row.flagged)).astype(np.int32)
+        h, g = (run_hashes(hashes, WINDOW, lane)[starts] for lane in (0, 1))
+        u = np.full(len(starts), row.uid, dtype=np.int64)
+        return Windows(h, (g >> np.uint64(32)).astype(np.uint32), u, ~starts if row.copies > 1 else starts)
 
     def found(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[Windows] = []
@@ -240,34 +236,41 @@ def _second_pass(marked: DataFrame, per_slice: int, bits: int) -> DataFrame:
         def sent() -> Iterator[pd.DataFrame]:
             here, rest = Windows.joined(held).settled_here()
             held.clear()
-            yield framed(here.answers())
-            yield framed(rest.sliced(bits))
+            here = here[here.s >= 0]
+            yield here.sliced(here.u & ((1 << bits) - 1), settled=True)
+            slices = (rest.h >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(rest), dtype=np.int64)
+            yield rest.sliced(slices)
 
+        size = 0
         for batch in batches:
-            for start in range(0, len(batch), _ROWS):
-                both = [judged(row) for row in batch.iloc[start : start + _ROWS].itertuples(index=False)]
-                yield framed(pd.DataFrame([row for row, _ in both], columns=_COLUMNS[:6], dtype=object))
-                held += [windows for _, windows in both if windows is not None and len(windows)]
-                if sum(map(len, held)) >= per_slice:
+            for row in batch.itertuples(index=False):
+                held.append(hashed(row))
+                size += len(held[-1])
+                if size >= per_slice:
                     yield from sent()
+                    size = 0
         if held:
             yield from sent()
 
-    return marked.mapInPandas(found, _FOUND)
+    return marked.mapInPandas(found, _SENT)
+
 
+def _repeated_starts(sent: DataFrame) -> DataFrame:
+    """(uid, starts): where repeated windows start in texts that stand once."""
 
-def _repeated_starts(found: DataFrame) -> DataFrame:
-    """(uid, starts): where repeated windows start in the open texts."""
+    def column(part: pd.DataFrame, name: str) -> np.ndarray:
+        return np.frombuffer(b"".join(part[name]), dtype=_TYPES[name])
 
     def grouped(part: pd.DataFrame) -> pd.DataFrame:
-        columns = (np.frombuffer(b"".join(part[c]), dtype=kind) for c, kind in _TYPES.items())
-        w, begins, repeated = Windows(*columns).grouped()
-        return w[np.repeat(repeated, np.diff(np.r_[begins, len(w)]))].answers()
+        settled, others = part[part["settled"]], part[~part["settled"]]
+        known = Windows(*(column(settled, c) for c in _TYPES))
+        if not len(others):
+            return known.answers()
+        w, begins, repeated = Windows(*(column(others, c) for c in _TYPES)).grouped()
+        return Windows.joined([known, w[np.repeat(repeated, np.diff(np.r_[begins, len(w)]))]]).answers()
 
-    sent = found.filter("slice IS NOT NULL").select("slice", "h", "g", "u", "s")
     answers = sent.groupBy("slice").applyInPandas(grouped, "uid long, starts array<int>")
-    here = found.filter("starts IS NOT NULL").select("uid", "starts")
-    return answers.unionByName(here).groupBy("uid").agg(F.flatten(F.collect_list("starts")).alias("starts"))
+    return answers.groupBy("uid").agg(F.flatten(F.collect_list("starts")).alias("starts"))
 
 
 def covered(starts: np.ndarray, n_words: int) -> np.ndarray:
@@ -278,25 +281,26 @@ def covered(starts: np.ndarray, n_words: int) -> np.ndarray:
     return np.cumsum(steps[:-1]) > 0
 
 
-def _kept_words(open_texts: DataFrame, text_too: bool) -> DataFrame:
+def _kept_words(marked: DataFrame, text_too: bool) -> DataFrame:
     def kept(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
-            for text, starts in zip(batch["text"], batch["starts"]):
-                words = words_of(text)
-                if starts is not None:
+            for packed, copies, starts in zip(batch["packed"], batch["copies"], batch["starts"]):
+                left = words = _unpacked(packed)
+                if copies > 1:  # only texts that have a window are counted
+                    left = []
+                elif starts is not None:
                     gone = covered(np.asarray(starts, dtype=np.int64), len(words))
                     left = [word for word, drop in zip(words, gone.tolist()) if not drop]
-                else:
-                    left = words
-                joined = b" ".join(left).decode("utf-8", "surrogatepass") if text_too else None
-                rows.append((len(words), len(words) - len(left), _sha(left), joined))
+                changed = text_too and len(left) < len(words)
+                text = b" ".join(left).decode("utf-8", "surrogatepass") if changed else None
+                rows.append((len(words), len(words) - len(left), _sha(left), text))
             out = pd.DataFrame(rows, columns=["n_words", "n_removed", "kept_sha256", "kept_text"])
             out.insert(0, "doc_id", batch["doc_id"].array)
             yield out
 
     schema = "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string"
-    return open_texts.mapInPandas(kept, schema)
+    return marked.mapInPandas(kept, schema)
 
 
 def deduplicated(
@@ -312,10 +316,11 @@ def deduplicated(
     flags = stored(_flags(texts, _sketch(texts, per_slice, bits, width_bits)), "flags")
     # An anchor has about a dozen windows.
     window_bits = _slice_bits(flags.agg(F.sum(_SPAN // 2 * F.size("flagged"))).first()[0] or 0, per_slice)
-    found = stored(_second_pass(keyed.join(flags, ["k1", "k2"], "left"), per_slice, window_bits), "windows")
-    columns = ["doc_id", "n_words", "n_removed", "kept_sha256"]
-    settled = found.filter("kept_sha256 IS NOT NULL").select(*columns, F.when(F.col("n_removed") > 0, "").alias("kept_text"))
-    still = found.filter("text IS NOT NULL").select("doc_id", "uid", "text")
-    still = still.join(_repeated_starts(found), "uid", "left").select("doc_id", "text", "starts")
-    result = settled.unionByName(_kept_words(still, with_text))
-    return result if with_text else result.select(*columns)
+    # Of a text that stands several times one row is hashed, that of the least id.
+    stands_for_all = (F.col("copies") == 1) | F.col("first_id").isNull() | (F.col("doc_id") == F.col("first_id"))
+    marked = _compressed(keyed).join(flags.filter("flagged IS NOT NULL"), ["k1", "k2"]).filter(stands_for_all)
+    starts = _repeated_starts(_windows(marked.select("packed", "uid", "copies", "flagged"), per_slice, window_bits))
+    verdicts = stored(flags.select("uid", "k1", "k2", "copies").join(starts, "uid", "left").drop("uid"), "verdicts")
+    judged = _compressed(keyed).join(verdicts, ["k1", "k2"], "left").select("doc_id", "packed", "copies", "starts")
+    result = _kept_words(judged, with_text)
+    return result if with_text else result.drop("kept_text")
