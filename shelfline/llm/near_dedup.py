@@ -1,20 +1,22 @@
 """MinHash near-dedup with an LSH forest.
 
-A document is the set of its 5-word shingles. Documents with equal sets are one class, named by
-a hash of the set. Each class has ``TREES`` sorted signature orders, the sequences of ``DEEP`` minima of so many seeded
-hashes. Classes whose sequences begin alike are neighbours in that order. How long the common prefix must be
-is set region by region: a prefix of ``SHALLOW`` values makes a region. Where more than ``crowded`` classes share one, its
-members meet in regions of ``DEEP`` values instead, in ``LAYOUTS`` times as many orders: the same minima dealt anew, so
-that two orders share one value at most.
-
-Two texts of Jaccard similarity 0.8 miss each other in all 16 shallow orders with probability 1e-5, at 0.85 2.4e-7. In the
-64 deep orders a model of 400,000 pairs gave 3 misses at 0.8, none at 0.85. Within regions nothing is left out:
-
-1. Every member is compared with its region's pivot. Confirmed links give first components.
-2. Members in another component than the pivot are compared with other pivots, drawn anew in each of some turns: in a
-   group of copies that resemble only some of each other, each turn joins most of what was apart.
-3. Members that are still apart are compared with every member of their regions that is in another component.
-   Turns only spare pairs that the components already answer; what is left after them is compared whole.
+A document is the set of its 5-word shingles. Documents with equal sets are one class, named by a hash of
+the set. Each class has a signature in each of ``TREES`` trees, the sequence of ``DEPTH`` minima of as many seeded hashes.
+A tree is the order of all classes sorted by their signatures: the further two begin alike, the nearer they stand.
+
+1. The orders are range-partitioned and sorted, and every class meets its neighbour on either side, with the length of
+   their common prefix (LCP). The neighbour with the longest LCP in all trees is the candidate of a class; confirmed
+   candidates give first components.
+2. A region is a stretch of an order whose signatures share their first ``FIRST`` values. Regions in which all
+   classes are in one component are done. Where a region still holds more than ``crowded`` components it is parted by one
+   more value, and so on as far as it is so dense: the depth is found region by region, down to ``DEPTH``.
+3. In each turn the members of a region that are not in the component of its pivot are compared with that pivot, which
+   is drawn anew each time: in a group of copies that resemble only some of each other, a turn joins most of what
+   was apart. Members that are apart after these turns are compared with every member of their regions that is in another
+   component, so within regions nothing is left out.
+
+Two texts of Jaccard similarity 0.85 share no region of depth 3 with probability 2.4e-7 (at 0.8 1e-5), of depth 6 with
+5e-4. Only pairs whose shared regions are all dense in components meet the deeper figure.
 
 Links are confirmed on the full shingle sets, as 64-bit hashes of the five words.
 
@@ -38,16 +40,12 @@ from shelfline.llm.common import stored, without
 from shelfline.llm.components import components
 
 SHINGLE = 5
-TREES, SHALLOW, DEEP, LAYOUTS = 16, 3, 6, 4
+TREES, FIRST, DEPTH = 16, 3, 6
+_VALUE = 2  # bytes of a minimum that a signature keeps
 _CODE = "xxhash64(n, key_a, key_b) AS code"
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _POWERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 1], dtype=np.uint64)
-_SEEDS = np.random.default_rng(20_240_601).integers(1, 1 << 62, TREES * DEEP, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-# The tree from which a deep order takes its value of each depth.
-_DEALT = np.array(
-    [[(tree + layout * depth) % TREES for depth in range(DEEP)] for layout in range(LAYOUTS) for tree in range(TREES)]
-)
-
+_SEEDS = np.random.default_rng(20_240_601).integers(1, 1 << 62, TREES * DEPTH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 def _mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(31))) * np.uint64(0x7FB5D329728EA185)
@@ -72,22 +70,14 @@ def shingles(text: str | None) -> np.ndarray:
     return np.unique(_mixed(total))
 
 
-def prefixes(found: np.ndarray) -> tuple[list[int], list[int]]:
-    """The hash of the first ``SHALLOW`` minima per tree, and that of all ``DEEP`` per deep order, in 32 bits."""
+def signatures(found: np.ndarray) -> list[bytes]:
+    """The signature of a set in each tree: ``DEPTH`` values of two bytes, in an order that bytes are compared in."""
     minima = np.full(len(_SEEDS), np.iinfo(np.uint64).max, dtype=np.uint64)
     for start in range(0, len(found), 512):
         block = found[start : start + 512, None] * _SEEDS
         np.minimum(minima, block.min(axis=0), out=minima)
-    by_tree = minima.reshape(TREES, DEEP)
-
-    def hashed(values: np.ndarray) -> np.ndarray:
-        total = np.arange(1, len(values) + 1, dtype=np.uint64) * _POWERS[0]
-        for depth in range(values.shape[1]):
-            total = _mixed(total * _POWERS[1] + values[:, depth])
-        return total
-
-    deep = hashed(by_tree[_DEALT, np.arange(DEEP)]) >> np.uint64(32)
-    return hashed(by_tree[:, :SHALLOW]).view(np.int64).tolist(), deep.astype(np.uint32).view(np.int32).tolist()
+    values = (_mixed(minima) >> np.uint64(64 - 8 * _VALUE)).astype(f">u{_VALUE}").reshape(TREES, DEPTH)
+    return [row.tobytes() for row in values]
 
 
 def _keys(found: np.ndarray) -> tuple[int, int]:
@@ -101,22 +91,22 @@ def _text_key() -> Column:
 
 
 def _sketches(docs: DataFrame) -> DataFrame:
-    """(doc_id, text_key, code, n, shallow, deep): a hash of the text, the name of its set's class, its size, prefixes."""
+    """(doc_id, text_key, code, n, signatures): a hash of the text, the name of its set's class, its size."""
 
     def sketched(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
             for text in batch["text"]:
                 found = shingles(text)
-                rows.append((len(found), *_keys(found), *(prefixes(found) if len(found) else ([], []))))
-            out = pd.DataFrame(rows, columns=["n", "key_a", "key_b", "shallow", "deep"])
+                rows.append((len(found), *_keys(found), signatures(found) if len(found) else []))
+            out = pd.DataFrame(rows, columns=["n", "key_a", "key_b", "signatures"])
             out.insert(0, "doc_id", batch["doc_id"].array)
             out.insert(1, "text_key", batch["text_key"].array)
             yield out
 
     rows = docs.select(F.col("doc_id").cast("long"), _text_key(), F.col("text").cast("string"))
-    schema = "doc_id long, text_key long, n long, key_a long, key_b long, shallow array<long>, deep array<int>"
-    return rows.mapInPandas(sketched, schema).selectExpr("doc_id", "text_key", _CODE, "n", "shallow", "deep")
+    schema = "doc_id long, text_key long, n long, key_a long, key_b long, signatures array<binary>"
+    return rows.mapInPandas(sketched, schema).selectExpr("doc_id", "text_key", _CODE, "n", "signatures")
 
 
 def _sets(texts: DataFrame) -> DataFrame:
@@ -148,22 +138,69 @@ def _ordered(a: str, b: str) -> list[Column]:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
-def _regions(classes: DataFrame, crowded: int) -> DataFrame:
-    """(region, code, n, pivot, pivot_n) of the classes in every region that holds several."""
-    def shared(rows: DataFrame) -> DataFrame:
-        first = F.min(F.struct("code", "n")).alias("first")
-        sizes = rows.groupBy("tree", "prefix").agg(F.count("*").alias("size"), first).filter("size > 1")
-        return rows.join(sizes, ["tree", "prefix"])
+def _orders(classes: DataFrame) -> DataFrame:
+    """(tree, signature, code, n): a row of each class in each tree."""
+    return classes.select(F.posexplode("signatures").alias("tree", "signature"), "code", "n")
 
-    def named(rows: DataFrame, depth: str) -> DataFrame:
-        region = F.xxhash64("tree", "prefix", F.lit(depth)).alias("region")
-        return rows.select(region, "code", "n", F.col("first.code").alias("pivot"), F.col("first.n").alias("pivot_n"))
 
-    wide = stored(shared(classes.select("code", "n", F.posexplode("shallow").alias("tree", "prefix"))), "regions")
-    among_many = wide.filter(F.col("size") > crowded).select("code").distinct()
-    members = classes.join(among_many, "code", "left_semi")
-    narrow = shared(members.select("code", "n", F.posexplode("deep").alias("tree", "prefix")))
-    return named(wide.filter(F.col("size") <= crowded), "shallow").unionByName(named(narrow, "deep"))
+def _at_border(code: pd.Series) -> pd.DataFrame:
+    return pd.DataFrame({"a": code.array, "b": code.array, "lcp": 0})
+
+
+def _neighbours(orders: DataFrame) -> DataFrame:
+    """(a, b, lcp) of classes that are next to each other in an order and share ``FIRST`` values at least.
+
+    Those at a partition's borders come with themselves: what stands beyond is not seen here, but their regions are looked at
+    later like any other.
+    """
+
+    def met(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        last = None
+        for batch in batches:
+            if last is None:
+                yield _at_border(batch["code"].iloc[:1])
+            else:
+                batch = pd.concat([last, batch], ignore_index=True)
+            last = batch.iloc[-1:]
+            values = np.frombuffer(b"".join(batch["signature"]), dtype=f">u{_VALUE}").reshape(-1, DEPTH)
+            same = np.cumprod(values[1:] == values[:-1], axis=1).sum(axis=1)
+            same[batch["tree"].to_numpy()[1:] != batch["tree"].to_numpy()[:-1]] = 0
+            code, near = batch["code"].to_numpy(), same >= FIRST
+            yield pd.DataFrame({"a": code[:-1][near], "b": code[1:][near], "lcp": same[near]})
+        if last is not None:
+            yield _at_border(last["code"])
+
+    by = ["tree", "signature", "code"]
+    rows = orders.select(*by).repartitionByRange(*by).sortWithinPartitions(*by)
+    return rows.mapInPandas(met, "a long, b long, lcp long")
+
+
+def _nearest(met: DataFrame) -> DataFrame:
+    """(a, b): every class with the neighbour of the longest common prefix in all trees."""
+    met = met.filter("a <> b")
+    both = met.unionByName(met.select(F.col("b").alias("a"), F.col("a").alias("b"), "lcp"))
+    best = both.groupBy("a").agg(F.max(F.struct("lcp", "b")).alias("best"))
+    return best.select("a", F.col("best.b").alias("b")).select(*_ordered("a", "b")).distinct()
+
+
+def _regions(orders: DataFrame, met: DataFrame, parts: DataFrame, crowded: int) -> DataFrame:
+    """(region, code, n) of the classes in every region that holds several components."""
+    alone = parts.select(F.col("node").alias("code"), F.col("component").alias("own"))
+    near = met.select(F.col("a").alias("code")).unionByName(met.select(F.col("b").alias("code"))).distinct()
+    rows = orders.join(near, "code", "left_semi").join(alone, "code", "left").withColumn("own", F.coalesce("own", "code"))
+    found = None
+    for depth in range(FIRST, DEPTH + 1):
+        placed = rows.withColumn("prefix", F.substring("signature", 1, depth * _VALUE))
+        sizes = placed.groupBy("tree", "prefix").agg(F.count_distinct("own").alias("apart"))
+        # Regions of one component are done.
+        placed = stored(placed.join(sizes.filter("apart > 1"), ["tree", "prefix"]), "regions")
+        settled = placed if depth == DEPTH else placed.filter(F.col("apart") <= crowded)
+        named = settled.select(F.xxhash64("tree", "prefix", F.lit(depth)).alias("region"), "code", "n")
+        found = named if found is None else found.unionByName(named)
+        rows = placed.filter(F.col("apart") > crowded).select("tree", "signature", "code", "n", "own")
+        if not rows.head(1):
+            break
+    return found
 
 
 def _class_sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -206,11 +243,11 @@ def _placed(regions: DataFrame, parts: DataFrame) -> DataFrame:
 
 
 def _far_from_pivot(placed: DataFrame, turn: int) -> DataFrame:
-    """Members in another component than their region's pivot of this turn: (region, size, code, n, own, pivot, pivot_n)."""
+    """Members in another component than their region's pivot of this turn: (region, code, n, own, pivot, pivot_n)."""
     drawn = F.min(F.struct(F.xxhash64("code", "region", F.lit(turn)).alias("_"), "code", "n", "own")).alias("pivot")
-    pivots = placed.groupBy("region").agg(F.count("*").alias("size"), drawn)
+    pivots = placed.groupBy("region").agg(drawn)
     return placed.join(pivots, "region").filter(F.col("own") != F.col("pivot.own")).select(
-        "region", "size", "code", "n", "own", F.col("pivot.code").alias("pivot"), F.col("pivot.n").alias("pivot_n")
+        "region", "code", "n", "own", F.col("pivot.code").alias("pivot"), F.col("pivot.n").alias("pivot_n")
     )
 
 
@@ -257,32 +294,27 @@ def _components(docs: DataFrame, percent: int, crowded: int, turns: int, version
         usable.groupBy("code").agg(
             F.min("doc_id").alias("doc_id"),
             F.first("n").alias("n"),
-            F.first("shallow").alias("shallow"),
-            F.first("deep").alias("deep"),
+            F.first("signatures").alias("signatures"),
         ),
         "classes",
     )
-    regions = stored(_regions(classes, crowded), "forest")
-    pairs = stored(
-        regions.filter((F.col("code") != F.col("pivot")) & _similar("n", "pivot_n", percent))
-        .select(*_ordered("code", "pivot"))
-        .distinct(),
-        "pairs",
-    )
-    sets = stored(_class_sets(docs, classes, regions.select("code").distinct()), "shingle-sets")
-    links = _confirmed(pairs, sets, percent)
+    orders = _orders(classes)
+    met = stored(_neighbours(orders), "neighbours")
+    wanted = met.select(F.col("a").alias("code")).unionByName(met.select(F.col("b").alias("code"))).distinct()
+    sets = stored(_class_sets(docs, classes, wanted), "shingle-sets")
+    sizes = classes.select("code", "n")
+    pairs = _nearest(met).join(sizes.toDF("a", "n_a"), "a").join(sizes.toDF("b", "n_b"), "b")
+    links = _confirmed(stored(pairs.filter(_similar("n_a", "n_b", percent)).select("a", "b"), "pairs"), sets, percent)
     if versions:
         links = links.unionByName(_versions(usable))
     found = stored(components(links), "parts")
-    members = regions.select("region", "code", "n")
+    members = stored(_regions(orders, met, found, crowded), "forest")
     for turn in range(turns + 1):
         placed = stored(_placed(members, found), "placed")
         odd = stored(_far_from_pivot(placed, turn), "odd")
-        left, rows = odd.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0], placed.count()
-        if not left:
+        if not odd.head(1):
             break
-        last = turn == turns or left <= 2 * rows
-        if last:
+        if turn == turns:
             found = _merged(found, _across(placed, odd, sets, percent))
             break
         close = odd.filter(_similar("n", "pivot_n", percent)).select(*_ordered("code", "pivot")).distinct()

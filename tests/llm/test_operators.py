@@ -131,13 +131,27 @@ def test_representatives_of_repeated_rows_and_versions(documents):
     assert kept == {(5, a[0]): 1, (7, b[0]): 1, (9, c[0]): 1, (9, d[0]): 1, (None, a[0]): 2, (3, ""): 1, (4, ""): 1}
 
 
-def test_deep_orders_rarely_miss_a_pair():
+@pytest.mark.parametrize("depth,share", [(near_dedup.FIRST, 0), (near_dedup.DEPTH, 0.002)])
+def test_orders_rarely_miss_a_pair(depth, share):
     draw, missed = np.random.default_rng(11), 0
     for _ in range(4000):
         common = draw.integers(0, 1 << 63, 200, dtype=np.uint64)
-        one, two = (np.concatenate([common, draw.integers(0, 1 << 63, 25, dtype=np.uint64)]) for _ in range(2))
-        missed += not any(x == y for x, y in zip(near_dedup.prefixes(one)[-1], near_dedup.prefixes(two)[-1]))
-    assert missed <= 2
+        one, two = (np.concatenate([common, draw.integers(0, 1 << 63, 17, dtype=np.uint64)]) for _ in range(2))
+        a, b = (near_dedup.signatures(found) for found in (one, two))
+        missed += not any(x[: 2 * depth] == y[: 2 * depth] for x, y in zip(a, b))
+    assert missed <= share * 4000
+
+
+def test_texts_of_one_dense_region_lose_no_link(documents):
+    """Many texts that share most of their shingles, some of them near copies, in regions parted as deep as they go."""
+    base, texts = words_of(200, 77), {}
+    for i in range(60):
+        changed = [w if (j * 7 + i) % 9 else f"own{i}x{j}" for j, w in enumerate(base)]
+        texts[2 * i] = " ".join(changed)
+        texts[2 * i + 1] = " ".join([*changed[:100], f"new{i}", *changed[101:]])
+    for crowded in (2, 24):
+        got = near_dedup.near_duplicates(documents(list(texts.items())), crowded=crowded).collect()
+        assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute_components(texts)
 
 
 def test_components_of_long_paths(spark):
