@@ -140,7 +140,8 @@ def _flags(texts: DataFrame, repeated: DataFrame) -> DataFrame:
 
 # In place of where a window starts: it is known to be repeated. Windows that need no answer have their place inverted.
 _SETTLED = np.iinfo(np.int32).min
-_TYPES = {"h": np.uint64, "g": np.uint32, "u": np.int64, "s": np.int32}
+# Texts whose answers are gathered in one task.
+_PER_PART = 1 << 14
 
 
 def _sha(words: list[bytes]) -> str:
@@ -170,10 +171,10 @@ class Windows:
 
     @classmethod
     def joined(cls, parts: list[Windows]) -> Windows:
-        return cls(*(np.concatenate([getattr(p, c) for p in parts]) for c in _TYPES))
+        return cls(*(np.concatenate([getattr(p, c) for p in parts]) for c in "hgus"))
 
     def __getitem__(self, at: np.ndarray) -> Windows:
-        return Windows(*(getattr(self, c)[at] for c in _TYPES))
+        return Windows(*(getattr(self, c)[at] for c in "hgus"))
 
     def __len__(self) -> int:
         return len(self.h)
@@ -190,14 +191,6 @@ class Windows:
         other[1:] &= (w.u[1:] != w.u[:-1]) | (place[1:] != place[:-1])
         return w, begins, np.logical_or.reduceat(other | (w.s == _SETTLED), begins)
 
-    def answers(self) -> pd.DataFrame:
-        """(uid, starts) of those that need an answer."""
-        need = self[self.s >= 0]
-        need = need[np.lexsort((need.s, need.u))]
-        begins = np.flatnonzero(np.r_[True, need.u[1:] != need.u[:-1]]) if len(need) else np.empty(0, dtype=np.int64)
-        starts = np.split(need.s, begins[1:]) if len(need) else []
-        return pd.DataFrame({"uid": need.u[begins], "starts": pd.Series(starts, dtype=object)})
-
     def settled_here(self) -> tuple[Windows, Windows]:
         """Those that are repeated among themselves, and what other tasks must know: a row for each distinct window."""
         w, begins, repeated = self.grouped()
@@ -207,17 +200,37 @@ class Windows:
         first.s = np.where(repeated, _SETTLED, first.s)
         return w[known], first
 
-    def sliced(self, at: np.ndarray, settled: bool = False) -> pd.DataFrame:
-        """As columns of bytes for each slice; those that are ``settled`` only pass on their answers."""
-        # By text and place within a slice, where these columns compress.
+    def cut(self, at: np.ndarray) -> Iterator[tuple[int, Windows]]:
+        """Those of each number in ``at``, by text and place, an order in which these columns compress well."""
         order = np.lexsort((self.s, self.u, at))
         w, at = self[order], at[order]
         begins = np.flatnonzero(np.r_[True, at[1:] != at[:-1]]) if len(w) else np.empty(0, dtype=np.int64)
-        columns = {c: [p.tobytes() for p in np.split(getattr(w, c), begins[1:])] if len(w) else [] for c in _TYPES}
-        return pd.DataFrame({"slice": at[begins], "settled": settled, **columns})
+        for begin, end in zip(begins, np.r_[begins[1:], len(w)]):
+            yield int(at[begin]), w[np.arange(begin, end)]
+
+    def places(self) -> bytes:
+        """Texts and places as compressed differences."""
+        steps = (np.diff(c, prepend=c.dtype.type(0)).tobytes() for c in (self.u, self.s))
+        return zlib.compress(b"".join(steps), 1)
+
+
+def _places(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    data = zlib.decompress(data)
+    n = len(data) // 12
+    u = np.frombuffer(data, dtype=np.int64, count=n)
+    return np.cumsum(u), np.cumsum(np.frombuffer(data, dtype=np.int32, offset=8 * n), dtype=np.int32)
 
 
-_SENT = "slice long, settled boolean, h binary, g binary, u binary, s binary"
+def _read(part: pd.DataFrame) -> Windows:
+    """Windows from the rows they travelled in; those that are settled have no hashes."""
+    pairs = [_places(data) for data in part["places"]]
+    u = np.concatenate([u for u, _ in pairs] or [np.empty(0, dtype=np.int64)])
+    s = np.concatenate([s for _, s in pairs] or [np.empty(0, dtype=np.int32)])
+    h, g = (np.frombuffer(b"".join(part[c]), dtype=kind) for c, kind in (("h", np.uint64), ("g", np.uint32)))
+    return Windows(h, g, u, s) if len(h) else Windows(u.astype(np.uint64), u.astype(np.uint32), u, s)
+
+
+_SENT = "slice long, settled boolean, h binary, g binary, places binary"
 
 
 def _windows(marked: DataFrame, per_slice: int, bits: int) -> DataFrame:
@@ -236,10 +249,10 @@ def _windows(marked: DataFrame, per_slice: int, bits: int) -> DataFrame:
         def sent() -> Iterator[pd.DataFrame]:
             here, rest = Windows.joined(held).settled_here()
             held.clear()
-            here = here[here.s >= 0]
-            yield here.sliced(here.u & ((1 << bits) - 1), settled=True)
+            rows = [(at, True, b"", b"", w.places()) for at, w in here[here.s >= 0].cut(here.u[here.s >= 0] & ((1 << bits) - 1))]
             slices = (rest.h >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(rest), dtype=np.int64)
-            yield rest.sliced(slices)
+            rows += [(at, False, w.h.tobytes(), w.g.tobytes(), w.places()) for at, w in rest.cut(slices)]
+            yield pd.DataFrame(rows, columns=["slice", "settled", "h", "g", "places"])
 
         size = 0
         for batch in batches:
@@ -255,22 +268,28 @@ def _windows(marked: DataFrame, per_slice: int, bits: int) -> DataFrame:
     return marked.mapInPandas(found, _SENT)
 
 
-def _repeated_starts(sent: DataFrame) -> DataFrame:
+def _repeated_starts(sent: DataFrame, parts: int) -> DataFrame:
     """(uid, starts): where repeated windows start in texts that stand once."""
 
-    def column(part: pd.DataFrame, name: str) -> np.ndarray:
-        return np.frombuffer(b"".join(part[name]), dtype=_TYPES[name])
-
     def grouped(part: pd.DataFrame) -> pd.DataFrame:
-        settled, others = part[part["settled"]], part[~part["settled"]]
-        known = Windows(*(column(settled, c) for c in _TYPES))
-        if not len(others):
-            return known.answers()
-        w, begins, repeated = Windows(*(column(others, c) for c in _TYPES)).grouped()
-        return Windows.joined([known, w[np.repeat(repeated, np.diff(np.r_[begins, len(w)]))]]).answers()
-
-    answers = sent.groupBy("slice").applyInPandas(grouped, "uid long, starts array<int>")
-    return answers.groupBy("uid").agg(F.flatten(F.collect_list("starts")).alias("starts"))
+        known, others = _read(part[part["settled"]]), _read(part[~part["settled"]])
+        if len(others):
+            w, begins, repeated = others.grouped()
+            known = Windows.joined([known, w[np.repeat(repeated, np.diff(np.r_[begins, len(w)]))]])
+        known = known[known.s >= 0]
+        rows = [(at, w.places()) for at, w in known.cut(known.u % parts)]
+        return pd.DataFrame(rows, columns=["part", "places"])
+
+    def by_text(part: pd.DataFrame) -> pd.DataFrame:
+        pairs = [_places(data) for data in part["places"]]
+        u, s = np.concatenate([u for u, _ in pairs]), np.concatenate([s for _, s in pairs])
+        order = np.lexsort((s, u))
+        u, s = u[order], s[order]
+        begins = np.flatnonzero(np.r_[True, u[1:] != u[:-1]])
+        return pd.DataFrame({"uid": u[begins], "starts": pd.Series(np.split(s, begins[1:]), dtype=object)})
+
+    answers = sent.groupBy("slice").applyInPandas(grouped, "part long, places binary")
+    return answers.groupBy("part").applyInPandas(by_text, "uid long, starts array<int>")
 
 
 def covered(starts: np.ndarray, n_words: int) -> np.ndarray:
@@ -319,7 +338,8 @@ def deduplicated(
     # Of a text that stands several times one row is hashed, that of the least id.
     stands_for_all = (F.col("copies") == 1) | F.col("first_id").isNull() | (F.col("doc_id") == F.col("first_id"))
     marked = _compressed(keyed).join(flags.filter("flagged IS NOT NULL"), ["k1", "k2"]).filter(stands_for_all)
-    starts = _repeated_starts(_windows(marked.select("packed", "uid", "copies", "flagged"), per_slice, window_bits))
+    sent = _windows(marked.select("packed", "uid", "copies", "flagged"), per_slice, window_bits)
+    starts = _repeated_starts(sent, max(1, -(-flags.count() // _PER_PART)))
     verdicts = stored(flags.select("uid", "k1", "k2", "copies").join(starts, "uid", "left").drop("uid"), "verdicts")
     judged = _compressed(keyed).join(verdicts, ["k1", "k2"], "left").select("doc_id", "packed", "copies", "starts")
     result = _kept_words(judged, with_text)
