@@ -324,7 +324,7 @@ def _components(docs: DataFrame, percent: int, crowded: int, turns: int, version
     return sketches, of_class.withColumn("component", F.coalesce("component", "code"))
 
 
-def near_duplicates(docs: DataFrame, *, percent: int = 85, crowded: int = 24, turns: int = 2) -> DataFrame:
+def near_duplicates(docs: DataFrame, *, percent: int = 85, crowded: int = 24, turns: int = 1) -> DataFrame:
     """A row per document: ``n_shingles``, ``component_id`` and ``kept``."""
     sketches, of_class = _components(docs, percent, crowded, turns, True)
     least = of_class.groupBy("component").agg(F.min("doc_id").alias("component_id"))
@@ -340,7 +340,7 @@ def near_duplicates(docs: DataFrame, *, percent: int = 85, crowded: int = 24, tu
     )
 
 
-def representatives(docs: DataFrame, *, percent: int = 85, crowded: int = 24, turns: int = 2) -> DataFrame:
+def representatives(docs: DataFrame, *, percent: int = 85, crowded: int = 24, turns: int = 1) -> DataFrame:
     """``docs`` with one row of each group of near copies, of its smallest id; null ids stay.
 
     Versions of one id are judged apart: one goes only if its own text repeats another. Of rows without words one stays per id.
