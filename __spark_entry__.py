@@ -22,8 +22,8 @@ from shelfline.schemas import PUBLISHED_KEYS  # noqa: E402
 from shelfline.session import shared_dir  # noqa: E402
 from shelfline.sources import adapters, tables  # noqa: E402
 from shelfline.sources.adapters import Tables, bronze  # noqa: E402
-from shelfline.streaming.ingest import CORRUPT  # noqa: E402
-from shelfline.streaming.refresh import Store  # noqa: E402
+from shelfline.streaming.ingest import BEYOND, CORRUPT  # noqa: E402
+from shelfline.streaming.refresh import Store, generation_difference, refresh  # noqa: E402
 from shelfline.warehouse import Warehouse  # noqa: E402
 
 try:  # the pipeline operators stand or fall with their own subpackage
@@ -67,16 +67,31 @@ def _warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     )
 
 
+def _landed(spark: SparkSession, sf_dir: str, kind: str, run: Callable[..., Store]) -> tuple[Store, str, str]:
+    """A store filled from landed files, and the folders of both."""
+
+    def make() -> tuple[Store, str, str]:
+        folder, root = shared_dir(spark, "landing"), shared_dir(spark, kind)
+        return run(_warehouse(spark, sf_dir), folder, root, AS_OF), folder, root
+
+    return _once(kind, spark, sf_dir, make)
+
+
 def _store(spark: SparkSession, sf_dir: str) -> Store:
     """The given tables landed as files in two deliveries, each followed by an incremental refresh."""
-    return _once(
-        "store",
-        spark,
-        sf_dir,
-        lambda: samples.deliver_and_refresh(
-            _warehouse(spark, sf_dir), shared_dir(spark, "landing"), shared_dir(spark, "store"), AS_OF
-        ),
-    )
+    return _landed(spark, sf_dir, "store", samples.deliver_and_refresh)[0]
+
+
+def _interval_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Checked orders where the second delivery was taken by streams that ran on an interval."""
+    return _landed(spark, sf_dir, "interval", samples.deliver_and_run)[0].read("silver_orders").drop(*CLOCKS)
+
+
+def _full_refresh_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The generation that two deliveries made step by step against one that read both at once."""
+    step_by_step, folder, root = _landed(spark, sf_dir, "store", samples.deliver_and_refresh)
+    at_once = _once("full", spark, sf_dir, lambda: refresh(spark, folder, root, AS_OF, full=True))
+    return generation_difference(step_by_step, at_once, leave_out=(BEYOND,))
 
 
 def _published(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -129,7 +144,7 @@ def _without(*columns: str) -> Callable[[DataFrame], DataFrame]:
     return lambda df: df.drop(*columns)
 
 
-CLOCKS = ("_ingestion_ts", questions.ORDER_MONTH, CORRUPT)
+CLOCKS = ("_ingestion_ts", questions.ORDER_MONTH, gold.SESSION_MONTH, CORRUPT)
 DAILY, PRODUCTS, SESSIONS, LTV = (
     "gold_revenue_daily",
     "gold_top_products",
@@ -232,6 +247,30 @@ def _publish_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return status.drop("source_checksum", "copy_checksum")
 
 
+def _publish_stale(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where a copy that missed some changes of the customers differs from them, and a copy that is up to date."""
+    warehouse, copies = _warehouse(spark, sf_dir), _published(spark, sf_dir)
+    end = F.substring("customer_id", -2, 2)
+    value = F.col("lifetime_value")
+    old = copies[LTV].filter(end != "99").withColumn("lifetime_value", F.when(end == "13", value + 1).otherwise(value))
+    found = serving.stale_ranges(LTV, warehouse.table(LTV), old, PUBLISHED_KEYS[LTV])
+    return found.unionByName(
+        serving.stale_ranges(PRODUCTS, warehouse.table(PRODUCTS), copies[PRODUCTS], PUBLISHED_KEYS[PRODUCTS])
+    )
+
+
+def _order_rejects(rows: DataFrame) -> DataFrame:
+    return rows.select("order_id", "product_id", "status", "total_amount", F.array_join("reasons", ",").alias("reasons"))
+
+
+def _click_rejects(rows: DataFrame) -> DataFrame:
+    return rows.select("session_id", "customer_id", "event_type", "event_ts", F.array_join("reasons", ",").alias("reasons"))
+
+
+def _with_beyond(rows: DataFrame) -> DataFrame:
+    return rows.drop(*CLOCKS).withColumnRenamed(BEYOND, "beyond")
+
+
 def _deleted_sessions(turns: DataFrame) -> DataFrame:
     """Sessions without any reply."""
     replied = F.count_if(F.col("role") == "assistant")
@@ -382,6 +421,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         ),
         # serving, from the published copies
         "publish_reconcile": _publish_reconcile,
+        "publish_stale": _publish_stale,
         "kpi_totals": _on_copy(DAILY, query=serving.kpi_totals),
         "kpi_avg_ltv": _on_copy(LTV, query=serving.kpi_avg_ltv),
         "kpi_aov": _on_copy(DAILY, query=serving.kpi_aov),
@@ -436,12 +476,17 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         **_conversation_queries(),
         # landing files, ingested and refreshed by streams
         "ingested_orders": _from_store("bronze_orders", samples.described_orders),
-        "ingested_products": _from_store("bronze_products", _without(*CLOCKS)),
-        "ingested_clickstream": _from_store("bronze_clickstream", _without(*CLOCKS)),
+        "ingested_products": _from_store("bronze_products", _with_beyond),
+        "ingested_clickstream": _from_store("bronze_clickstream", _with_beyond),
         "ingested_customer_changes": _from_store("bronze_customers_cdc", _without(*CLOCKS)),
         "streamed_silver_orders": _from_store("silver_orders", clocks_off),
         "streamed_silver_clickstream": _from_store("silver_clickstream", clocks_off),
         "streamed_silver_customers": _from_store("silver_customers", clocks_off),
+        "streamed_rejects": _from_store("silver_orders_rejects", _order_rejects),
+        "streamed_click_rejects": _from_store("silver_clickstream_rejects", _click_rejects),
+        "streamed_dq_metrics": _from_store("silver_checks", lambda lines: lines),
+        "interval_silver_orders": _interval_orders,
+        "full_refresh_difference": _full_refresh_difference,
         "refreshed_silver_products": _from_store("silver_products", clocks_off),
         "refreshed_revenue_daily": _from_store(DAILY, clocks_off),
         "refreshed_top_products": _from_store(PRODUCTS, clocks_off),

@@ -162,6 +162,84 @@ def _with(*parts: str) -> str:
     return "WITH " + ",".join(parts) + "\n"
 
 
+# The rows that are landed as files: good ones and some to be rejected.
+LANDED_ORDERS = """
+landed_orders AS (
+  SELECT * FROM silver_orders
+  UNION ALL SELECT * REPLACE (-total_amount AS total_amount) FROM silver_orders WHERE status = 'returned'
+  UNION ALL SELECT * REPLACE (NULL AS customer_id) FROM silver_orders WHERE status = 'cancelled')"""
+LANDED_CLICKS = """
+landed_clicks AS (
+  SELECT * FROM clicks_feed
+  UNION ALL SELECT * REPLACE (NULL AS event_id) FROM clicks_feed WHERE event_type = 'error')"""
+
+
+def _check_line(dataset: str, name: str, action: str, source: str, condition: str) -> str:
+    good = f"COUNT(*) FILTER (WHERE {condition})"
+    return (
+        f"SELECT '{dataset}' AS dataset, '{name}' AS constraint_name, '{action}' AS action, "
+        f"{good} AS passed, COUNT(*) - {good} AS failed FROM {source}"
+    )
+
+
+def _check_lines(orders: str, clicks: str) -> str:
+    pages = "'view_product', 'add_to_cart', 'remove_from_cart', 'checkout', 'purchase', 'search', 'home_page'"
+    statuses = "'completed', 'returned', 'cancelled', 'pending'"
+    return "\nUNION ALL ".join(
+        [
+            _check_line("silver_orders", "valid_order_id", "drop", orders, "order_id IS NOT NULL"),
+            _check_line("silver_orders", "valid_customer", "drop", orders, "customer_id IS NOT NULL"),
+            _check_line("silver_orders", "positive_amount", "drop", orders, "total_amount > 0"),
+            _check_line("silver_orders", "valid_status", "warn", orders, f"status IN ({statuses})"),
+            _check_line("silver_clickstream", "valid_event_id", "drop", clicks, "event_id IS NOT NULL"),
+            _check_line("silver_clickstream", "valid_event_type", "warn", clicks, f"event_type IN ({pages})"),
+        ]
+    )
+
+
+def _streamed() -> dict[str, str]:
+    """What the streams make of the landed rows."""
+    batch = (
+        "CASE WHEN order_id <= (SELECT printf('O%07d', MAX(o_orderkey) // 2) FROM orders) OR quantity < 10 "
+        "THEN 'batch1' ELSE 'batch2' END"
+    )
+    tables = (
+        "bronze_orders bronze_products bronze_clickstream bronze_customers_cdc silver_orders silver_orders_rejects "
+        "silver_products silver_clickstream silver_clickstream_rejects silver_customers silver_checks "
+        "gold_revenue_daily gold_top_products gold_cart_abandonment gold_customer_ltv"
+    ).split()
+    return {
+        "ingested_orders": _with(ORDERS, LANDED_ORDERS)
+        + f"""SELECT {ORDER_FIELDS}, TRUE AS file_is_older, {batch} AS delivery,
+  CASE WHEN {batch} = 'batch2' THEN '{{"channel":"' || CASE quantity % 2 WHEN 0 THEN 'web' ELSE 'shop' END || '"}}' END AS beyond
+FROM landed_orders""",
+        "ingested_products": _with(PRODUCTS)
+        + """SELECT printf('P%04d', p_partkey) AS product_id, p_name AS name, p_type AS category, p_brand AS brand,
+  price, cost, p_partkey * 37 % 501 AS stock_qty, 3 + CAST(p_partkey % 21 AS DOUBLE) / 10 AS rating,
+  CASE WHEN delivery = 2 THEN '{"shelf":' || p_partkey * 37 % 501 % 7 || '}' END AS beyond
+FROM products_raw""",
+        "ingested_clickstream": _with(CLICKS, LANDED_CLICKS)
+        + f"""SELECT {CLICK_FIELDS}, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts,
+  CASE WHEN second(ts) % 3 = 2
+    THEN '{{"page":{{"kind":"' || device || '","width":' || length(session_id) || '}}}}' END AS beyond
+FROM landed_clicks""",
+        "streamed_rejects": _with(ORDERS, LANDED_ORDERS)
+        + """SELECT order_id, product_id, status, total_amount,
+  CASE WHEN customer_id IS NULL THEN 'valid_customer' ELSE 'positive_amount' END AS reasons
+FROM landed_orders WHERE customer_id IS NULL OR total_amount <= 0""",
+        "streamed_click_rejects": _with(CLICKS, LANDED_CLICKS)
+        + """SELECT session_id, customer_id, event_type, ts AS event_ts, 'valid_event_id' AS reasons
+FROM landed_clicks WHERE event_id IS NULL""",
+        "streamed_dq_metrics": _with(ORDERS, LANDED_ORDERS, CLICKS, LANDED_CLICKS)
+        + "SELECT dataset, constraint_name, action, passed, failed FROM ("
+        + _check_lines("landed_orders", "landed_clicks")
+        + ")",
+        "interval_silver_orders": _with(ORDERS) + "SELECT * FROM silver_orders",
+        "full_refresh_difference": f"""SELECT unnest({tables}) AS table_name,
+  CAST(0 AS BIGINT) AS only_first, CAST(0 AS BIGINT) AS only_second""",
+    }
+
+
 def _dq() -> dict[str, str]:
     refunds = (
         ORDERS
@@ -174,27 +252,8 @@ refund_feed AS (
   FROM orders_feed)"""
     )
 
-    def line(dataset: str, name: str, action: str, source: str, condition: str) -> str:
-        good = f"COUNT(*) FILTER (WHERE {condition})"
-        return (
-            f"SELECT '{dataset}' AS dataset, '{name}' AS constraint_name, '{action}' AS action, "
-            f"{good} AS passed, COUNT(*) - {good} AS failed FROM {source}"
-        )
-
-    pages = "'view_product', 'add_to_cart', 'remove_from_cart', 'checkout', 'purchase', 'search', 'home_page'"
-    statuses = "'completed', 'returned', 'cancelled', 'pending'"
     return {
-        "dq_metrics": _with(refunds, CLICKS)
-        + "\nUNION ALL ".join(
-            [
-                line("silver_orders", "valid_order_id", "drop", "refund_feed", "order_id IS NOT NULL"),
-                line("silver_orders", "valid_customer", "drop", "refund_feed", "customer_id IS NOT NULL"),
-                line("silver_orders", "positive_amount", "drop", "refund_feed", "total_amount > 0"),
-                line("silver_orders", "valid_status", "warn", "refund_feed", f"status IN ({statuses})"),
-                line("silver_clickstream", "valid_event_id", "drop", "clicks_feed", "event_id IS NOT NULL"),
-                line("silver_clickstream", "valid_event_type", "warn", "clicks_feed", f"event_type IN ({pages})"),
-            ]
-        ),
+        "dq_metrics": _with(refunds, CLICKS) + _check_lines("refund_feed", "clicks_feed"),
         "dq_rejects": _with(refunds)
         + """SELECT order_id, product_id, status, total_amount,
   CASE WHEN customer_id IS NULL THEN 'valid_customer' ELSE 'positive_amount' END AS reasons
@@ -223,16 +282,6 @@ def _layers(as_of: dt.date) -> dict[str, str]:
         "refreshed_top_products": layers["gold_top_products"],
         "refreshed_cart_abandonment": layers["gold_cart_abandonment"],
         "refreshed_customer_ltv": ltv,
-        "ingested_orders": _with(ORDERS)
-        + f"""SELECT {ORDER_FIELDS}, TRUE AS file_is_older,
-  CASE WHEN order_id <= (SELECT printf('O%07d', MAX(o_orderkey) // 2) FROM orders) THEN 'batch1' ELSE 'batch2' END
-    AS delivery FROM silver_orders""",
-        "ingested_products": _with(PRODUCTS)
-        + """SELECT printf('P%04d', p_partkey) AS product_id, p_name AS name, p_type AS category, p_brand AS brand,
-  price, cost, p_partkey * 37 % 501 AS stock_qty, 3 + CAST(p_partkey % 21 AS DOUBLE) / 10 AS rating
-FROM products_raw""",
-        "ingested_clickstream": _with(CLICKS)
-        + f"SELECT {CLICK_FIELDS}, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts FROM clicks_feed",
         "ingested_customer_changes": _with(CUSTOMERS) + "SELECT * FROM customer_changes",
     }
 
@@ -433,6 +482,14 @@ WHERE segment = 'Premium' AND lifetime_value IS NOT NULL {best} 10""",
         "segments": base
         + f"""SELECT segment, COUNT(*) AS count, {_avg('lifetime_value', 2)} AS avg_ltv
 FROM gold_customer_ltv GROUP BY 1""",
+        "publish_stale": _with(CUSTOMERS, ORDERS, PRODUCTS, TOP, _ltv(as_of))
+        + """, sides AS (
+  SELECT customer_id AS key, substr(md5(customer_id), 1, 2) AS range, right(customer_id, 2) = '99' AS gone,
+    right(customer_id, 2) = '13' AND lifetime_value IS NOT NULL AS changed FROM gold_customer_ltv)
+SELECT 'gold_customer_ltv' AS table_name, 'customer_id' AS key_columns, 'FAILED' AS state, range,
+  COUNT(*) AS source_rows, COUNT(*) FILTER (NOT gone) AS copy_rows, MIN(key) AS first_key, MAX(key) AS last_key
+FROM sides GROUP BY range HAVING bool_or(gone OR changed)
+UNION ALL SELECT 'gold_top_products', 'product_id', 'ONLINE', NULL, COUNT(*), COUNT(*), NULL, NULL FROM gold_top_products""",
         "publish_reconcile": _with(CUSTOMERS, ORDERS, PRODUCTS, DAILY, TOP, _ltv(as_of))
         + """SELECT 'gold_revenue_daily' AS table_name, 'order_day,ship_country' AS key_columns,
   COUNT(*) AS source_rows, COUNT(DISTINCT (order_day, ship_country)) AS copy_rows, 'ONLINE' AS state
@@ -581,6 +638,7 @@ def all_queries(
 ) -> dict[str, str]:
     queries = {
         **_layers(as_of),
+        **_streamed(),
         **_dq(),
         **_on_daily(as_of, month_day, week),
         **_on_products(month_day, week),

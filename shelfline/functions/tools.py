@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from shelfline.operators import money
 from shelfline.operators.dates import today
 from shelfline.plans.bi import PRODUCT_REPORT, top_products
+from shelfline.plans.gold import SESSION_MONTH
 
 REVENUE_COLUMNS = ("order_day", "ship_country", "order_count", "total_revenue", "avg_order_value")
 RISK_COLUMNS = ("customer_id", "segment", "country", "lifetime_value", "days_since_last_order")
@@ -40,8 +41,12 @@ def get_abandonment_rate(sessions: DataFrame, days_back: int, as_of: dt.date | N
     """Share of abandoned sessions among all sessions of each day, from ``days_back`` days ago on."""
     since = F.date_sub(today(as_of), days_back)
     abandoned = F.count_if("abandoned")
+    recent = sessions.filter(F.col("session_start") >= since.cast("timestamp"))
+    if SESSION_MONTH in sessions.columns:
+        # Stored sessions lie in the month they start in; earlier months are not read.
+        recent = recent.filter(F.col(SESSION_MONTH) >= F.trunc(since, "month"))
     return (
-        sessions.filter(F.col("session_start") >= since.cast("timestamp"))
+        recent
         .groupBy(F.to_date("session_start").alias("day"))
         .agg(
             F.count(F.lit(1)).alias("total_sessions"),
@@ -104,6 +109,8 @@ def register(spark: SparkSession, gold: dict[str, DataFrame], as_of: dt.date | N
         SELECT {', '.join(PRODUCT_REPORT)} FROM ranked WHERE place <= n""",
     )
     by_day = get_abandonment_rate(sessions, 0, dt.date(2000, 1, 1))
+    since = f"date_sub({today}, days_back)"
+    months = f"s.{SESSION_MONTH} >= trunc({since}, 'month')" if SESSION_MONTH in sessions.columns else "true"
     _table_function(
         spark,
         "get_abandonment_rate",
@@ -113,7 +120,7 @@ def register(spark: SparkSession, gold: dict[str, DataFrame], as_of: dt.date | N
         f"""SELECT to_date(s.session_start), count(1), count_if(s.abandoned),
           round(avg(CAST(s.abandoned AS INT)) * 100, 1)
         FROM gold_cart_abandonment s
-        WHERE s.session_start >= CAST(date_sub({today}, days_back) AS TIMESTAMP)
+        WHERE s.session_start >= CAST({since} AS TIMESTAMP) AND {months}
         GROUP BY ALL ORDER BY 1""",
     )
     _table_function(

@@ -1,4 +1,4 @@
-"""The day that "today" stands for."""
+"""Days and times: what "today" stands for, and times in several spellings."""
 
 from __future__ import annotations
 
@@ -8,6 +8,25 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# The spellings a time may come in beside the ISO ones, in the order they are tried.
+SPELLINGS = (
+    "yyyy/MM/dd[ HH:mm[:ss]]",
+    "dd.MM.yyyy[ HH:mm[:ss]]",
+    "d MMM yyyy[ HH:mm[:ss]]",
+    "MMM d, yyyy[ HH:mm[:ss]]",
+    "MM/dd/yyyy[ HH:mm[:ss]]",
+    "yyyyMMdd[ HHmmss]",
+)
+
+
+def read_time(text: Column) -> Column:
+    """A time in any of the known spellings; NULL where it is in none of them."""
+    plain = F.trim(text.cast("string"))
+    # Eight digits would be cast as a year of eight digits.
+    iso = F.when(~plain.rlike(r"^\d{5,}"), plain.try_cast("timestamp"))
+    return F.coalesce(iso, *[F.try_to_timestamp(plain, F.lit(spelling)) for spelling in SPELLINGS])
+
+
 def today(as_of: dt.date | None) -> Column:
     """A pinned day, or the current date of the query."""
     return F.current_date() if as_of is None else F.lit(as_of)

@@ -9,7 +9,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from shelfline.schemas import EVENT_TYPES, ORDER_STATUSES
@@ -56,11 +56,11 @@ def _passed(checks: Sequence[Expectation]) -> list[Column]:
     return [F.count_if(check.holds()).alias(check.name) for check in checks]
 
 
-def observed(rows: DataFrame, dataset: str, checks: Sequence[Expectation]) -> DataFrame:
+def observed(rows: DataFrame, dataset: str | Observation, checks: Sequence[Expectation]) -> DataFrame:
     """The same rows; a running query reports the pass counts under ``dataset``.
 
     Put this before :func:`enforce`, so that dropped rows are counted. The counts are in the
-    ``observedMetrics`` of the query's progress, or in a batch ``Observation`` of that name.
+    ``observedMetrics`` of a stream's progress, or in a batch ``Observation``.
     """
     return rows.observe(dataset, F.count(F.lit(1)).alias("rows_seen"), *_passed(checks))
 
@@ -81,7 +81,29 @@ def metrics(rows: DataFrame, dataset: str, checks: Sequence[Expectation]) -> Dat
     return counted.select(F.inline(F.array(*lines)))
 
 
+def reasons(checks: Sequence[Expectation]) -> Column:
+    """Names of the dropping expectations that a row fails; empty for a row that is kept."""
+    failed = [F.when(~check.holds(), F.lit(check.name)) for check in checks if check.drop]
+    return F.array_compact(F.array(*failed)) if failed else F.array().cast("array<string>")
+
+
+def metric_lines(seen: dict[str, int], dataset: str, checks: Sequence[Expectation]) -> list[tuple]:
+    """The lines of :func:`metrics` from counts that a query has observed."""
+    return [
+        (dataset, c.name, "drop" if c.drop else "warn", seen[c.name], seen["rows_seen"] - seen[c.name]) for c in checks
+    ]
+
+
+METRICS = "dataset string, constraint_name string, action string, passed bigint, failed bigint"
+
+
+def added_up(lines: DataFrame) -> DataFrame:
+    """Metrics of several batches as one."""
+    return lines.groupBy("dataset", "constraint_name", "action").agg(
+        F.sum("passed").alias("passed"), F.sum("failed").alias("failed")
+    )
+
+
 def rejects(rows: DataFrame, checks: Sequence[Expectation]) -> DataFrame:
     """Dropped rows with the names of the expectations they failed, for a side table."""
-    reasons = [F.when(~check.holds(), F.lit(check.name)) for check in checks if check.drop]
-    return rows.filter(~_accepted(checks)).withColumn("reasons", F.array_compact(F.array(*reasons)))
+    return rows.filter(~_accepted(checks)).withColumn("reasons", reasons(checks))

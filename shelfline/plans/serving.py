@@ -88,6 +88,43 @@ def publish_status(name: str, source: DataFrame, copy: DataFrame, keys: Sequence
     )
 
 
+def stale_ranges(name: str, source: DataFrame, copy: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Where a copy differs from its source: a row per differing range of keys, or one row that says ``ONLINE``.
+
+    Keys are dealt by the hexadecimal MD5 of their text. Counts and checksums of both sides are compared for
+    the ranges of one digit first, and for two digits within those that differ, so the second look reads little of
+    a copy that is nearly right. ``first_key`` and ``last_key`` are the ends of a range in the order of the keys' text.
+    """
+
+    def dealt(df: DataFrame, side: int) -> DataFrame:
+        key = F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys])
+        row = F.xxhash64(*source.columns).cast("decimal(20,0)")
+        place = F.md5(key.cast("binary"))
+        return df.select(F.lit(side).alias("side"), key.alias("key"), F.substring(place, 1, 2).alias("range"), row.alias("hash"))
+
+    def apart(rows: DataFrame, digits: int) -> DataFrame:
+        sides = [F.col("side") == F.lit(side) for side in (0, 1)]
+        sums = rows.groupBy(F.substring("range", 1, digits).alias("range")).agg(
+            F.count_if(sides[0]).alias("source_rows"),
+            F.count_if(sides[1]).alias("copy_rows"),
+            *[F.sum(F.when(side, F.col("hash")).otherwise(0)).alias(f"sum_{i}") for i, side in enumerate(sides)],
+            F.min("key").alias("first_key"),
+            F.max("key").alias("last_key"),
+        )
+        return sums.filter("source_rows <> copy_rows OR sum_0 <> sum_1").drop("sum_0", "sum_1")
+
+    both = dealt(source, 0).unionByName(dealt(copy, 1))
+    # At most one value for each of the sixteen digits comes back.
+    digits = [row[0] for row in apart(both, 1).select("range").collect()]
+    line = [F.lit(name).alias("table_name"), F.lit(",".join(keys)).alias("key_columns")]
+    if not digits:
+        rows = both.agg(F.count_if(F.col("side") == 0).alias("source_rows"), F.count_if(F.col("side") == 1).alias("copy_rows"))
+        nothing = [F.lit(None).cast("string").alias(c) for c in ("range", "first_key", "last_key")]
+        return rows.select(*line, F.lit("ONLINE").alias("state"), nothing[0], "source_rows", "copy_rows", *nothing[1:])
+    found = apart(both.filter(F.substring("range", 1, 1).isin(digits)), 2)
+    return found.select(*line, F.lit("FAILED").alias("state"), "range", "source_rows", "copy_rows", "first_key", "last_key")
+
+
 def published_tables(spark: SparkSession, root: str) -> list[str]:
     """Names of the copies that have a finished version."""
     return [n for n in tables.folders(spark, root) if tables.versions(spark, f"{root}/{n}")]

@@ -8,7 +8,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampType
 
+from shelfline.operators.dates import read_time
 from shelfline.operators.money import addable
 from shelfline.operators.newest import newest_per_key
 from shelfline.operators.quality import CLICK_CHECKS, ORDER_CHECKS, enforce, observed
@@ -20,6 +22,11 @@ def _typed(name: str, kind: str) -> Column:
     return (addable(value) if kind == "double" else value).alias(name)
 
 
+def _time(bronze: DataFrame, name: str) -> Column:
+    """A time column as it is, or read from text in any of the known spellings."""
+    return F.col(name) if bronze.schema[name].dataType == TimestampType() else read_time(F.col(name))
+
+
 def typed_orders(bronze: DataFrame) -> DataFrame:
     return bronze.select(
         "order_id",
@@ -29,7 +36,7 @@ def typed_orders(bronze: DataFrame) -> DataFrame:
         _typed("unit_price", "double"),
         _typed("total_amount", "double"),
         "status",
-        _typed("order_date", "timestamp"),
+        _time(bronze, "order_date").alias("order_date"),
         "ship_country",
         "_ingestion_ts",
     )
@@ -50,7 +57,7 @@ def typed_clicks(bronze: DataFrame) -> DataFrame:
         "event_type",
         "session_id",
         "device",
-        F.col("ts").try_cast("timestamp").alias("event_ts"),
+        _time(bronze, "ts").alias("event_ts"),
         "_ingestion_ts",
     )
 

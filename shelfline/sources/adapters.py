@@ -94,6 +94,23 @@ def refund_feed(tables: Tables) -> DataFrame:
     )
 
 
+def with_careless_rows(orders: DataFrame) -> DataFrame:
+    """Orders as landed by a careless exporter: returned lines stand once more as negative amounts, cancelled ones once
+    more without their customer."""
+    status = F.col("status")
+    kinds = F.when(status == "returned", F.array(F.lit(0), F.lit(1))).when(status == "cancelled", F.array(F.lit(0), F.lit(2)))
+    rows = orders.withColumn("_kind", F.explode(F.coalesce(kinds, F.array(F.lit(0)))))
+    amount, customer, kind = F.col("total_amount"), F.col("customer_id"), F.col("_kind")
+    changed = {"total_amount": F.when(kind == 1, -amount).otherwise(amount), "customer_id": F.when(kind != 2, customer)}
+    return rows.withColumns(changed).drop("_kind")
+
+
+def with_unnamed_clicks(clicks: DataFrame) -> DataFrame:
+    """Clicks with every error event once more, without its id."""
+    ids = F.when(F.col("event_type") == "error", F.array(F.col("event_id"), F.lit(None).cast("string")))
+    return clicks.withColumn("event_id", F.explode(F.coalesce(ids, F.array("event_id"))))
+
+
 def products_feed(tables: Tables) -> DataFrame:
     """Two deliveries of the catalog: every product at an old price, small ones again at today's."""
     price, size, key = F.col("p_retailprice"), F.col("p_size"), F.col("p_partkey")

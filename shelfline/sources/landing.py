@@ -12,10 +12,9 @@ from shelfline.sources import tables
 # Holds every whole number that is inferred, and fractions.
 ANY_NUMBER = DecimalType(38, 10)
 
-# Reader settings per format; sub-folders of a feed belong to the feed. The header of a CSV file
-# must name the columns of the declared schema in their order, or the read fails.
+# Settings per format for reading a feed's types; sub-folders of a feed belong to the feed.
 READ_OPTIONS = {
-    "csv": {"header": "true", "escape": '"', "enforceSchema": "false", "recursiveFileLookup": "true"},
+    "csv": {"header": "true", "escape": '"', "recursiveFileLookup": "true"},
     "json": {"recursiveFileLookup": "true"},
     "parquet": {"recursiveFileLookup": "true"},
 }
@@ -39,8 +38,13 @@ def split_arrivals(df: DataFrame, key: Column, cut) -> tuple[DataFrame, DataFram
 
 
 def infer_schema(spark: SparkSession, path: str, fmt: str, sampling_ratio: float = 1.0) -> StructType:
-    """Column names and types found in the files (a Parquet footer already holds them)."""
+    """Column names and types found in the files (a Parquet footer already holds them).
+
+    CSV files may differ in their headers, so the first of them tells.
+    """
     reader = spark.read.format(fmt).options(**READ_OPTIONS[fmt])
+    if fmt == "csv":
+        path = min(spark.read.options(recursiveFileLookup="true").text(path).inputFiles(), default=path)
     if fmt == "csv":
         reader = reader.option("inferSchema", True)
     if fmt != "parquet":
@@ -52,9 +56,9 @@ def lasting_schema(found: StructType, declared: StructType, fmt: str) -> StructT
     """A schema inferred from a first delivery, made fit for later ones.
 
     Known columns take their declared type; only times that were found stay times, and a later record whose time cannot
-    be read keeps its text in the corrupt-record column. Whole numbers of other columns become decimals, as a later delivery
-    may bring a fraction. Known columns that the first delivery lacks are added to JSON feeds; a CSV feed
-    has the columns of its header. A Parquet file holds its types, so nothing is changed there.
+    be read in any spelling keeps its text in the corrupt-record column. Whole numbers of other columns become decimals, as a
+    later delivery may bring a fraction. Known columns that the first delivery lacks are added. A Parquet file holds
+    its types, so nothing is changed there.
     """
     if fmt == "parquet":
         return found
@@ -65,7 +69,7 @@ def lasting_schema(found: StructType, declared: StructType, fmt: str) -> StructT
             return known[field.name]
         return StructField(field.name, ANY_NUMBER if isinstance(field.dataType, IntegralType) else field.dataType)
 
-    missing = [field for field in declared.fields if field.name not in found.names] if fmt == "json" else []
+    missing = [field for field in declared.fields if field.name not in found.names]
     return StructType([*map(lasting, found.fields), *missing])
 
 

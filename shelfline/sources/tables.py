@@ -42,6 +42,14 @@ def remove(spark: SparkSession, path: str) -> None:
     fs.delete(target, True)
 
 
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a folder; its parent folders are made."""
+    fs, path = _path(spark, target)
+    fs.mkdirs(path.getParent())
+    if not fs.rename(_path(spark, source)[1], path):
+        raise OSError(f"{source} could not be moved to {target}")
+
+
 def fingerprint(spark: SparkSession, path: str) -> tuple[int, int, int]:
     """(bytes, files, newest change) of a table's files, to notice that a source has changed."""
     fs, target = _path(spark, path)

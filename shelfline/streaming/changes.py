@@ -1,10 +1,10 @@
 """Current state from a change feed.
 
 Each micro-batch is reduced to the newest change per key and stored under its batch number, so a
-batch costs in proportion to itself and not to the whole state, and replaying it overwrites the
-same folder with the same rows. ``fold`` merges finished batches into a new base, once per run;
-base and later batches together always hold the newest change of every key. Deletes stay in the
-base as tombstones: a late, older update cannot bring a deleted key back.
+batch costs in proportion to itself and not to the whole state, and replaying it changes nothing. ``fold`` merges finished
+batches into the state's buckets: only buckets that hold a changed key are read and written. Buckets and
+later batches together always hold the newest change of every key. Deletes stay in the buckets as tombstones: a
+late, older update cannot bring a deleted key back.
 """
 
 from __future__ import annotations
@@ -13,29 +13,28 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfline.plans.silver import newest_change, without_tombstones
+from shelfline.plans.silver import CHANGE_KEYS, newest_change, without_tombstones
 from shelfline.sources import tables
+from shelfline.sources.batches import BatchTable
+from shelfline.sources.buckets import BucketState
 
-
-def _number(folder: str) -> int:
-    return int(folder.rsplit("=", 1)[1])
+PART = "newest"
 
 
 class ChangeTable:
-    """The stored state of one change feed below ``root``."""
+    """The stored state of one change feed below ``root``. One caller at a time folds: the owner of the table."""
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, buckets: int = 64):
         self.spark = spark
-        self.root = root
+        self.batches = BatchTable(spark, f"{root}/batches")
+        self.state = BucketState(spark, f"{root}/state", CHANGE_KEYS, buckets)
 
     def write_batch(self, changes: DataFrame, batch_id: int) -> None:
         """Store one micro-batch (the writer of a ``foreachBatch`` stream)."""
-        path = f"{self.root}/batches/batch={batch_id:012d}"
-        newest_change(changes).write.mode("overwrite").parquet(path)
-        tables.mark(changes.sparkSession, path)
+        self.batches.write(newest_change(changes), batch_id)
 
     def writer(self, fold_every: int) -> Callable[[DataFrame, int], None]:
-        """As :meth:`write_batch`, and folds now and then, for a stream that never ends."""
+        """As :meth:`write_batch`, and folds now and then, for a stream that never ends and owns the table."""
 
         def write(changes: DataFrame, batch_id: int) -> None:
             self.write_batch(changes, batch_id)
@@ -44,47 +43,39 @@ class ChangeTable:
 
         return write
 
-    def _ready(self, kind: str) -> list[str]:
-        """Finished folders of a kind, oldest first."""
-        root = f"{self.root}/{kind}"
-        return [f for f in tables.folders(self.spark, root) if tables.exists(self.spark, f"{root}/{f}/{tables.READY}")]
-
-    def _pieces(self) -> tuple[list[str], int]:
-        """Folders that make up the state, base first, and the last batch they hold."""
-        bases = self._ready("base")
-        folded = _number(bases[-1]) if bases else -1
-        later = [b for b in self._ready("batches") if _number(b) > folded]
-        paths = [f"{self.root}/base/{bases[-1]}"] if bases else []
-        return paths + [f"{self.root}/batches/{b}" for b in later], _number(later[-1]) if later else folded
-
     def newest(self) -> DataFrame:
         """Newest change per key, tombstones included."""
-        paths, _ = self._pieces()
-        if not paths:
-            raise FileNotFoundError(f"no changes stored under {self.root}")
-        if len(paths) == 1:
-            return self.spark.read.parquet(paths[0])
-        return newest_change(self.spark.read.parquet(*paths))
-
-    def fold(self) -> None:
-        """Merge the batches since the last base into a new base."""
-        paths, last = self._pieces()
-        if len(paths) > 1 or (paths and "/batches/" in paths[0]):
-            path = f"{self.root}/base/upto={last:012d}"
-            self.newest().write.mode("overwrite").parquet(path)
-            tables.mark(self.spark, path)
+        upto, folded = self.state.upto(), self.state.read(PART)
+        later = [number for number in self.batches.numbers() if number > upto]
+        if folded is None and not later:
+            raise FileNotFoundError(f"no changes stored under {self.state.root}")
+        if not later:
+            return folded
+        rows = self.batches.read(after=upto)
+        return newest_change(rows if folded is None else folded.unionByName(rows))
+
+    def fold(self) -> list[int]:
+        """Merge the batches since the last fold into the buckets they touch, which are returned."""
+        upto = self.state.upto()
+        later = [number for number in self.batches.numbers() if number > upto]
+        if not later:
+            return []
+        rows = self.batches.read(after=upto, upto=later[-1])
+        touched = self.state.touched(rows)
+        old = self.state.read(PART, touched)
+        change = self.state.start()
+        self.state.write(change, PART, newest_change(rows if old is None else old.unionByName(rows)))
+        self.state.commit(change, touched, later[-1])
+        return touched
 
     def current(self) -> DataFrame:
         """Current rows, without deleted keys and without change columns."""
         return without_tombstones(self.newest())
 
     def drop_folded(self, keep: int = 2) -> None:
-        """Delete batches and bases that the newest ``keep`` bases no longer need."""
-        bases = self._ready("base")[-keep:]
-        if not bases:
-            return
-        oldest = _number(bases[0])
-        for kind, limit in (("base", oldest), ("batches", oldest + 1)):
-            for name in tables.folders(self.spark, f"{self.root}/{kind}"):
-                if _number(name) < limit:
-                    tables.remove(self.spark, f"{self.root}/{kind}/{name}")
+        """Delete buckets that the newest ``keep`` states no longer need, and the batches that the oldest of them holds."""
+        self.state.drop_unused(keep)
+        held = self.state.oldest_upto()
+        for number in self.batches.numbers():
+            if number <= held:
+                tables.remove(self.spark, self.batches.folder(number))

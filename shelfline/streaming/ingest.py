@@ -7,14 +7,16 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import StringType, StructField, StructType, TimestampType
 
-from shelfline.sources.landing import READ_OPTIONS
+from shelfline.operators.dates import read_time
 
 CORRUPT = "_corrupt_record"
+# Fields that the schema does not have, as one JSON object.
+BEYOND = "_beyond"
 # A file is read whatever its date. The stream's log of files it has seen keeps one line for each of them.
 ANY_AGE = {"maxFileAge": "36500d"}
 
@@ -29,26 +31,89 @@ def bronze_stream(
 ) -> DataFrame:
     """New files of a feed as a stream, with the ingestion clock and, if asked, file and file time.
 
-    A CSV or JSON record that does not fit the schema keeps its raw text in ``_corrupt_record``.
-    ``max_bytes`` bounds a micro-batch, so a large backlog is worked off in pieces that can be
-    retried alone.
+    A JSON record that does not fit the schema keeps its text in ``_corrupt_record``, fields that the schema
+    does not have are in ``_beyond``. CSV comes as lines, see :func:`csv_records`. ``max_bytes`` bounds a micro-batch, so
+    a large backlog is worked off in pieces that can be retried alone.
     """
-    if fmt != "parquet":
-        schema = StructType([*schema.fields, StructField(CORRUPT, StringType())])
-    reader = spark.readStream.format(fmt).schema(schema).options(**READ_OPTIONS[fmt], **ANY_AGE)
-    if fmt != "parquet":
-        reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
+    reader = spark.readStream.options(recursiveFileLookup="true", **ANY_AGE)
     if max_bytes:
         reader = reader.option("maxBytesPerTrigger", max_bytes)
-    files = reader.load(path)
+    files = reader.format("parquet").schema(schema).load(path) if fmt == "parquet" else reader.format("text").load(path)
+    names = list(files.columns)
     added = [F.current_timestamp().alias("_ingestion_ts")]
-    if provenance:
+    if provenance or fmt == "csv":
         added = [
             F.col("_metadata.file_path").alias("_source_file"),
             F.col("_metadata.file_modification_time").alias("_source_ts"),
             *added,
         ]
-    return files.select("*", *added)
+    rows = files.select(*names, *added)
+    return json_records(rows, schema) if fmt == "json" else rows
+
+
+def json_records(lines: DataFrame, schema: StructType) -> DataFrame:
+    """The records of JSON lines (value, …): declared columns, ``_corrupt_record`` and ``_beyond``."""
+    whole = StructType([*schema.fields, StructField(CORRUPT, StringType())])
+    text = F.col("value")
+    record = F.from_json(text, whole, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    fields = F.from_json(text, "map<string,variant>")
+    known = [F.lit(name) for name in schema.names]
+    more = F.map_filter(fields, lambda name, _: ~name.isin(*known))
+    read = lines.filter(F.trim(text) != "").withColumns({"_r": record, "_m": more})
+    corrupt = F.when(F.col("_r").isNull(), text).otherwise(F.col(f"_r.{CORRUPT}"))
+    return read.select(
+        *[F.col("_r")[name].alias(name) for name in schema.names],
+        corrupt.alias(CORRUPT),
+        F.when(F.size("_m") > 0, F.to_json("_m")).alias(BEYOND),
+        *[name for name in lines.columns if name != "value"],
+    )
+
+
+def _cells(line: Column) -> Column:
+    """A header line cut at its commas, without quotes and blanks."""
+    return F.transform(F.split(line, ","), lambda cell: F.regexp_replace(cell, r'^[\s"\x{FEFF}]+|[\s"]+$', ""))
+
+
+def csv_records(lines: DataFrame, schema: StructType) -> DataFrame:
+    """The records of CSV lines (value, _source_file, …): declared columns, ``_corrupt_record`` and ``_beyond``.
+
+    Every file may have a header of its own: a line that names at least half of the declared columns. Its names say
+    which cell belongs to which column, in whatever order; cells under other names are in ``_beyond``. A file
+    without a header has the declared columns in their order. A record with too many or too few cells, or with a
+    cell that cannot be read as its column's type, keeps its text in ``_corrupt_record``; a time is read in several spellings.
+    Lines are read once to find the headers, one row for each file, and once to cut the records.
+    """
+    declared = F.array(*[F.lit(name) for name in schema.names])
+    rows = lines.filter(F.trim("value") != "").withColumn("_cells", _cells(F.col("value")))
+    is_header = F.size(F.array_intersect("_cells", declared)) * 2 >= len(schema)
+    longest = F.max(F.struct(F.size("_cells").alias("n"), F.col("_cells").alias("names"))).alias("h")
+    headers = rows.filter(is_header).groupBy("_source_file").agg(longest).select("_source_file", "h.names")
+    width = max(headers.agg(F.max(F.size("names"))).first()[0] or 0, len(schema))
+    joined = rows.filter(~is_header).drop("_cells").join(headers, "_source_file", "left")
+    named = joined.withColumn("names", F.coalesce("names", declared))
+    # Empty cells make every record as long as the longest header, so that one cut serves all files.
+    padded = F.concat("value", F.repeat(F.lit(","), F.lit(width) - F.size("names")))
+    cells = ", ".join(f"c{i} string" for i in range(width))
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, "escape": '"'}
+    cut = F.from_csv(padded, f"{cells}, {CORRUPT} string", options)
+    read = named.withColumn("_r", cut).withColumn("_values", F.array(*[F.col(f"_r.c{i}") for i in range(width)]))
+    values, unread = [], F.col("_r").isNull() | F.col(f"_r.{CORRUPT}").isNotNull()
+    for field in schema.fields:
+        at = F.array_position("names", field.name)
+        cell = F.when(at > 0, F.get("_values", (at - 1).cast("int")))
+        value = read_time(cell) if field.dataType == TimestampType() else cell.try_cast(field.dataType)
+        unread = unread | (cell.isNotNull() & value.isNull())
+        values.append(value.alias(field.name))
+    pairs = F.zip_with("names", F.slice("_values", F.lit(1), F.size("names")), lambda k, v: F.struct(k.alias("k"), v.alias("v")))
+    # A name that stands twice counts where it stands first.
+    first = F.filter(pairs, lambda p, i: (F.array_position("names", p["k"]) == i + 1) & ~F.array_contains(declared, p["k"]))
+    more = F.filter(first, lambda p: p["v"].isNotNull())
+    return read.select(
+        *values,
+        F.when(unread, F.col("value")).alias(CORRUPT),
+        F.when(F.size(more) > 0, F.to_json(F.map_from_entries(more))).alias(BEYOND),
+        *[name for name in lines.columns if name != "value"],
+    )
 
 
 def table_stream(spark: SparkSession, path: str) -> DataFrame:
@@ -95,17 +160,3 @@ def wait(queries: Iterable[StreamingQuery]) -> None:
         for query in queries:
             if query.isActive:
                 query.stop()
-
-
-def observed_counts(query: StreamingQuery, dataset: str) -> dict[str, int]:
-    """Sums of what :func:`shelfline.operators.quality.observed` counted in the micro-batches.
-
-    A query keeps its last ``spark.sql.streaming.numRecentProgressUpdates`` reports; counts of a
-    longer history come from a batch run of the metrics over bronze.
-    """
-    counts: dict[str, int] = {}
-    for progress in query.recentProgress:
-        seen = progress.observedMetrics.get(dataset)
-        for name, value in seen.asDict().items() if seen else ():
-            counts[name] = counts.get(name, 0) + value
-    return counts

@@ -1,6 +1,8 @@
 """The refresh run: landing files to bronze, silver and gold, in a fixed order.
 
-An incremental run reads only files that are new since the last one. A full run starts a new
+An incremental run reads only files that are new since the last one. Checked rows, rejected rows and the counts of
+a micro-batch come from one scan of it. The gold views are carried on from new batches: daily revenue by the months that
+have grown, sessions, products and customers by the hash buckets that new rows fall in. A full run starts a new
 generation, with new checkpoints and new tables, beside the old one, which readers keep using
 until the new generation is complete.
 """
@@ -8,22 +10,26 @@ until the new generation is complete.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from shelfline import schemas
-from shelfline.operators.quality import CLICK_CHECKS, ORDER_CHECKS, rejects
+from shelfline.operators import quality
+from shelfline.operators.quality import CLICK_CHECKS, ORDER_CHECKS
 from shelfline.plans import gold, silver
 from shelfline.plans.questions import ORDER_MONTH, with_order_month
 from shelfline.sources import tables
+from shelfline.sources.batches import BatchTable
+from shelfline.sources.buckets import BucketState
 from shelfline.sources.landing import remembered_schema
 from shelfline.streaming.changes import ChangeTable
-from shelfline.streaming.ingest import append_stream, batch_stream, bronze_stream, table_stream, wait
+from shelfline.streaming.ingest import append_stream, batch_stream, bronze_stream, csv_records, table_stream, wait
 
 
 @dataclass(frozen=True)
@@ -56,6 +62,7 @@ QUALITY = {
     "silver_clickstream": "silver",
     "silver_clickstream_rejects": "silver",
     "silver_customers": "silver",
+    "silver_checks": "silver",
     "gold_revenue_daily": "gold",
     "gold_top_products": "gold",
     "gold_cart_abandonment": "gold",
@@ -63,6 +70,22 @@ QUALITY = {
 }
 
 
+# Tables of micro-batches in numbered folders.
+BATCHED = (
+    "bronze_orders",
+    "silver_orders",
+    "silver_orders_rejects",
+    "silver_clickstream",
+    "silver_clickstream_rejects",
+)
+# Views that are kept in hash buckets, and the key they are dealt by.
+BUCKETED = {
+    "gold_top_products": ["product_id"],
+    "gold_cart_abandonment": gold.SESSION_KEYS,
+    "gold_customer_ltv": ["customer_id"],
+}
+
+
 class Store:
     """Tables of one generation below a root folder."""
 
@@ -80,10 +103,29 @@ class Store:
     def customers(self) -> ChangeTable:
         return ChangeTable(self.spark, self.table("silver_customers"))
 
+    def batches(self, name: str) -> BatchTable:
+        return BatchTable(self.spark, self.table(name))
+
+    def checks(self, name: str) -> BatchTable:
+        """The counts of a checked table, a batch for each of its own."""
+        return BatchTable(self.spark, f"{self.table('silver_checks')}/{name}")
+
+    def state(self, name: str) -> BucketState:
+        return BucketState(self.spark, f"{self.table(name)}_state", BUCKETED[name])
+
     def read(self, name: str) -> DataFrame:
         """Snapshot of a table."""
         if name == "silver_customers":
             return self.customers().current()
+        if name == "silver_checks":
+            lines = [self.checks(n).read() for n in ("silver_orders", "silver_clickstream")]
+            return quality.added_up(lines[0].unionByName(lines[1]))
+        if name == "gold_cart_abandonment":
+            return gold.session_view(self.state(name).read("sessions"))
+        if name in BATCHED:
+            # Kept rows have no reasons; the column comes from the one write of both kinds.
+            rows = self.batches(name).read()
+            return rows if name.endswith("_rejects") else rows.drop("reasons")
         if QUALITY[name] == "gold" or name == "silver_products":
             return tables.read_latest(self.spark, self.table(name))
         return self.spark.read.parquet(self.table(name))
@@ -123,36 +165,71 @@ def start_bronze(
             store.spark, f"{store.path}/schemas/{feed.folder}", source, feed.fmt, declared=schema
         )
     rows = bronze_stream(store.spark, source, feed.fmt, schema, feed.provenance, max_bytes)
+    if feed.fmt == "csv":
+        bronze = store.batches(feed.table)
+
+        def write(lines: DataFrame, number: int) -> None:
+            if not bronze.holds(number):
+                bronze.write(csv_records(lines, schema), number)
+
+        return batch_stream(rows, write, store.checkpoint(feed.table), every)
     return append_stream(rows, store.table(feed.table), store.checkpoint(feed.table), every=every)
 
 
+def checked(
+    store: Store, name: str, typed: Callable[[DataFrame], DataFrame], checks: Sequence[quality.Expectation]
+) -> Callable[[DataFrame, int], None]:
+    """The writer of a checked table: rows that are kept, rows that are rejected with reasons, and the counts of the batch.
+
+    A batch is scanned once. Its rows are written in one job, apart by whether they are kept, with the
+    counts observed on the way; then each table takes its folder. The counts are stored first, so a batch that was
+    stopped in between is done again as a whole and never counted twice.
+    """
+    kept, rejected, counts = store.batches(name), store.batches(f"{name}_rejects"), store.checks(name)
+    done = BatchTable(store.spark, f"{kept.root}_done")
+
+    def write(batch: DataFrame, number: int) -> None:
+        if done.holds(number):
+            return
+        rows = typed(batch)
+        kept.declare(rows)
+        rejected.declare(rows.withColumn("reasons", quality.reasons(checks)))
+        seen = Observation(name)
+        marked = quality.observed(rows, seen, checks).withColumn("reasons", quality.reasons(checks))
+        marked = marked.withColumn("_kept", F.size("reasons") == 0)
+        by = ["_kept", *([ORDER_MONTH] if ORDER_MONTH in rows.columns else [])]
+        staged = kept.staging(number)
+        marked.hint("rebalance", *by).write.mode("overwrite").partitionBy(*by).parquet(staged)
+        lines = quality.metric_lines(seen.get, name, checks)
+        counts.write(store.spark.createDataFrame(lines, quality.METRICS).coalesce(1), number)
+        kept.adopt(f"{staged}/_kept=true", number)
+        rejected.adopt(f"{staged}/_kept=false", number)
+        tables.mark(store.spark, done.folder(number))
+        tables.remove(store.spark, staged)
+
+    return write
+
+
 def start_silver(store: Store, every: str | None = None) -> dict[str, StreamingQuery]:
-    """The silver streams: checked orders and clicks, the rows that were dropped, customer changes.
+    """The silver streams: checked orders and clicks with the rows that were dropped, customer changes.
 
     Without ``every`` each takes what its bronze table holds and ends; with it they run on.
     """
-    orders = table_stream(store.spark, store.table("bronze_orders"))
-    clicks = table_stream(store.spark, store.table("bronze_clickstream"))
-    appended = {
-        "silver_orders": with_order_month(silver.silver_orders(orders, observe_as="silver_orders")),
-        "silver_orders_rejects": rejects(silver.typed_orders(orders), ORDER_CHECKS),
-        "silver_clickstream": silver.silver_clickstream(clicks, observe_as="silver_clickstream"),
-        "silver_clickstream_rejects": rejects(silver.typed_clicks(clicks), CLICK_CHECKS),
+    writers = {
+        "silver_orders": (
+            "bronze_orders",
+            checked(store, "silver_orders", lambda rows: with_order_month(silver.typed_orders(rows)), ORDER_CHECKS),
+        ),
+        "silver_clickstream": (
+            "bronze_clickstream",
+            checked(store, "silver_clickstream", silver.typed_clicks, CLICK_CHECKS),
+        ),
+        "silver_customers": ("bronze_customers_cdc", store.customers().writer(fold_every=FOLD_EVERY)),
     }
-    started = {
-        name: append_stream(
-            rows,
-            store.table(name),
-            store.checkpoint(name),
-            partition_by=ORDER_MONTH if name == "silver_orders" else None,
-            every=every,
-        )
-        for name, rows in appended.items()
+    return {
+        name: batch_stream(table_stream(store.spark, store.table(bronze)), write, store.checkpoint(name), every)
+        for name, (bronze, write) in writers.items()
     }
-    changes = table_stream(store.spark, store.table("bronze_customers_cdc"))
-    write_batch = store.customers().writer(fold_every=FOLD_EVERY)
-    started["silver_customers"] = batch_stream(changes, write_batch, store.checkpoint("silver_customers"), every)
-    return started
 
 
 def start_continuous(store: Store, landing: str, every: str) -> list[StreamingQuery]:
@@ -209,11 +286,92 @@ def refresh_daily_revenue(store: Store, orders: DataFrame) -> DataFrame:
     return stored
 
 
+def _carry_on(
+    store: Store,
+    name: str,
+    rows: BatchTable,
+    reduce: Callable[[DataFrame], DataFrame],
+    merge: Callable[[DataFrame], DataFrame],
+    part: str,
+    month: str | None = None,
+    totals: Callable[[DataFrame], DataFrame] | None = None,
+) -> list[int]:
+    """Bring the state of a view up to its source: new batches are reduced and merged into the buckets they touch.
+
+    ``totals`` are made again for the touched buckets only, from the part just written.
+    """
+    state, numbers = store.state(name), rows.numbers()
+    upto = state.upto()
+    if not numbers or numbers[-1] <= upto:
+        return []
+    new = reduce(rows.read(after=upto, upto=numbers[-1]))
+    touched = state.touched(new)
+    old = state.read(part, touched)
+    change = state.start()
+    if month:
+        old = None if old is None else old.drop(month)
+    merged = merge(new if old is None else old.unionByName(new))
+    merged = gold.with_session_month(merged) if month else merged
+    written = state.write(change, part, merged, month)
+    if totals:
+        state.write(change, "totals", totals(written))
+    state.commit(change, touched, numbers[-1])
+    return touched
+
+
+def refresh_sessions(store: Store) -> list[int]:
+    """Merge new clicks into the sessions; returns the buckets that were rewritten."""
+    clicks = store.batches("silver_clickstream")
+    return _carry_on(
+        store,
+        "gold_cart_abandonment",
+        clicks,
+        gold.session_parts,
+        gold.merged_sessions,
+        "sessions",
+        month=gold.SESSION_MONTH,
+    )
+
+
+def refresh_product_totals(store: Store) -> list[int]:
+    """Add new order lines to the product totals; an order that is delivered again is counted once."""
+    orders = store.batches("silver_orders")
+    return _carry_on(
+        store,
+        "gold_top_products",
+        orders,
+        gold.product_orders,
+        gold.added_product_orders,
+        "orders",
+        totals=gold.product_totals,
+    )
+
+
+def refresh_customer_totals(store: Store) -> list[int]:
+    """Add new order lines to the customer totals; an order that is delivered again is counted once."""
+    orders = store.batches("silver_orders")
+    return _carry_on(
+        store,
+        "gold_customer_ltv",
+        orders,
+        gold.customer_orders,
+        gold.added_customer_orders,
+        "orders",
+        totals=gold.customer_totals,
+    )
+
+
+def _totals(store: Store, name: str, none: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The stored totals of a view, or its columns without rows where no order has come yet."""
+    found = store.state(name).read("totals")
+    return none(store.read("silver_orders")) if found is None else found
+
+
 def refresh_views(store: Store, as_of: dt.date | None = None) -> dict[str, DataFrame]:
     """Refresh the product view and the gold views from the silver snapshots.
 
-    Daily revenue is computed again for the months that changed. The other views hold distinct
-    counts over all time, which cannot be carried on exactly, and are computed as a whole.
+    Daily revenue is computed again for the months that changed. Sessions, product totals and customer totals are
+    carried on in the hash buckets that new rows fall in; products and customers are joined with the totals, a row each.
 
     The gold views do not depend on each other, so their jobs are submitted together and share
     the cluster.
@@ -221,15 +379,30 @@ def refresh_views(store: Store, as_of: dt.date | None = None) -> dict[str, DataF
     store.customers().fold()
     products = silver.silver_products(store.read("bronze_products"))
     products = tables.write_version(products, store.table("silver_products"))
-    orders = store.read("silver_orders")
+
+    def sessions() -> DataFrame:
+        refresh_sessions(store)
+        return store.read("gold_cart_abandonment")
+
+    def top_products() -> DataFrame:
+        refresh_product_totals(store)
+        sold = _totals(store, "gold_top_products", lambda rows: gold.product_totals(gold.product_orders(rows)))
+        return tables.write_version(gold.described_products(sold, products), store.table("gold_top_products"))
+
+    def customer_ltv() -> DataFrame:
+        refresh_customer_totals(store)
+        bought = _totals(store, "gold_customer_ltv", lambda rows: gold.customer_totals(gold.customer_orders(rows)))
+        view = gold.valued_customers(store.read("silver_customers"), bought, as_of)
+        return tables.write_version(view, store.table("gold_customer_ltv"))
+
     views = {
-        "gold_top_products": gold.gold_top_products(orders, products),
-        "gold_cart_abandonment": gold.gold_cart_abandonment(store.read("silver_clickstream")),
-        "gold_customer_ltv": gold.gold_customer_ltv(store.read("silver_customers"), orders, as_of),
+        "gold_revenue_daily": lambda: refresh_daily_revenue(store, store.read("silver_orders")),
+        "gold_top_products": top_products,
+        "gold_cart_abandonment": sessions,
+        "gold_customer_ltv": customer_ltv,
     }
-    with ThreadPoolExecutor(len(views) + 1) as pool:
-        written = {n: pool.submit(tables.write_version, view, store.table(n)) for n, view in views.items()}
-        written["gold_revenue_daily"] = pool.submit(refresh_daily_revenue, store, orders)
+    with ThreadPoolExecutor(len(views)) as pool:
+        written = {name: pool.submit(view) for name, view in views.items()}
         return {name: done.result() for name, done in written.items()}
 
 
@@ -258,3 +431,26 @@ def refresh(
     refresh_views(store, as_of)
     tables.mark(spark, store.path)
     return store
+
+
+def generation_difference(first: Store, second: Store, leave_out: Sequence[str] = ()) -> DataFrame:
+    """Rows of each table that one generation has more often than the other, as counts; clocks and columns of one only are left out.
+
+    Both are compared as multisets of row hashes, in one aggregation a table.
+    """
+    lines = None
+    for name in QUALITY:
+        tables_of = [store.read(name) for store in (first, second)]
+        both = set(tables_of[0].columns) & set(tables_of[1].columns)
+        columns = sorted(both - {"_ingestion_ts", *leave_out})
+        sides = [
+            rows.select(F.xxhash64(*columns).alias("row"), F.lit(step).alias("step"))
+            for rows, step in zip(tables_of, (1, -1))
+        ]
+        more = sides[0].unionByName(sides[1]).groupBy("row").agg(F.sum("step").alias("more"))
+        line = more.agg(
+            F.coalesce(F.sum(F.greatest("more", F.lit(0))), F.lit(0)).alias("only_first"),
+            F.coalesce(F.sum(F.greatest(-F.col("more"), F.lit(0))), F.lit(0)).alias("only_second"),
+        ).select(F.lit(name).alias("table_name"), "only_first", "only_second")
+        lines = line if lines is None else lines.unionByName(line)
+    return lines

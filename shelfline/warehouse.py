@@ -1,7 +1,7 @@
 """Silver and gold tables built from feeds in one go, each written once and read many times.
 
 Queries over gold read these stored tables and never rebuild them from the raw rows. The order
-table, by far the largest, is stored by month.
+table, by far the largest, and the sessions are stored by month.
 """
 
 from __future__ import annotations
@@ -23,6 +23,10 @@ SILVER = ("silver_orders", "silver_products", "silver_clickstream", "silver_cust
 GOLD = ("gold_revenue_daily", "gold_top_products", "gold_cart_abandonment", "gold_customer_ltv")
 
 
+# Tables that are stored by month, and the column that names it.
+BY_MONTH = {"silver_orders": ORDER_MONTH, "gold_cart_abandonment": gold.SESSION_MONTH}
+
+
 class Warehouse:
     def __init__(self, source: Tables, root: str, as_of: dt.date):
         self.source = source
@@ -46,7 +50,9 @@ class Warehouse:
             "gold_top_products": lambda: gold.gold_top_products(
                 self.table("silver_orders"), self.table("silver_products")
             ),
-            "gold_cart_abandonment": lambda: gold.gold_cart_abandonment(self.table("silver_clickstream")),
+            "gold_cart_abandonment": lambda: gold.with_session_month(
+                gold.gold_cart_abandonment(self.table("silver_clickstream"))
+            ),
             "gold_customer_ltv": lambda: gold.gold_customer_ltv(
                 self.table("silver_customers"), self.table("silver_orders"), self.as_of
             ),
@@ -57,8 +63,7 @@ class Warehouse:
         """The stored table, written on first use."""
         with self._locks[name]:
             if name not in self._stored:
-                partition = ORDER_MONTH if name == "silver_orders" else None
-                self._stored[name] = tables.write_version(self.define(name), f"{self.root}/{name}", partition)
+                self._stored[name] = tables.write_version(self.define(name), f"{self.root}/{name}", BY_MONTH.get(name))
             return self._stored[name]
 
     def drop(self) -> None:

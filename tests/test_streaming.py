@@ -4,13 +4,17 @@ import datetime as dt
 import random
 
 import pytest
+from conftest import plan_of
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from shelfline import samples
+from shelfline import samples, schemas
+from shelfline.operators import quality
+from shelfline.operators.quality import ORDER_CHECKS
 from shelfline.plans import bi, gold, silver
 from shelfline.sources import generate as gen
 from shelfline.sources import landing, tables
+from shelfline.sources.batches import BatchTable
 from shelfline.streaming import ingest, refresh
 from shelfline.streaming.changes import ChangeTable
 
@@ -36,7 +40,7 @@ def land(rows, folder, number, orders):
     landing.write_parquet(rows["customers"], f"{folder}/customers/batch{number}")
 
 
-def same(left, right, drop=("_ingestion_ts", "order_month", "_corrupt_record")):
+def same(left, right, drop=("_ingestion_ts", "order_month", "session_month", "_corrupt_record", "_beyond")):
     left, right = left.drop(*drop), right.drop(*drop).select(*left.drop(*drop).columns)
     return left.exceptAll(right).isEmpty() and right.exceptAll(left).isEmpty()
 
@@ -59,7 +63,7 @@ def test_bronze_is_what_was_landed(spark, one_delivery):
     assert same(
         bronze.withColumn("order_date", F.date_format("order_date", "yyyy-MM-dd HH:mm:ss")),
         rows["orders"],
-        drop=("_ingestion_ts", "_source_file", "_source_ts", "_corrupt_record"),
+        drop=("_ingestion_ts", "_source_file", "_source_ts", "_corrupt_record", "_beyond"),
     )
     assert same(store.read("bronze_clickstream"), rows["clicks"])
     assert same(store.read("bronze_customers_cdc"), rows["customers"])
@@ -169,28 +173,72 @@ def test_open_store_before_any_refresh(spark, scratch):
         refresh.open_store(spark, scratch)
 
 
-def test_observed_counts_and_rejects(spark, scratch):
-    rows = gen.orders(gen.ids(spark, 50), 50, END).select(
-        *[c for c in gen.orders(gen.ids(spark, 1), 1, END).columns if c not in ("total_amount", "status")],
-        F.when(F.col("order_id") > "O0000040", -1.0).otherwise(F.col("total_amount")).alias("total_amount"),
-        F.when(F.col("order_id") <= "O0000005", "odd").otherwise(F.col("status")).alias("status"),
-        F.current_timestamp().alias("_ingestion_ts"),
-    )
-    landing.write_parquet(rows, f"{scratch}/bronze")
-    bronze = ingest.table_stream(spark, f"{scratch}/bronze")
-    query = ingest.append_stream(
-        silver.silver_orders(bronze, observe_as="orders"), f"{scratch}/silver", f"{scratch}/checkpoint"
-    )
-    ingest.wait([query])
-    counts = ingest.observed_counts(query, "orders")
-    assert counts == {"rows_seen": 50, "valid_order_id": 50, "valid_customer": 50, "positive_amount": 40, "valid_status": 45}
-    assert spark.read.parquet(f"{scratch}/silver").count() == 40
+def careless(spark):
+    feed = gen.orders(gen.ids(spark, 300), 300, END)
+    odd = F.when(F.col("order_id") > "O0000250", -1.0).otherwise(F.col("total_amount"))
+    nobody = F.when(F.col("order_id") > "O0000010", F.col("customer_id"))
+    status = F.when(F.col("order_id") <= "O0000005", "odd").otherwise(F.col("status"))
+    rows = feed.withColumns({"total_amount": odd, "customer_id": nobody, "status": status})
+    return rows.withColumn("_ingestion_ts", F.current_timestamp())
+
+
+def test_counts_and_rejects_of_many_micro_batches(spark, scratch):
+    """150 micro-batches, each handed over twice, count every row once; kept and rejected rows come from one scan."""
+    rows = careless(spark)
+    store = refresh.Store(spark, scratch, "g000001")
+    numbered = rows.withColumn("n", F.substring("order_id", 2, 7).cast("int") % 150).toPandas()
+    write = refresh.checked(store, "silver_orders", silver.typed_orders, ORDER_CHECKS)
+    for number, part in numbered.groupby("n"):
+        batch = spark.createDataFrame(part.drop(columns="n"), rows.schema).coalesce(1)
+        write(batch, int(number))
+        if number % 10 == 0:
+            write(batch, int(number))
+    counted = quality.added_up(store.checks("silver_orders").read())
+    whole = quality.metrics(silver.typed_orders(rows), "silver_orders", ORDER_CHECKS)
+    assert same(counted, whole) and len(store.checks("silver_orders").numbers()) == 150
+    kept = silver.silver_orders(rows)
+    assert same(store.read("silver_orders"), kept) and 0 < kept.count() < 300
+    rejected = quality.rejects(silver.typed_orders(rows), ORDER_CHECKS)
+    assert same(store.read("silver_orders_rejects"), rejected) and rejected.count() == 60
+
+
+def test_a_batch_that_was_stopped_is_done_again_as_a_whole(spark, scratch, monkeypatch):
+    rows = careless(spark)
+    store = refresh.Store(spark, scratch, "g000001")
+    write = refresh.checked(store, "silver_orders", silver.typed_orders, ORDER_CHECKS)
+    adopt = refresh.BatchTable.adopt
+
+    def fails(table, path, number):
+        if table.root.endswith("_rejects"):
+            raise OSError("lost")
+        adopt(table, path, number)
+
+    monkeypatch.setattr(refresh.BatchTable, "adopt", fails)
+    with pytest.raises(OSError):
+        write(rows, 0)
+    monkeypatch.setattr(refresh.BatchTable, "adopt", adopt)
+    write(rows, 0)
+    assert store.read("silver_orders").count() + store.read("silver_orders_rejects").count() == 300
+    assert store.read("silver_orders_rejects").count() == 60
+    assert store.checks("silver_orders").read().filter("constraint_name = 'positive_amount'").head().failed == 50
+
+
+def test_one_scan_feeds_kept_rejected_and_counts(spark, scratch, monkeypatch):
+    landing.write_parquet(careless(spark), f"{scratch}/bronze")
+    store = refresh.Store(spark, scratch, "g000001")
+    plans = []
+    write = refresh.checked(store, "silver_orders", silver.typed_orders, ORDER_CHECKS)
+    real = refresh.quality.observed
+    monkeypatch.setattr(refresh.quality, "observed", lambda *a: plans.append(real(*a)) or plans[-1])
+    write(spark.read.parquet(f"{scratch}/bronze"), 0)
+    assert len(plans) == 1 and plan_of(plans[0]).count("FileScan parquet") == 1
 
 
 def test_rejected_rows_are_kept_by_the_refresh(spark, one_delivery):
     _, _, store = one_delivery
     assert store.read("silver_orders_rejects").count() == 0
     assert store.read("silver_clickstream_rejects").count() == 0
+    assert store.read("silver_checks").filter("dataset = 'silver_orders'").agg(F.max("passed")).head()[0] == N
 
 
 def test_schema_is_inferred_once(spark, scratch):
@@ -201,28 +249,125 @@ def test_schema_is_inferred_once(spark, scratch):
     assert first["price"].dataType.simpleString() == "double"
 
 
-def test_csv_with_columns_in_another_order_is_refused(spark, scratch):
-    from pyspark.errors import StreamingQueryException
+def read_csv(spark, path, schema, scratch, number=0):
+    """CSV files as the order stream reads them."""
+    table = BatchTable(spark, f"{scratch}/csv-{number}")
+    lines = ingest.bronze_stream(spark, path, "csv", schema)
+    writer = lambda batch, n: table.write(ingest.csv_records(batch, schema), n)
+    ingest.wait([ingest.batch_stream(lines, writer, f"{scratch}/checkpoint-{number}")])
+    return table.read()
+
 
+def test_every_csv_file_has_a_header_of_its_own(spark, scratch):
     feed = gen.orders(gen.ids(spark, 5), 5, END)
     landing.write_csv(feed, f"{scratch}/in/batch1")
-    schema = landing.infer_schema(spark, f"{scratch}/in", "csv")
-    landing.write_csv(feed.select(*reversed(feed.columns)), f"{scratch}/in/batch2")
-    rows = ingest.bronze_stream(spark, f"{scratch}/in", "csv", schema)
-    with pytest.raises(StreamingQueryException):
-        ingest.wait([ingest.append_stream(rows, f"{scratch}/out", f"{scratch}/checkpoint")])
+    later = feed.withColumn("order_id", F.concat("order_id", F.lit("x")))
+    landing.write_csv(later.select(*reversed(feed.columns)), f"{scratch}/in/batch2")
+    more = feed.withColumn("order_id", F.concat("order_id", F.lit("y"))).withColumn("note", F.lit('say "a,b"'))
+    landing.write_csv(more.withColumn("rank", F.lit(None).cast("int")), f"{scratch}/in/batch3")
+    landing.write_csv(feed.drop("ship_country").withColumn("order_id", F.concat("order_id", F.lit("z"))), f"{scratch}/in/batch4")
+    schema = StructType.fromDDL(schemas.ORDERS)
+    got = read_csv(spark, f"{scratch}/in", schema, scratch)
+    assert got.filter("_corrupt_record IS NOT NULL").count() == 0
+    for letter, rows in (("", feed), ("x", later), ("y", feed.withColumn("order_id", F.concat("order_id", F.lit("y"))))):
+        part = got.filter(F.col("order_id").rlike(f"[0-9]{letter}$"))
+        assert same(part.select(*feed.columns), rows), letter
+    beyond = {r.order_id[-1]: r._beyond for r in got.collect()}
+    assert beyond["y"] == '{"note":"say \\"a,b\\""}' and beyond["x"] is None and beyond["z"] is None
+    assert got.filter("order_id LIKE '%z' AND ship_country IS NULL").count() == 5
+
+
+def test_a_csv_file_without_header_has_the_declared_order(spark, scratch):
+    spark.createDataFrame([("1,2.5",), ("2,",), ("",)], "t string").coalesce(1).write.text(f"{scratch}/in")
+    got = read_csv(spark, f"{scratch}/in", StructType.fromDDL("id int, amount double"), scratch)
+    assert {(r.id, r.amount, r._corrupt_record) for r in got.collect()} == {(1, 2.5, None), (2, None, None)}
+
+
+def test_fields_beyond_the_schema_are_kept_with_their_types(spark, scratch):
+    lines = ['{"id": 1, "tags": ["a", {"b": 2.50}], "n": null}', '{"id": 2}', '{"id": "x", "more": true}', "{broken"]
+    spark.createDataFrame([(line,) for line in lines], "t string").write.text(f"{scratch}/json")
+    rows = ingest.bronze_stream(spark, f"{scratch}/json", "json", StructType.fromDDL("id int"))
+    ingest.wait([ingest.append_stream(rows, f"{scratch}/out", f"{scratch}/checkpoint")])
+    got = {(r.id, r._beyond, r._corrupt_record) for r in spark.read.parquet(f"{scratch}/out").collect()}
+    assert got == {
+        (1, '{"tags":["a",{"b":2.5}],"n":null}', None),
+        (2, None, None),
+        (None, '{"more":true}', lines[2]),
+        (None, None, lines[3]),
+    }
+
+
+def test_times_in_later_spellings_are_times(spark, scratch):
+    spellings = ["2024-05-03 10:20:30", "03.05.2024 10:20:30", "2024/05/03 10:20", "3 May 2024", "05/03/2024", "20240503", "soon"]
+    rows = [(f"O{i},C1,P1,1,2.0,2.0,completed,{time},US",) for i, time in enumerate(spellings)]
+    header = (schemas.ORDERS.replace(" string", "").replace(" int", "").replace(" double", "").replace(" ", ""),)
+    spark.createDataFrame([header, *rows], "t string").coalesce(1).write.text(f"{scratch}/in")
+    declared = StructType.fromDDL(schemas.ORDERS.replace("order_date string", "order_date timestamp"))
+    got = {r.order_id: (r.order_date, r._corrupt_record) for r in read_csv(spark, f"{scratch}/in", declared, scratch).collect()}
+    assert all(got[f"O{i}"][0].date() == dt.date(2024, 5, 3) and got[f"O{i}"][1] is None for i in range(6))
+    assert got["O6"] == (None, rows[6][0])
+    as_text = read_csv(spark, f"{scratch}/in", StructType.fromDDL(schemas.ORDERS), scratch, 1)
+    daily = gold.gold_revenue_daily(silver.silver_orders(as_text.withColumn("_ingestion_ts", F.current_timestamp())))
+    assert {(r.order_day, r.order_count) for r in daily.collect()} == {(dt.date(2024, 5, 3), 6), (None, 1)}
 
 
 def test_records_that_do_not_fit_keep_their_text(spark, scratch):
     spark.createDataFrame([("id,amount\n1,2.5\n2,oops\n3,4.5,extra",)], "t string").coalesce(1).write.text(f"{scratch}/csv")
     spark.createDataFrame([('{"id": 1}',), ('{"id": "x"}',), ("{broken",)], "t string").write.text(f"{scratch}/json")
     schema = StructType.fromDDL("id int, amount double")
-    for fmt, bad in (("csv", {"2,oops", "3,4.5,extra"}), ("json", {'{"id": "x"}', "{broken"})):
-        rows = ingest.bronze_stream(spark, f"{scratch}/{fmt}", fmt, schema)
-        ingest.wait([ingest.append_stream(rows, f"{scratch}/{fmt}-out", f"{scratch}/{fmt}-checkpoint")])
-        stored = spark.read.parquet(f"{scratch}/{fmt}-out")
-        assert stored.count() == 3
-        assert {r[0] for r in stored.filter("_corrupt_record IS NOT NULL").select("_corrupt_record").collect()} == bad
+    got = read_csv(spark, f"{scratch}/csv", schema, scratch)
+    assert got.count() == 3
+    assert {r[0] for r in got.filter("_corrupt_record IS NOT NULL").select("_corrupt_record").collect()} == {"2,oops", "3,4.5,extra"}
+    rows = ingest.bronze_stream(spark, f"{scratch}/json", "json", schema)
+    ingest.wait([ingest.append_stream(rows, f"{scratch}/json-out", f"{scratch}/json-checkpoint")])
+    got = spark.read.parquet(f"{scratch}/json-out")
+    assert {r[0] for r in got.filter("_corrupt_record IS NOT NULL").select("_corrupt_record").collect()} == {'{"id": "x"}', "{broken"}
+
+
+def test_one_new_click_file_reads_and_writes_only_the_buckets_of_its_sessions(spark, scratch):
+    store = refresh.Store(spark, scratch, "g000001")
+    clicks = gen.clicks(gen.ids(spark, N), N, END, 40, 20, 50).withColumn("_ingestion_ts", F.current_timestamp())
+    table = store.batches("silver_clickstream")
+    table.write(silver.silver_clickstream(clicks), 0)
+    refresh.refresh_sessions(store)
+    state = store.state("gold_cart_abandonment")
+    before = {b: state.paths("sessions", [b]) for b in range(state.buckets)}
+    one = clicks.limit(1).select(*clicks.columns).withColumn("event_id", F.lit("new")).withColumn("ts", F.lit("2031-01-01 00:00:00"))
+    table.write(silver.silver_clickstream(one), 1)
+    new = gold.session_parts(table.read(after=0))
+    assert len(table.read(after=0).select("event_id").collect()) == 1
+    touched = state.touched(new)
+    assert len(touched) == 1
+    assert set(state.read("sessions", touched).inputFiles()) < set(state.read("sessions").inputFiles())
+    assert all(f"bucket={touched[0]}/" in path for path in state.read("sessions", touched).inputFiles())
+    assert refresh.refresh_sessions(store) == touched
+    after = {b: state.paths("sessions", [b]) for b in range(state.buckets)}
+    assert [b for b in before if before[b] != after[b]] == touched
+    both = clicks.unionByName(one)
+    assert same(store.read("gold_cart_abandonment"), gold.gold_cart_abandonment(silver.silver_clickstream(both)))
+    assert refresh.refresh_sessions(store) == []
+    state.drop_unused(keep=1)
+    assert same(store.read("gold_cart_abandonment"), gold.gold_cart_abandonment(silver.silver_clickstream(both)))
+
+
+def test_orders_that_are_delivered_again_are_counted_once(spark, scratch):
+    store = refresh.Store(spark, scratch, "g000001")
+    orders = silver.silver_orders(gen.orders(gen.ids(spark, 200), 200, END, 40, 20).withColumn("_ingestion_ts", F.current_timestamp()))
+    customers = gen.customers(gen.ids(spark, 40))
+    products = silver.silver_products(gen.products(gen.ids(spark, 20)).withColumn("_ingestion_ts", F.current_timestamp()))
+    table = store.batches("silver_orders")
+    parts = [orders.filter("order_id <= 'O0000120'"), orders.filter("order_id > 'O0000100'"), orders.filter("order_id = 'O0000007'")]
+    seen = None
+    for number, part in enumerate(parts):
+        table.write(part, number)
+        seen = part if seen is None else seen.unionByName(part)
+        touched = refresh.refresh_product_totals(store), refresh.refresh_customer_totals(store)
+        sold, bought = (store.state(n).read("totals") for n in ("gold_top_products", "gold_customer_ltv"))
+        assert same(gold.described_products(sold, products), gold.gold_top_products(seen, products))
+        current = silver.silver_customers(customers.withColumn("_ingestion_ts", F.current_timestamp()))
+        assert same(gold.valued_customers(current, bought, TODAY), gold.gold_customer_ltv(current, seen, TODAY))
+    assert [len(t) for t in touched] == [1, 1]
+    assert gold.described_products(sold, products).agg(F.sum("orders_count")).head()[0] == 200
 
 
 def test_declared_schemas_give_the_same_tables(spark, one_delivery, scratch):
@@ -323,22 +468,36 @@ def test_replayed_batch_changes_nothing(spark, scratch):
 def test_unfinished_pieces_are_ignored(spark, scratch):
     table = ChangeTable(spark, scratch)
     table.write_batch(changes(spark, CHANGES), 0)
-    changes(spark, [("Z", "z", "insert", 1)]).write.parquet(f"{scratch}/batches/batch={1:012d}")
-    changes(spark, [("Z", "z", "insert", 1)]).write.parquet(f"{scratch}/base/upto={1:012d}")
-    assert state(table) == CURRENT
     table.fold()
+    lost = changes(spark, [("Z", "z", "insert", 1)])
+    lost.write.parquet(table.batches.staging(1))
+    table.state.write(table.state.start(), "newest", silver.newest_change(lost))
     assert state(table) == CURRENT
+    table.write_batch(changes(spark, [("F", "f1", "insert", 1)]), 1)
+    table.fold()
+    assert state(table) == CURRENT | {("F", "f1")}
+
+
+def test_one_change_rewrites_one_bucket(spark, scratch):
+    table = ChangeTable(spark, scratch)
+    table.write_batch(changes(spark, CHANGES), 0)
+    assert len(table.fold()) > 1
+    before = set(table.state.paths("newest"))
+    table.write_batch(changes(spark, [("A", "a9", "update", 9)]), 1)
+    assert len(table.fold()) == 1 and table.fold() == []
+    assert len(before - set(table.state.paths("newest"))) == 1
+    assert state(table) == {("A", "a9"), ("C", "c3")}
 
 
 def test_folding_writer_and_clean_up(spark, scratch):
     table = ChangeTable(spark, scratch)
-    write = table.writer(fold_every=2)
+    write = table.writer(fold_every=3)
     for batch, row in enumerate(CHANGES):
         write(changes(spark, [row]), batch)
     assert state(table) == CURRENT
     table.drop_folded(keep=1)
-    assert len(tables.folders(spark, f"{scratch}/base")) == 1
-    assert tables.folders(spark, f"{scratch}/batches") == []
+    assert table.batches.numbers() == []
+    assert len(tables.versions(spark, f"{table.state.root}/manifests")) == 1
     assert state(table) == CURRENT
 
 
