@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfline.llm.common import stored
-from shelfline.llm.hashing import run_hashes, sliding, word_hashes
+from shelfline.llm.hashing import mixed, run_hashes, sliding, word_hashes
 
 WINDOW, ANCHOR = 35, 12
 # Anchors or windows of a slice, as slices are planned, and the counters of each of its two rows.
@@ -58,7 +58,8 @@ def window_anchors(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     least = sliding(runs, _SPAN, np.minimum)
     edge = np.zeros(_SPAN - 1, dtype=np.uint64)
     over = sliding(np.concatenate([edge, least, edge]), _SPAN, np.maximum)
-    return least, runs[runs == over]
+    # Least hashes are small; mixed once more they fall evenly into slices and counters.
+    return mixed(least), mixed(runs[runs == over])
 
 
 def _keyed(docs: DataFrame) -> DataFrame:

@@ -89,6 +89,14 @@ def test_equal_windows_have_equal_anchors_that_are_counted_as_often():
         assert counted[anchors[0]] >= len(anchors)
 
 
+def test_anchors_fall_evenly_into_slices():
+    draw = np.random.default_rng(8)
+    hashes = draw.integers(0, 1 << 63, 60_000, dtype=np.uint64) * np.uint64(2)
+    _, places = substrings.window_anchors(hashes)
+    counts = np.bincount((places >> np.uint64(61)).astype(np.int64), minlength=8)
+    assert counts.max() < 1.3 * counts.mean()
+
+
 def test_estimates_are_never_too_low():
     draw = np.random.default_rng(5)
     values = draw.integers(0, 1 << 63, 3000).astype(np.uint64)
