@@ -29,7 +29,7 @@ from shelfline.llm.common import stored
 
 BITS = 15
 BUCKETS = 1 << BITS
-MAX_TRAINING_ROWS, MAX_LANGUAGES = 4000, 400
+MAX_TRAINING_ROWS = 4000
 UNKNOWN = "und"
 FOLDS, HELD_OUT = 3, 1
 _LETTER = re.compile(r"[^\W\d_]")
@@ -57,6 +57,11 @@ def ngrams(text: str) -> tuple[np.ndarray, np.ndarray]:
     return found, counts[found]
 
 
+def has_letter(text: str) -> bool:
+    """Whether a character of a letter category stands in the text; the pattern also finds signs such as ½."""
+    return any(found.group().isalpha() for found in _LETTER.finditer(text))
+
+
 def weighted(text: str, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Buckets and TF-IDF values of length 1."""
     found, counts = ngrams(text)
@@ -72,7 +77,7 @@ class Model:
     temperature: float
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        if not text or not self.languages or not _LETTER.search(text):
+        if not text or not self.languages or not has_letter(text):
             return UNKNOWN, 0.0
         found, values = weighted(text, self.idf)
         shares = softmax(values @ self.weights[found] / self.temperature)
@@ -176,9 +181,7 @@ def fit(docs: DataFrame, *, max_rows: int = MAX_TRAINING_ROWS) -> Model:
         for row in docs.filter((fold(F.col("doc_id")) != HELD_OUT) & F.col("lang").isNotNull())
         .groupBy(F.col("lang").cast("string").alias("lang"))
         .agg(F.count("*").alias("n"))
-        .orderBy(F.desc("n"), "lang")
-        .limit(MAX_LANGUAGES)
-        .collect()
+        .collect()  # a row for each language
     }
     languages = sorted(sizes)
     nothing = Model([], np.zeros(BUCKETS), np.zeros((BUCKETS, 0)), 1.0)
@@ -189,7 +192,7 @@ def fit(docs: DataFrame, *, max_rows: int = MAX_TRAINING_ROWS) -> Model:
 
     each = max(1, max_rows // len(languages))
     share = F.create_map(*[F.lit(x) for lang in languages for x in (lang, min(1.0, each / sizes[lang]))])
-    drawn = F.pmod(F.xxhash64("doc_id", F.lit(17)), F.lit(1_000_003)) < F.try_element_at(share, F.col("lang")) * 1_000_003
+    drawn = F.pmod(F.xxhash64("doc_id", "text", F.lit(17)), F.lit(1_000_003)) < F.try_element_at(share, F.col("lang")) * 1_000_003
     place = {lang: number for number, lang in enumerate(languages)}
 
     def described(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -207,10 +210,11 @@ def fit(docs: DataFrame, *, max_rows: int = MAX_TRAINING_ROWS) -> Model:
     sample = stored(
         known.filter(drawn).mapInPandas(described, "doc_id long, kind int, buckets binary, values binary"), "languages"
     )
-    if max_rows > 0 and sample.count() > 3 * max_rows + 100:  # ids that repeat share their hash
-        sample = sample.orderBy("doc_id", "kind").limit(max_rows)
+    place_of_row = F.xxhash64("doc_id", "buckets", "values", F.lit(19))
+    if max_rows > 0 and sample.count() > 3 * max_rows + 100:  # rows that repeat share their hash
+        sample = sample.orderBy(place_of_row, "kind").limit(max_rows)
     learned, checked = [], []
-    for doc_id, kind, buckets, values in sample.orderBy(F.xxhash64("doc_id", F.lit(19)), "kind").collect():
+    for doc_id, kind, buckets, values in sample.orderBy(place_of_row, "kind").collect():
         row = (kind, np.frombuffer(buckets, "<i4"), np.frombuffer(values, "<f8"))
         (checked if len(learned) > 4 * len(checked) + 3 else learned).append(row)
     if not learned:

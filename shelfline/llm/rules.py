@@ -60,6 +60,11 @@ def conditions() -> dict[str, Column]:
     }
 
 
+def _letters(text: str) -> int:
+    """Characters of a letter category. The pattern also leaves signs such as ½, which ASCII does not have."""
+    return len(text) - len(_NO_LETTER.findall(text)) if text.isascii() else sum(map(str.isalpha, text))
+
+
 def measure(text: str | None) -> tuple[int, ...]:
     """The measurements of one text, in the order of ``MEASURES``."""
     if not text:
@@ -81,7 +86,7 @@ def measure(text: str | None) -> tuple[int, ...]:
         len(filled) - len(set(filled)),
         repeated,
         len(filled),
-        len(text) - len(_NO_LETTER.findall(text)),
+        _letters(text),
         len(_CAPITAL.findall(text)),
     )
 

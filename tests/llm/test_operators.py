@@ -301,6 +301,16 @@ def test_vectors_of_few_directions_lose_no_pair_between_cells(spark, block):
     assert got == {r[0]: int(n) for r, n in zip(rows, links)}
 
 
+def test_vectors_that_share_an_id(spark):
+    a, b = [1.0, 0.0, 0.1], [0.0, 1.0, 0.1]
+    rows = [(5, a, 0), (5, b, 1), (6, a, 0), (6, [1.0, 0.05, 0.1], 0), (7, [0.0, 1.0, 0.11], 1), (8, a, 2), (8, [1.0, 0.01, 0.1], 2)]
+    rows += [(None, a, 0), (5, a, 0)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    got = sorted(((r.vec_id, r.n_links, r.component_id, r.kept) for r in vectors.near_duplicates(df).collect()), key=str)
+    expected = [(5, 1, 5, True), *[(5, 3, 5, True)] * 2, *[(6, 3, 5, False)] * 2, (7, 1, 5, False), *[(8, 1, 8, True)] * 2]
+    assert got == sorted([*expected, (None, 0, None, False)], key=str)
+
+
 def test_vectors_of_an_empty_table(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>, label int")
     assert vectors.near_duplicates(df).count() == 0
@@ -315,6 +325,19 @@ def test_language_of_held_out_rows(spark, sf_dir):
     assert got.filter("lang_pred = lang").count() >= 0.97 * got.count()
 
 
+def test_signs_are_no_letters(documents):
+    learned = [(i, "plain words of a text", "en", "s") for i in range(30)] + [(40 + i, "mots simples du texte", "fr", "s") for i in range(30)]
+    docs = documents([*learned, (100, "½ ² 12"), (101, "Ⅷ ③"), (102, "é"), (103, "words " * 100_000)])
+    got = {r.doc_id: r.lang_pred for r in language.identified(docs, language.fit(docs)).collect()}
+    assert got[100] == got[101] == language.UNKNOWN and got[102] in ("en", "fr") and got[103] == "en"
+    assert rules.measure("½" * 360)[6] == 0 and rules.measure("ab½Ⅷé1_")[6] == 3
+
+
+def test_every_language_is_learned(documents):
+    docs = documents([(i, f"kind{i % 450:03d}x " * 20, f"l{i % 450:03d}", "s") for i in range(1800)])
+    assert len(language.fit(docs).languages) == 450
+
+
 def test_language_of_odd_rows(documents):
     docs = documents([*ODD_ROWS, (9, "123 !!")])
     got = language.identified(docs, language.fit(docs)).collect()
