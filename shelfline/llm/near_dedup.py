@@ -5,15 +5,14 @@ the set. Each class has a signature in each of ``TREES`` trees, the sequence of
 A tree is the order of all classes sorted by their signatures: the further two begin alike, the nearer they stand.
 
 1. The orders are range-partitioned and sorted, and every class meets its neighbour on either side, with the length of
-   their common prefix (LCP). The neighbour with the longest LCP in all trees is the candidate of a class; confirmed
-   candidates give first components.
+   their common prefix (LCP). Candidates of a class are the neighbour with the longest LCP in all trees, and the class of
+   least name among those next to it that share their first ``FIRST`` values; confirmed candidates give first components.
 2. A region is a stretch of an order whose signatures share their first ``FIRST`` values. Regions in which all
    classes are in one component are done. Where a region still holds more than ``crowded`` components it is parted by one
    more value, and so on as far as it is so dense: the depth is found region by region, down to ``DEPTH``.
-3. In each turn the members of a region that are not in the component of its pivot are compared with that pivot, which
-   is drawn anew each time: in a group of copies that resemble only some of each other, a turn joins most of what
-   was apart. Members that are apart after these turns are compared with every member of their regions that is in another
-   component, so within regions nothing is left out.
+3. Members that are not in the component of their region's pivot are compared with every member of the region that is in
+   another component, so within regions nothing is left out. Before that, ``turns`` may compare them with pivots drawn
+   anew, which spares work where a region holds many components of one group of copies.
 
 Two texts of Jaccard similarity 0.85 share no region of depth 3 with probability 2.4e-7 (at 0.8 1e-5), of depth 6 with
 5e-4. Only pairs whose shared regions are all dense in components meet the deeper figure.
@@ -150,7 +149,7 @@ def _at_border(code: pd.Series) -> pd.DataFrame:
 def _neighbours(orders: DataFrame) -> DataFrame:
     """(a, b, lcp) of classes that are next to each other in an order and share ``FIRST`` values at least.
 
-    Those at a partition's borders come with themselves: what stands beyond is not seen here, but their regions are looked at
+    With an LCP of 0 each of a run of such classes comes with the run's least. Those at a partition's borders come with themselves: what stands beyond is not seen here, but their regions are looked at
     later like any other.
     """
 
@@ -167,6 +166,10 @@ def _neighbours(orders: DataFrame) -> DataFrame:
             same[batch["tree"].to_numpy()[1:] != batch["tree"].to_numpy()[:-1]] = 0
             code, near = batch["code"].to_numpy(), same >= FIRST
             yield pd.DataFrame({"a": code[:-1][near], "b": code[1:][near], "lcp": same[near]})
+            runs = np.flatnonzero(np.r_[True, ~near])
+            least = np.repeat(np.minimum.reduceat(code, runs), np.diff(np.r_[runs, len(code)]))
+            others = least != code
+            yield pd.DataFrame({"a": least[others], "b": code[others], "lcp": 0})
         if last is not None:
             yield _at_border(last["code"])
 
@@ -175,12 +178,13 @@ def _neighbours(orders: DataFrame) -> DataFrame:
     return rows.mapInPandas(met, "a long, b long, lcp long")
 
 
-def _nearest(met: DataFrame) -> DataFrame:
-    """(a, b): every class with the neighbour of the longest common prefix in all trees."""
-    met = met.filter("a <> b")
+def _candidates(met: DataFrame) -> DataFrame:
+    """(a, b): every class with the neighbour of the longest common prefix in all trees, and with the least of its runs."""
+    least, met = met.filter("lcp = 0 AND a <> b"), met.filter("lcp > 0")
     both = met.unionByName(met.select(F.col("b").alias("a"), F.col("a").alias("b"), "lcp"))
     best = both.groupBy("a").agg(F.max(F.struct("lcp", "b")).alias("best"))
-    return best.select("a", F.col("best.b").alias("b")).select(*_ordered("a", "b")).distinct()
+    nearest = best.select("a", F.col("best.b").alias("b"))
+    return nearest.unionByName(least.select("a", "b")).select(*_ordered("a", "b")).distinct()
 
 
 def _regions(orders: DataFrame, met: DataFrame, parts: DataFrame, crowded: int) -> DataFrame:
@@ -303,7 +307,7 @@ def _components(docs: DataFrame, percent: int, crowded: int, turns: int, version
     wanted = met.select(F.col("a").alias("code")).unionByName(met.select(F.col("b").alias("code"))).distinct()
     sets = stored(_class_sets(docs, classes, wanted), "shingle-sets")
     sizes = classes.select("code", "n")
-    pairs = _nearest(met).join(sizes.toDF("a", "n_a"), "a").join(sizes.toDF("b", "n_b"), "b")
+    pairs = _candidates(met).join(sizes.toDF("a", "n_a"), "a").join(sizes.toDF("b", "n_b"), "b")
     links = _confirmed(stored(pairs.filter(_similar("n_a", "n_b", percent)).select("a", "b"), "pairs"), sets, percent)
     if versions:
         links = links.unionByName(_versions(usable))
@@ -324,7 +328,7 @@ def _components(docs: DataFrame, percent: int, crowded: int, turns: int, version
     return sketches, of_class.withColumn("component", F.coalesce("component", "code"))
 
 
-def near_duplicates(docs: DataFrame, *, percent: int = 85, crowded: int = 24, turns: int = 1) -> DataFrame:
+def near_duplicates(docs: DataFrame, *, percent: int = 85, crowded: int = 24, turns: int = 0) -> DataFrame:
     """A row per document: ``n_shingles``, ``component_id`` and ``kept``."""
     sketches, of_class = _components(docs, percent, crowded, turns, True)
     least = of_class.groupBy("component").agg(F.min("doc_id").alias("component_id"))
@@ -340,7 +344,7 @@ def near_duplicates(docs: DataFrame, *, percent: int = 85, crowded: int = 24, tu
     )
 
 
-def representatives(docs: DataFrame, *, percent: int = 85, crowded: int = 24, turns: int = 1) -> DataFrame:
+def representatives(docs: DataFrame, *, percent: int = 85, crowded: int = 24, turns: int = 0) -> DataFrame:
     """``docs`` with one row of each group of near copies, of its smallest id; null ids stay.
 
     Versions of one id are judged apart: one goes only if its own text repeats another. Of rows without words one stays per id.
