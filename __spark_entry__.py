@@ -268,7 +268,7 @@ def _click_rejects(rows: DataFrame) -> DataFrame:
 
 
 def _with_beyond(rows: DataFrame) -> DataFrame:
-    return rows.drop(*CLOCKS).withColumnRenamed(BEYOND, "beyond")
+    return rows.drop(*CLOCKS, "_source_file", "_source_ts").withColumnRenamed(BEYOND, "beyond")
 
 
 def _deleted_sessions(turns: DataFrame) -> DataFrame:

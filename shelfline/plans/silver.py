@@ -70,10 +70,14 @@ def silver_clickstream(bronze: DataFrame, observe_as: str | None = None) -> Data
 
 
 def silver_products(bronze: DataFrame) -> DataFrame:
-    """Newest delivery of each product, with its margin in percent of the price."""
+    """Newest delivery of each product, with its margin in percent of the price.
+
+    Rows that were ingested together are told apart by the time of their files, where bronze keeps it.
+    """
+    clocks = [F.col(c) for c in ("_ingestion_ts", "_source_ts", "_source_file") if c in bronze.columns]
     margin = (F.col("price") - F.col("cost")) / F.nullif("price", F.lit(0)) * 100
     return (
-        newest_per_key(bronze, ["product_id"], [F.col("_ingestion_ts")])
+        newest_per_key(bronze, ["product_id"], clocks)
         .select(
             "product_id",
             F.col("name").alias("product_name"),

@@ -22,7 +22,7 @@ BUCKET, CHANGE = "bucket", "change"
 
 
 class BucketState:
-    def __init__(self, spark: SparkSession, root: str, keys: Sequence[str], buckets: int = 64):
+    def __init__(self, spark: SparkSession, root: str, keys: Sequence[str], buckets: int = 16):
         self.spark = spark
         self.root = root
         self.keys = list(keys)

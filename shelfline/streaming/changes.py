@@ -24,7 +24,7 @@ PART = "newest"
 class ChangeTable:
     """The stored state of one change feed below ``root``. One caller at a time folds: the owner of the table."""
 
-    def __init__(self, spark: SparkSession, root: str, buckets: int = 64):
+    def __init__(self, spark: SparkSession, root: str, buckets: int = 16):
         self.spark = spark
         self.batches = BatchTable(spark, f"{root}/batches")
         self.state = BucketState(spark, f"{root}/state", CHANGE_KEYS, buckets)

@@ -45,7 +45,7 @@ class Feed:
 
 FEEDS = (
     Feed("orders", "csv", "bronze_orders", schemas.ORDERS, provenance=True),
-    Feed("products", "json", "bronze_products", schemas.PRODUCTS),
+    Feed("products", "json", "bronze_products", schemas.PRODUCTS, provenance=True),
     Feed("clickstream", "json", "bronze_clickstream", schemas.CLICKS),
     Feed("customers", "parquet", "bronze_customers_cdc", schemas.CUSTOMER_CHANGES),
 )
