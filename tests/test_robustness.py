@@ -1,6 +1,7 @@
 """Rows and files that break a job or slip through it unseen."""
 
 import datetime as dt
+import hashlib
 import os
 import time
 
@@ -12,6 +13,7 @@ from shelfline.functions import governance
 from shelfline.operators import money, quality
 from shelfline.plans import bi, conversations, serving, silver
 from shelfline.sources import landing, tables
+from shelfline.sources.batches import BatchTable
 from shelfline.streaming import ingest
 
 TURNS = "conv_id long, turn long, role string, content string"
@@ -74,9 +76,10 @@ def test_types_of_a_first_delivery_do_not_bind_later_ones(spark, scratch):
     for number, amount, bonus in ((1, "10", "1"), (2, "10.50", "2.5")):
         land(number, amount, bonus)
         schema = landing.remembered_schema(spark, f"{scratch}/schema", f"{scratch}/in", "csv", declared=declared)
-        rows = ingest.bronze_stream(spark, f"{scratch}/in", "csv", schema)
-        ingest.wait([ingest.append_stream(rows, f"{scratch}/out", f"{scratch}/log")])
-    got = spark.read.parquet(f"{scratch}/out").orderBy("order_id").collect()
+        lines, table = ingest.bronze_stream(spark, f"{scratch}/in", "csv", schema), BatchTable(spark, f"{scratch}/out")
+        write = lambda batch, n: table.write(ingest.csv_records(batch, schema), n)  # noqa: B023, E731
+        ingest.wait([ingest.batch_stream(lines, write, f"{scratch}/log")])
+    got = table.read().orderBy("order_id").collect()
     assert [(r.order_id, r.total_amount, float(r.bonus)) for r in got] == [("01", 10.0, 1.0), ("02", 10.5, 2.5)]
     assert all(r._corrupt_record is None for r in got)
 
@@ -100,6 +103,20 @@ def test_a_copy_with_another_value_has_failed(spark):
     assert (state(source), state(stale)) == ("ONLINE", "FAILED")
 
 
+def test_stale_ranges_name_where_a_copy_differs(spark):
+    source = spark.range(2000).selectExpr("id AS k", "CAST(id AS DOUBLE) + 1 AS v")
+    changed = source.withColumn("v", F.when(F.col("k") == 77, 0.0).otherwise(F.col("v"))).filter("k <> 1234")
+    found = serving.stale_ranges("t", source, changed, ["k"]).collect()
+    assert {r.state for r in found} == {"FAILED"} and len(found) == 2
+    by_range = {hashlib.md5(str(k).encode()).hexdigest()[:2] for k in (77, 1234)}
+    assert {r.range for r in found} == by_range
+    assert sum(r.source_rows - r.copy_rows for r in found) == 1 and sum(r.source_rows for r in found) < 60
+    same = serving.stale_ranges("t", source, source, ["k"]).collect()
+    assert [(r.state, r.range, r.source_rows, r.copy_rows) for r in same] == [("ONLINE", None, 2000, 2000)]
+    none = serving.stale_ranges("t", source.limit(0), source.limit(0), ["k"]).collect()
+    assert [(r.state, r.source_rows) for r in none] == [("ONLINE", 0)]
+
+
 def test_a_file_of_an_old_date_is_read(spark, scratch):
     def run():
         rows = ingest.bronze_stream(spark, f"{scratch}/in", "parquet", spark.range(1).schema)
