@@ -376,6 +376,26 @@ def test_shards_agree_between_runs_and_shuffle(documents, scratch):
     assert order != sorted(order)
 
 
+def test_shards_of_equal_rows_spread(documents, scratch):
+    rows = [(None, "the same text")] * 3000 + [(i, f"t{i}") for i in range(3000)] + [(7, "long " * 40_000)]
+    written = sharding.external_shuffle(documents(rows), scratch, bucket_bytes=8_000)
+    assert written.count() == len(rows)
+    same = written.filter("doc_id IS NULL").groupBy("bucket").count().collect()
+    assert len(same) > 20 and max(r["count"] for r in same) < 600
+    assert {r["count"] for r in written.groupBy("shard").count().collect()} <= {250, 251}
+
+
+def test_shards_move_no_permutation_and_take_a_task_for_each_bucket(documents):
+    docs = documents([(i, f"t{i}") for i in range(400)])
+    placed = sharding.arranged(docs, shards=24, seed=1, bucket_bytes=1000, least_buckets=16)
+    tasks = placed.select("bucket", F.spark_partition_id().alias("task")).distinct().collect()
+    assert all(r.bucket == r.task for r in tasks) and len(tasks) >= 16
+    plan = placed._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin [bucket" in plan and plan.count("shufflepartitionidpassthrough") == 2
+    left, right = plan.split("+- SortMergeJoin [bucket", 1)[1].split("shuffle(sequence", 1)
+    assert "BroadcastExchange" not in right.split("HashAggregate", 1)[0]
+
+
 def test_shards_of_an_empty_table(documents, scratch):
     assert sharding.external_shuffle(documents([]), scratch).count() == 0
 
