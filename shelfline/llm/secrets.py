@@ -51,12 +51,15 @@ BASE_RULES = (
     Rule("access", r"AKIA[A-Z0-9]{16,}"),
     Rule("hex", r"[0-9a-f]{24,}"),
 )
-# A private key runs to its END line: no run of five dashes lies between. Where that line is missing it runs over header
-# lines and the lines of base64, of which the last may be short. Classes, not groups, take the long stretches:
-# Java's search would go one call deeper for each turn of a group.
+# A private key runs to its END line if what lies between is header lines (up to 200; more make no key) and then base64, which
+# begins with an unbroken run of 16 and may be cut into lines by breaks, written-out breaks, quotes, signs that join
+# strings, or signs that start a comment. Where the END line is missing it runs over header lines and the lines of base64, of
+# which the last may be short. In all other cases, as in prose about such keys, the mark itself is the span. Classes, not
+# groups, take the long stretches: Java's search would go one call deeper for each turn of a group.
+_KEY_HEADERS = r"(?:[ \t]*(?:\r?\n|\\r\\n|\\n)[ \t]*[A-Z][A-Za-z-]*:[^\r\n\\]*){0,200}"
 _KEY_BODY = (
-    r"(?:[^-]*(?:-{1,4}[^-]+){0,60}-----END [A-Z ]{0,30}PRIVATE KEY-----"
-    r"|(?:[ \t]*\r?\n[A-Z][A-Za-z-]*:[^\r\n]*){0,8}"
+    rf"(?:{_KEY_HEADERS}[nr\"',;#*>|+\\ \t\r\n]*[A-Za-z0-9+/]{{16,}}[A-Za-z0-9+/=\"',;#*>|\\ \t\r\n]*-----END [A-Z ]{{0,30}}PRIVATE KEY-----"
+    rf"|{_KEY_HEADERS}"
     r"(?:[ \t]*(?:[\r\n]|\\[rn])(?:[A-Za-z0-9+/\\\r\n]*|[\r\n]*[ \t]+[A-Za-z0-9+/\\\r\n \t]*)[A-Za-z0-9+/]{16,}={0,2}"
     r"(?:\r?\n[ \t]*[A-Za-z0-9+/]{1,15}(?:={1,2}|\r?\n))?)?)"
 )
@@ -66,7 +69,7 @@ MORE_RULES = (
     Rule("forge_token", r"gh[pousr]_[A-Za-z0-9]{36,}"),
 )
 RULES = (*BASE_RULES, *MORE_RULES)
-VERSION = "3"
+VERSION = "4"
 SPAN = "struct<start:long,rank:int,end:long>"
 
 
@@ -132,22 +135,16 @@ class Ledger:
         listed = self.spark.read.schema(paths.schema).parquet(f"{self.root}/paths/{step}")
 
         known = self.findings().filter(F.col("rule_version") == version).select("blob")
-        # One path per new address: the struct orders null ids too.
-        new = (
-            listed.join(known, "blob", "left_anti")
-            .groupBy("blob")
-            .agg(F.min(F.struct(F.col("doc_id").isNotNull().alias("some"), "doc_id")).alias("first"))
-            .select(F.col("blob").alias("new_blob"), F.col("first.doc_id").alias("new_id"))
-        )
-        chosen = (F.col("blob") == F.col("new_blob")) & F.col("doc_id").eqNullSafe(F.col("new_id"))
-        # Equal rows share blob and id: one text of each blob is cut. Only texts that hold a match are moved.
+        # Addresses are made distinct within the tasks first, so one that a third of the paths share is spread; both
+        # sides of the join are then unique.
+        new = listed.select("blob").distinct().join(known, "blob", "left_anti")
+        # Only texts that hold a match are moved, one of each address from a task.
         holding = reduce(or_, (F.col("text").rlike(rule.pattern) for rule in rules))
-        texts = addressed.filter(holding).join(new, chosen).select("blob", "text").dropDuplicates(["blob"])
+        texts = addressed.filter(holding).select("blob", "text").dropDuplicates(["blob"]).join(new, "blob", "left_semi")
         spans = find_spans(texts, rules)
         none = F.array().cast(f"array<{SPAN}>")
         scanned = (
-            new.select(F.col("new_blob").alias("blob"))
-            .join(spans, "blob", "left")
+            new.join(spans, "blob", "left")
             .select(F.lit(version).alias("rule_version"), "blob", F.coalesce("spans", none).alias("spans"))
         )
         scanned.write.parquet(f"{self.root}/findings/{step}")
@@ -157,27 +154,29 @@ class Ledger:
         )
 
 
-def merged(spans: Column) -> Column:
-    """Spans as disjoint stretches (start, end), in order."""
-    none = F.array().cast("array<struct<start:long,end:long>>")
-
-    def add(done: Column, span: Column) -> Column:
-        last = F.get(done, F.size(done) - 1)
-        one = F.array(F.struct(span["start"].alias("start"), span["end"].alias("end")))
-        longer = F.array(F.struct(last["start"].alias("start"), F.greatest(last["end"], span["end"]).alias("end")))
-        joins = (F.size(done) > 0) & (span["start"] <= last["end"])
-        return F.when(joins, F.concat(F.slice(done, 1, F.size(done) - 1), longer)).otherwise(F.concat(done, one))
-
-    return F.aggregate(spans, none, add)
+def merged(found: DataFrame) -> DataFrame:
+    """(blob, stretches) of (blob, spans): the spans as disjoint stretches (start, end), in order."""
+    along = Window.partitionBy("blob").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    spans = found.select("blob", F.posexplode("spans").alias("at", "span")).select("blob", "at", "span.*")
+    opens = F.coalesce(F.col("start") > F.max("end").over(along), F.lit(True)).cast("int")
+    counted = Window.partitionBy("blob").orderBy("at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return (
+        spans.withColumn("opens", opens)
+        .withColumn("stretch", F.sum("opens").over(counted))
+        .groupBy("blob", "stretch")
+        .agg(F.min("start").alias("start"), F.max("end").alias("end"))
+        .groupBy("blob")
+        .agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("stretches"))
+    )
 
 
 def redact(docs: DataFrame, ledger: Ledger, mark: str = "[SECRET]") -> DataFrame:
     """``docs`` with every stretch of found secrets replaced by ``mark``; scans what the ledger lacks."""
     docs = without(docs, ("_blob", "_spans"))
-    found = ledger.scan(docs).filter(F.size("spans") > 0).select(F.col("blob").alias("_blob"), "spans")
-    found = found.dropDuplicates(["_blob"]).withColumnRenamed("spans", "_spans")
+    found = ledger.scan(docs).filter(F.size("spans") > 0).select("blob", "spans").dropDuplicates(["blob"])
+    found = merged(found).select(F.col("blob").alias("_blob"), F.col("stretches").alias("_spans"))
     # What stands before each stretch, then the mark; the last piece runs to the end of the text.
-    stretches = merged(F.col("_spans"))
+    stretches = F.col("_spans")
     ends = F.concat(F.array(F.lit(0).cast("long")), F.transform(stretches, lambda s: s["end"]))
     begins = F.concat(
         F.transform(stretches, lambda s: s["start"]), F.array(F.char_length("text").cast("long"))

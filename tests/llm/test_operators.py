@@ -516,6 +516,11 @@ def test_redaction_of_whole_private_keys(documents, spark, scratch):
         (7, f"a {begin}\n{body}\n{begin}\n{body}\n{end} b"),
         (8, f"a {begin} is how a key starts - nothing more"),
         (9, f"{begin}\n" + "well-known words " * 20_000),
+        (10, f"A key starts with {begin} and ends, " + "after its lines, " * 600 + f"with {end}."),
+        (11, f"a {begin}\n" + "".join(f"X-Header-{chr(65 + i)}: some-value\n" for i in range(20)) + f"\n{body}\n{end} b"),
+        (12, f"k = '{begin}\\n'\n  + '" + body.replace("\n", "\\n'\n  + '") + f"\\n'\n  + '{end}' b"),
+        (13, f"{begin} {lines[0]} {lines[1]} {end} b"),
+        (14, " ".join(f"token=abcdef{i}" for i in range(4_000))),
     ]
     got = {r.doc_id: r.text for r in secrets.redact(documents(rows), secrets.Ledger(spark, scratch)).collect()}
     assert got == {
@@ -528,4 +533,9 @@ def test_redaction_of_whole_private_keys(documents, spark, scratch):
         7: "a [SECRET]\n[SECRET] b",
         8: "a [SECRET] is how a key starts - nothing more",
         9: "[SECRET]\n" + "well-known words " * 20_000,
+        10: "A key starts with [SECRET] and ends, " + "after its lines, " * 600 + f"with {end}.",
+        11: "a [SECRET] b",
+        12: "k = '[SECRET]' b",
+        13: "[SECRET] b",
+        14: " ".join(["[SECRET]"] * 4_000),
     }
