@@ -2,14 +2,17 @@
 
 Words are runs of letters and digits in lower case, shingles five words (the whole notice where a template is
 shorter). A template of n shingles is sought in windows of two strides, the stride being n or the next number
-that blocks divide, so a notice that stands in a text unbroken lies inside some window. The
-signature of a window has one minimum per band (rows of one: a band that agrees shares a shingle). The number of
-bands follows from the least similarity that a window of containment 0.8 can have: the chance that all bands
-differ is below ``MISS``. Windows that agree with a template in a band are candidates; a candidate counts where at
-least 80 percent of the template's distinct shingles stand in the window.
-
-A text without any of the ``anchors``, long words of which every window that counts holds one, cannot hold a
-notice; it is passed over before its words are cut. Minima are taken over blocks of ``BLOCK`` shingles once; those of longer blocks and of windows are minima of minima.
+that blocks divide. A notice counts where at least 80 percent of the template's distinct shingles stand in an area of three
+strides in a row: an unbroken notice lies inside some area, and so does one that is parted by a foreign passage of up to a
+stride less some words. An area is two overlapping windows, one of which holds half of what the area holds: at least 40 percent.
+The signature of a window has one minimum per band (rows of one: a band that agrees shares a shingle), each of a hash with
+a seed of its own. The number of bands follows from the least similarity of a window with 40 percent: the chance that all bands
+differ is below ``MISS``. Windows that agree with a template in a band are candidates; the two areas that
+a candidate is part of are verified on their shingles.
+
+A text without any of the ``anchors``, long words of which every area that counts holds one, cannot hold a
+notice; it is passed over before its words are cut. Minima are taken over blocks of
+``BLOCK`` shingles once; those of longer blocks and of windows are minima of minima.
 Everything happens inside a document's row, with built-in functions; only rows with a candidate go on, and only
 findings are shuffled.
 
@@ -59,13 +62,17 @@ class Template:
     def window(self) -> int:
         return 1 if self.stride == 1 else 2 * self.stride
 
+    @property
+    def area(self) -> int:
+        return 1 if self.stride == 1 else 3 * self.stride
+
     @property
     def bands(self) -> int:
-        """Enough for a window with the least containment that counts to agree in some band."""
+        """Enough for the better window of an area with the least containment that counts to agree in some band."""
         if self.window == 1:
             return 1
         n = len(self.shingles)
-        shared = math.ceil(CONTAINMENT * n)
+        shared = math.ceil(math.ceil(CONTAINMENT * n) / 2)
         least = shared / (self.window + n - shared)
         return math.ceil(math.log(MISS) / math.log(1 - least))
 
@@ -77,7 +84,7 @@ def templates(notices: dict[str, tuple[str, str]] = NOTICES) -> list[Template]:
 
 
 def anchors(known: list[Template]) -> list[str]:
-    """Long words, of which every window that counts holds one.
+    """Long words, of which every area that counts holds one.
 
     Containment leaves out at most n - ceil(0.8 n) of a template's n shingles, so one of any larger number of them
     is there; the words of a template's list stand in so many of its shingles.
@@ -94,30 +101,28 @@ def anchors(known: list[Template]) -> list[str]:
     return sorted(w for w in chosen if not any(other != w and other in w for other in chosen))
 
 
-def _hashed(spark: SparkSession, known: list[Template]) -> dict[str, list[int]]:
-    """Spark's own hashes of the templates' shingles."""
+def _hashed(spark: SparkSession, known: list[Template], bands: int) -> tuple[dict[str, list[int]], dict[str, list[int]]]:
+    """Spark's own hashes of the templates' shingles, and their least in each band."""
     rows = [(t.name, list(s)) for t in known for s in t.shingles]
     found: dict[str, list[int]] = {t.name: [] for t in known}
     df = spark.createDataFrame(rows, "name string, words array<string>")
     by_width = F.when(F.size("words") == SHINGLE, _shingle_hash(F.col("words"), F.lit(0), SHINGLE))
     for width in {t.width for t in known} - {SHINGLE}:
         by_width = by_width.when(F.size("words") == width, _shingle_hash(F.col("words"), F.lit(0), width))
-    for name, value in df.select("name", by_width).collect():
+    least: dict[str, list[int]] = {}
+    for name, value, banded in df.select("name", by_width.alias("h")).select("name", "h", _banded(F.col("h"), bands)).collect():
         found[name].append(value)
-    return found
+        least[name] = [min(pair) for pair in zip(least.get(name, banded), banded)]
+    return found, least
 
 
-def _shingle_hash(words: Column, start: Column, width: int) -> Column:
-    return F.xxhash64(*[F.get(words, start + place) for place in range(width)])
+def _banded(value: Column, bands: int) -> Column:
+    """The value's hash in each band, a function of its own for every seed."""
+    return F.transform(_upto(F.lit(bands)), lambda seed: F.xxhash64(value, seed))
 
 
-def _seeds(count: int) -> list[int]:
-    """Fixed 63-bit numbers, one per band."""
-    state, found = 0x9E3779B97F4A7C15, []
-    for _ in range(count):
-        state = (state * 6364136223846793005 + 1442695040888963407) % (1 << 64)
-        found.append(state >> 1)
-    return found
+def _shingle_hash(words: Column, start: Column, width: int) -> Column:
+    return F.xxhash64(*[F.get(words, start + place) for place in range(width)])
 
 
 def _least(a: Column, b: Column) -> Column:
@@ -141,7 +146,9 @@ def _upto(count: Column) -> Column:
 def scan(docs: DataFrame, known: list[Template] | None = None) -> DataFrame:
     """(doc_id, template, license, containment) of the notices found."""
     known = templates() if known is None else known
-    hashes = _hashed(docs.sparkSession, known)
+    long = [t for t in known if t.window > 1 and t.width == SHINGLE]
+    bands = max((t.bands for t in long), default=0)
+    hashes, least = _hashed(docs.sparkSession, known, bands)
     lowered = docs.select(F.col("doc_id").cast("long"), F.lower(F.col("text").cast("string")).alias("text"))
     words = F.filter(F.split("text", _BREAK), lambda w: w != "")
     rows = lowered.filter(F.col("text").rlike("|".join(anchors(known)))).select("doc_id", words.alias("words"))
@@ -150,15 +157,14 @@ def scan(docs: DataFrame, known: list[Template] | None = None) -> DataFrame:
         rows = rows.withColumn(f"h{width}", F.transform(starts, lambda s: _shingle_hash(F.col("words"), s, width)))
     rows = rows.drop("words")
 
-    long = [t for t in known if t.window > 1 and t.width == SHINGLE]
-    bands = max((t.bands for t in long), default=0)
-    seeds = F.array(*[F.lit(seed) for seed in _seeds(bands)]) if bands else F.array().cast("array<bigint>")
     h, h_col = f"h{SHINGLE}", F.col(f"h{SHINGLE}")
     blocks = F.transform(
         _upto(F.ceil(F.size(h) / BLOCK).cast("int")),
         lambda k: F.transform(
             F.array(F.slice(h_col, k * BLOCK + 1, BLOCK)),
-            lambda block: F.transform(seeds, lambda s: F.array_min(F.transform(block, lambda x: x.bitwiseXOR(s)))),
+            lambda block: F.transform(
+                _upto(F.lit(bands)), lambda seed: F.array_min(F.transform(block, lambda x: F.xxhash64(x, seed)))
+            ),
         )[0],
     )
     rows = rows.withColumn(f"b{BLOCK}", blocks)
@@ -181,7 +187,7 @@ def scan(docs: DataFrame, known: list[Template] | None = None) -> DataFrame:
             values = [v for t in own for v in hashes[t.name]]
             hit = _single_hits(f"h{width}", values)
         else:
-            hit = _band_hits(f"b{stride}", [min(v ^ s for v in hashes[t.name]) for t in own for s in _seeds(bands)])
+            hit = _band_hits(f"b{stride}", [v for t in own for v in least[t.name]])
         candidates.append(hit.alias(name))
     found = rows.select(*kept, *candidates)
     # Verified in the row itself. An outer explode infers no filter that would compute all of this twice.
@@ -204,11 +210,14 @@ def scan(docs: DataFrame, known: list[Template] | None = None) -> DataFrame:
 
 
 def _containment(t: Template, column: Column, values: list[int]):
-    """What share of the template's shingles stands in the window that begins with block ``k``."""
+    """The larger share of the template's shingles in the areas that window ``k`` begins and ends."""
     wanted = F.array(*[F.lit(v) for v in values])
 
+    def held(first: Column) -> Column:
+        return F.size(F.array_intersect(wanted, F.slice(column, first * t.stride + 1, t.area)))
+
     def of(k: Column) -> Column:
-        common = F.size(F.array_intersect(wanted, F.slice(column, k * t.stride + 1, t.window)))
+        common = held(k) if t.window == 1 else F.greatest(held(k), held(F.greatest(k - 1, F.lit(0))))
         return F.struct(F.lit(t.name).alias("template"), (common / F.lit(float(len(values)))).alias("containment"))
 
     return of

@@ -8,10 +8,10 @@ _WORD = r"[^\x20\x09-\x0D]+"
 
 
 def op1() -> str:
-    """Every window of the grid against every template by its shingles; no hashing, no bands."""
+    """Every area of the grid against every template by its shingles; no hashing, no bands."""
     known = licenses.templates()
     rows = ", ".join(
-        f"('{t.name}', '{t.license}', {t.width}, {t.stride}, {t.window}, {len(t.shingles)}, '{' '.join(s)}')"
+        f"('{t.name}', '{t.license}', {t.width}, {t.stride}, {t.area}, {len(t.shingles)}, '{' '.join(s)}')"
         for t in known
         for s in t.shingles
     )
@@ -30,10 +30,11 @@ def op1() -> str:
       ON t.width = s.width AND t.shingle = array_to_string(s.w[s.p + 1 : s.p + s.width], ' ')),
     windows AS (
       SELECT *, p // stride AS k FROM hits
-      UNION ALL SELECT *, p // stride - 1 AS k FROM hits WHERE span > stride),
+      UNION ALL SELECT *, p // stride - 1 AS k FROM hits WHERE span > stride
+      UNION ALL SELECT *, p // stride - 2 AS k FROM hits WHERE span > stride),
     counted AS (
       SELECT r, doc_id, name, license, k, count(DISTINCT shingle) / n::DOUBLE AS share FROM windows
-      WHERE k >= 0 AND k < CASE WHEN span > stride THEN greatest(ceil(m / stride)::BIGINT - 1, 1) ELSE m END
+      WHERE k >= 0 AND k < CASE WHEN span > stride THEN greatest(ceil(m / stride)::BIGINT - 2, 1) ELSE m END
       GROUP BY r, doc_id, name, license, k, n)
     SELECT doc_id, name AS template, license, max(share) AS containment FROM counted
     WHERE share >= {licenses.CONTAINMENT} GROUP BY doc_id, name, license"""
