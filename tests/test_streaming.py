@@ -277,6 +277,19 @@ def test_every_csv_file_has_a_header_of_its_own(spark, scratch):
     assert got.filter("order_id LIKE '%z' AND ship_country IS NULL").count() == 5
 
 
+def test_csv_lines_are_not_shuffled_to_meet_their_header(spark, scratch, settings):
+    settings(spark__sql__autoBroadcastJoinThreshold="-1")
+    schema = StructType.fromDDL("a string, b int, t timestamp")
+    spark.createDataFrame([("b,x,a,x",), ("1,u,p,w",), ("a,b",), ("2",), (",,,",)], "value string").coalesce(1).write.text(scratch)
+    lines = spark.read.text(scratch).select("value", F.col("_metadata.file_path").alias("_source_file"))
+    read = ingest.csv_records(lines, schema)
+    plan = plan_of(read)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    found = sorted((r.a or "", r.b or 0, r._corrupt_record or "", r._beyond or "") for r in read.collect())
+    # "a,b" names two of three columns as well; the longer header counts.
+    assert found == [("", 0, "", ""), ("", 2, "2", ""), ("p", 1, "", '{"x":"u"}')]
+
+
 def test_a_csv_file_without_header_has_the_declared_order(spark, scratch):
     spark.createDataFrame([("1,2.5",), ("2,",), ("",)], "t string").coalesce(1).write.text(f"{scratch}/in")
     got = read_csv(spark, f"{scratch}/in", StructType.fromDDL("id int, amount double"), scratch)
