@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from shelfline import samples, schemas
-from shelfline.operators import quality
+from shelfline.operators import dates, quality
 from shelfline.operators.quality import ORDER_CHECKS
 from shelfline.plans import bi, gold, silver
 from shelfline.sources import generate as gen
@@ -324,6 +324,17 @@ def test_times_in_later_spellings_are_times(spark, scratch):
     assert {(r.order_day, r.order_count) for r in daily.collect()} == {(dt.date(2024, 5, 3), 6), (None, 1)}
 
 
+def test_no_time_is_lost_by_trying_only_spellings_whose_marks_are_there(spark):
+    texts = ["2024-05-03", "2024-05-03T10:20:30", "2024/05/03", "2024/05/03 10:20:30", "03.05.2024 10:20", "3 May 2024", "3 may 2024 10:20"]
+    texts += ["May 3, 2024", "MAY 3, 2024 10:20:30", "05/03/2024 10:20", "20240503", "20240503 102030", "+20240503", "12:30", "1.5", "2024", " "]
+    rows = spark.createDataFrame([(text,) for text in [*texts, "a/b.c, d", "99/99/2024", "31.02.2024", None]], "t string")
+    plain = F.trim("t")
+    iso = F.when(~plain.rlike(r"^\d{5,}"), plain.try_cast("timestamp"))
+    all_tried = F.coalesce(iso, *[F.try_to_timestamp(plain, F.lit(spelling)) for spelling in dates.SPELLINGS])
+    read = rows.select("t", dates.read_time(F.col("t")).alias("got"), all_tried.alias("wanted"))
+    assert read.filter("NOT (got <=> wanted)").collect() == [] and read.filter("got IS NOT NULL").count() >= 12
+
+
 def test_records_that_do_not_fit_keep_their_text(spark, scratch):
     spark.createDataFrame([("id,amount\n1,2.5\n2,oops\n3,4.5,extra",)], "t string").coalesce(1).write.text(f"{scratch}/csv")
     spark.createDataFrame([('{"id": 1}',), ('{"id": "x"}',), ("{broken",)], "t string").write.text(f"{scratch}/json")
