@@ -11,7 +11,7 @@ A tree is the order of all classes sorted by their signatures: the further two b
    classes are in one component are done. Where a region still holds more than ``crowded`` components it is parted by one
    more value, and so on as far as it is so dense: the depth is found region by region, down to ``DEPTH``.
 3. Members that are not in the component of their region's pivot are compared with every member of the region that is in
-   another component, so within regions nothing is left out. Before that, ``turns`` may compare them with pivots drawn
+   another component, so within regions nothing is left out: in small regions as listed pairs, in larger ones inside one join. Before that, ``turns`` may compare them with pivots drawn
    anew, which spares work where a region holds many components of one group of copies.
 
 Two texts of Jaccard similarity 0.85 share no region of depth 3 with probability 2.4e-7 (at 0.8 1e-5), of depth 6 with
@@ -40,6 +40,8 @@ from shelfline.llm.components import components
 
 SHINGLE = 5
 TREES, FIRST, DEPTH = 16, 3, 6
+_PAIRED = 4  # members of a region up to which its pairs are listed
+_MARKS = 1 << 24  # bits that keys are marked in
 _VALUE = 2  # bytes of a minimum that a signature keeps
 _CODE = "xxhash64(n, key_a, key_b) AS code"
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -207,10 +209,23 @@ def _regions(orders: DataFrame, met: DataFrame, parts: DataFrame, crowded: int)
     return found
 
 
+def _marked(rows: DataFrame, keys: list[str], wanted: DataFrame) -> DataFrame:
+    """``rows`` with ``_mark``: false where their keys are surely not in ``wanted``, so that such rows need no join.
+
+    The marks are bits at hashes of the keys, in at most ``_MARKS`` / 64 rows, which every task gets.
+    """
+    at = F.pmod(F.xxhash64(*keys), F.lit(_MARKS))
+    word, bit = F.floor(at / 64).cast("int"), F.call_function("shiftleft", F.lit(1).cast("long"), (at % 64).cast("int"))
+    marks = wanted.groupBy(word.alias("_word")).agg(F.bit_or(bit).alias("_bits"))
+    found = rows.withColumn("_word", word).join(F.broadcast(marks), "_word", "left")
+    return found.withColumn("_mark", F.coalesce(F.col("_bits").bitwiseAND(bit) != 0, F.lit(False))).drop("_word", "_bits")
+
+
 def _class_sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame) -> DataFrame:
     """(code, n, shingles) of the classes in ``wanted`` (code)."""
-    ids = classes.join(wanted, "code", "left_semi").select("doc_id").distinct()
-    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(ids, "doc_id", "left_semi")
+    ids = stored(classes.join(wanted, "code", "left_semi").select("doc_id").distinct(), "wanted-ids")
+    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    texts = _marked(texts, ["doc_id"], ids).filter("_mark").drop("_mark").join(ids, "doc_id", "left_semi")
     # An id may name several versions, and a version may stand there twice.
     return _sets(texts).join(wanted, "code", "left_semi").dropDuplicates(["code"])
 
@@ -283,6 +298,27 @@ def _across(placed: DataFrame, odd: DataFrame, sets: DataFrame, percent: int) ->
     return found.select(*_ordered("code", "c")).distinct()
 
 
+def _links(placed: DataFrame, odd: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links of each odd member with members of its regions that are in another component.
+
+    In small regions the pairs are listed, each once for all trees, and only then meet their sets: there are at most
+    ``_PAIRED`` times as many as members. In larger ones the sets are sent to the regions.
+    """
+    sizes = placed.groupBy("region").agg(F.count("*").alias("members"))
+    few = sizes.filter(F.col("members") <= _PAIRED).select("region")
+    left = odd.join(few, "region", "left_semi").select(
+        "region", F.col("code").alias("c"), F.col("n").alias("m"), F.col("own").alias("at")
+    )
+    pairs = placed.join(left, "region").filter((F.col("own") != F.col("at")) & _similar("n", "m", percent))
+    listed = stored(pairs.select(*_ordered("code", "c")).distinct(), "listed")
+    links = _confirmed(listed, sets, percent)
+    crowded = sizes.filter(F.col("members") > _PAIRED).select("region")
+    rest = stored(placed.join(crowded, "region", "left_semi"), "large-regions")
+    if not rest.head(1):
+        return links
+    return links.unionByName(_across(rest, odd.join(crowded, "region", "left_semi"), sets, percent))
+
+
 def _versions(usable: DataFrame) -> DataFrame:
     """Links between the classes of one id."""
     seen = usable.select("doc_id", "code").distinct()
@@ -319,7 +355,7 @@ def _components(docs: DataFrame, percent: int, crowded: int, turns: int, version
         if not odd.head(1):
             break
         if turn == turns:
-            found = _merged(found, _across(placed, odd, sets, percent))
+            found = _merged(found, _links(placed, odd, sets, percent))
             break
         close = odd.filter(_similar("n", "pivot_n", percent)).select(*_ordered("code", "pivot")).distinct()
         found = _merged(found, _confirmed(stored(close, "more-pairs"), sets, percent))
@@ -360,9 +396,12 @@ def representatives(docs: DataFrame, *, percent: int = 85, crowded: int = 24, tu
     kept = one.filter("n = 0").unionByName(one.filter("n > 0").join(first, ["doc_id", "code"], "left_semi"))
     judged = rows.join(kept.select("doc_id", "code", "text_key", F.lit(True).alias("kept")), ["doc_id", "code", "text_key"], "left")
     judged = stored(judged.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), "times", "kept"), "judged")
-    keyed = without(docs, ("_id", "_key")).withColumns({"_id": F.col("doc_id").cast("long"), "_key": _text_key()})
+    keyed = without(docs, ("_id", "_key", "_mark", "_word", "_bits")).withColumns({"_id": F.col("doc_id").cast("long"), "_key": _text_key()})
     other = judged.filter("kept IS NULL OR times > 1").select("_id", "_key")
     repeated = judged.filter("kept AND times > 1").select("_id", "_key")
-    alone = keyed.join(other, ["_id", "_key"], "left_anti")
-    again = keyed.join(repeated, ["_id", "_key"], "left_semi").dropDuplicates(["_id", "_key"])
-    return alone.unionByName(again).drop("_id", "_key")
+    # Most texts are in no such row and stay where they are.
+    keyed = _marked(keyed, ["_id", "_key"], other)
+    sure, unsure = keyed.filter("NOT _mark"), keyed.filter("_mark")
+    alone = unsure.join(other, ["_id", "_key"], "left_anti")
+    again = unsure.join(repeated, ["_id", "_key"], "left_semi").dropDuplicates(["_id", "_key"])
+    return sure.unionByName(alone).unionByName(again).drop("_id", "_key", "_mark")

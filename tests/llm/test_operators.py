@@ -185,6 +185,40 @@ def test_texts_of_one_dense_region_lose_no_link(documents):
         assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute_components(texts)
 
 
+def test_rows_that_are_surely_not_wanted_meet_no_join(spark):
+    rows = spark.range(20_000).selectExpr("id AS doc_id", "'x' AS text")
+    wanted = rows.filter("doc_id % 100 = 7").select("doc_id")
+    marked = near_dedup._marked(rows, ["doc_id"], wanted).groupBy("doc_id").agg(F.max("_mark").alias("m")).collect()
+    assert len(marked) == 20_000 and all(r.m for r in marked if r.doc_id % 100 == 7)
+    assert sum(r.m for r in marked) < 250
+    nulls = spark.createDataFrame([(None,), (3,)], "doc_id long")
+    assert {r.doc_id: r._mark for r in near_dedup._marked(nulls, ["doc_id"], wanted.filter("false")).collect()} == {None: False, 3: False}
+
+
+@pytest.mark.parametrize("listed", [0, 3, 1000])
+def test_links_are_the_same_from_listed_pairs_and_from_regions(spark, monkeypatch, listed):
+    """Regions of two to five members, each of its own component but one; some pairs share several regions."""
+    draw = random.Random(9)
+    base = [draw.randrange(1 << 60) for _ in range(60)]
+    own = {c: sorted({*base[: 60 - c % 4], c + 1, *([] if c % 5 else [10_000 + c * 31 + i for i in range(25)])}) for c in range(20)}
+    of_region = {r: sorted(draw.sample(sorted(own), 2 + r % 4)) for r in range(30)}
+    component = {c: 0 if c in (0, 1) else c for c in own}
+    rows = [(r, c, len(own[c]), component[c]) for r, codes in of_region.items() for c in codes]
+    placed = spark.createDataFrame(rows, "region long, code long, n long, own long")
+    sets = spark.createDataFrame([(c, len(s), s) for c, s in own.items()], "code long, n long, shingles array<long>")
+    monkeypatch.setattr(near_dedup, "_PAIRED", listed)
+    odd = near_dedup._far_from_pivot(placed, 0)
+    got = {(r.a, r.b) for r in near_dedup._links(placed, odd, sets, 85).collect()}
+    far = {(r.region, r.code) for r in odd.collect()}
+    want = set()
+    for r, codes in of_region.items():
+        for a, b in ((a, b) for a in codes for b in codes if a < b and component[a] != component[b]):
+            common = len(set(own[a]) & set(own[b]))
+            if ((r, a) in far or (r, b) in far) and 100 * common >= 85 * (len(own[a]) + len(own[b]) - common):
+                want.add((a, b))
+    assert got == want and want
+
+
 def test_components_of_long_paths(spark):
     links = [(i, i + 1) for i in range(200)] + [(1000, x) for x in range(1001, 1100)] + [(5, 5)]
     got = {r.node: r.component for r in components.components(spark.createDataFrame(links, "a long, b long")).collect()}
