@@ -290,6 +290,14 @@ def test_csv_lines_are_not_shuffled_to_meet_their_header(spark, scratch, setting
     assert found == [("", 0, "", ""), ("", 2, "2", ""), ("p", 1, "", '{"x":"u"}')]
 
 
+def test_csv_headers_are_looked_for_once(spark, scratch):
+    spark.createDataFrame([("b,a",), ("1,u",)], "value string").coalesce(1).write.text(scratch)
+    lines = spark.read.text(scratch).select("value", F.col("_metadata.file_path").alias("_source_file"))
+    read = ingest.csv_records(lines, StructType.fromDDL("a string, b int"))
+    assert plan_of(read).count("Scan text") == 1  # what cuts the lines does not look for the headers again
+    assert [(r.a, r.b) for r in read.collect()] == [("u", 1)]
+
+
 def test_a_csv_file_without_header_has_the_declared_order(spark, scratch):
     spark.createDataFrame([("1,2.5",), ("2,",), ("",)], "t string").coalesce(1).write.text(f"{scratch}/in")
     got = read_csv(spark, f"{scratch}/in", StructType.fromDDL("id int, amount double"), scratch)
@@ -348,6 +356,22 @@ def test_records_that_do_not_fit_keep_their_text(spark, scratch):
     assert {r[0] for r in got.filter("_corrupt_record IS NOT NULL").select("_corrupt_record").collect()} == {'{"id": "x"}', "{broken"}
 
 
+def test_lines_added_up_once_are_the_parts_that_orders_and_sessions_are_reduced_to(spark):
+    day = dt.datetime(2024, 5, 6, 7, 8, 9)
+    rows = [("p1", "o1", "c1", 2, 10.5, "returned", day), ("p1", "o1", "c1", None, None, "completed", day), (None, "o2", "c1", None, 0.1, None, None)]
+    rows += [("p2", None, None, 3, 1 / 3, "pending", None), ("p2", None, None, 3, 1 / 3, "pending", day), ("p1", "o1", "c1", 2, 10.5, "returned", day)]
+    names = "product_id string, order_id string, customer_id string, quantity int, total_amount double, status string, order_date timestamp"
+    orders = spark.createDataFrame(rows, names)
+    added, reduced = gold.added_product_orders(gold.product_lines(orders)), gold.product_orders(orders)
+    assert added.dtypes == reduced.dtypes and same(added, reduced)
+    added, reduced = gold.added_customer_orders(gold.customer_lines(orders)), gold.customer_orders(orders)
+    assert added.dtypes == reduced.dtypes and same(added, reduced)
+    seen = [("s1", "c1", "add_to_cart", day), ("s1", "c1", None, None), ("s1", None, "purchase", day), (None, None, "search", None)]
+    clicks = spark.createDataFrame(seen, "session_id string, customer_id string, event_type string, event_ts timestamp")
+    added, reduced = gold.merged_sessions(gold.session_clicks(clicks)), gold.session_parts(clicks)
+    assert added.dtypes == reduced.dtypes and same(added, reduced)
+
+
 def test_one_new_click_file_reads_and_writes_only_the_buckets_of_its_sessions(spark, scratch):
     store = refresh.Store(spark, scratch, "g000001")
     clicks = gen.clicks(gen.ids(spark, N), N, END, 40, 20, 50).withColumn("_ingestion_ts", F.current_timestamp())
