@@ -27,3 +27,19 @@ def test_a_local_session_may_use_its_own():
     spark = session("local[2]")
     first, second = shared_dir(spark, "a"), shared_dir(spark, "b")
     assert first.rsplit("/", 1)[0] == second.rsplit("/", 1)[0]
+
+
+def test_shuffle_files_are_gone_when_a_stored_table_is_written(spark, tmp_path, settings):
+    from shelfline import samples
+    from shelfline.session import SHUFFLE_CLEANUP, clean_up_shuffles
+    from shelfline.streaming import refresh
+
+    settings(**{SHUFFLE_CLEANUP.replace(".", "__"): "false"})
+    clean_up_shuffles(spark)
+    assert spark.conf.get(SHUFFLE_CLEANUP) == "false"  # what the session says stays
+    spark.conf.unset(SHUFFLE_CLEANUP)
+    samples.land_sample_feeds(spark, f"{tmp_path}/in", 20, 10, 100, 100, 20)
+    known = spark._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker().shuffleStatuses()
+    before = known.size()
+    refresh.refresh(spark, f"{tmp_path}/in", f"{tmp_path}/out")
+    assert known.size() <= before and spark.conf.get(SHUFFLE_CLEANUP) == "true"
