@@ -418,6 +418,33 @@ def test_orders_that_are_delivered_again_are_counted_once(spark, scratch):
     assert gold.described_products(sold, products).agg(F.sum("orders_count")).head()[0] == 200
 
 
+def test_text_lands_compressed_in_files_of_bounded_length(spark, scratch, monkeypatch):
+    rows = spark.range(250, numPartitions=1).selectExpr("id", "concat('x, ', id) AS name")
+    monkeypatch.setitem(landing.TEXT_FILES, "maxRecordsPerFile", "100")
+    landing.write_csv(rows, f"{scratch}/csv")
+    landing.write_json(rows, f"{scratch}/json")
+    for fmt, ending in (("csv", ".csv.gz"), ("json", ".json.gz")):
+        found = spark.read.options(**landing.READ_OPTIONS[fmt]).schema("id bigint, name string").format(fmt).load(f"{scratch}/{fmt}")
+        assert len(found.inputFiles()) == 3 and all(path.endswith(ending) for path in found.inputFiles())
+        assert same(found, rows)
+
+
+def test_replaced_buckets_that_no_reader_takes_are_deleted(spark, scratch):
+    store = refresh.Store(spark, scratch, "g000001")
+    orders = silver.silver_orders(gen.orders(gen.ids(spark, 200), 200, END, 40, 20).withColumn("_ingestion_ts", F.current_timestamp()))
+    table = store.batches("silver_orders")
+    for number, part in enumerate(("order_id <= 'O0000120'", "order_id > 'O0000100'", "order_id = 'O0000007'")):
+        table.write(orders.filter(part), number)
+        refresh.refresh_product_totals(store)
+        state = store.state("gold_top_products")
+        for part in ("orders", "totals"):
+            data = f"{state.root}/data/{part}"
+            buckets = [f"{data}/{c}/{b}" for c in tables.folders(spark, data) for b in tables.folders(spark, f"{data}/{c}")]
+            assert sorted(buckets) == sorted(state.paths(part))
+        assert len(tables.versions(spark, f"{state.root}/manifests")) == 1
+    assert state.read("orders").agg(F.sum("lines")).head()[0] == 200 + 20 + 1
+
+
 def test_declared_schemas_give_the_same_tables(spark, one_delivery, scratch):
     folder, _, whole = one_delivery
     store = refresh.refresh(spark, folder, scratch, TODAY, infer=False)
