@@ -445,6 +445,31 @@ def test_replaced_buckets_that_no_reader_takes_are_deleted(spark, scratch):
     assert state.read("orders").agg(F.sum("lines")).head()[0] == 200 + 20 + 1
 
 
+def test_generations_are_compared_row_by_row_only_in_parts_that_differ(spark, monkeypatch):
+    class Generation:
+        def __init__(self, rows):
+            self.rows = rows
+
+        def read(self, name):
+            return self.rows
+
+    monkeypatch.setattr(refresh, "QUALITY", {"t": "silver"})
+    rows = spark.range(20_000, numPartitions=4).selectExpr("id", "if(id % 5 = 0, NULL, id % 7) AS v", "id AS _ingestion_ts")
+    one = rows.limit(1).selectExpr("-1L AS id", "NULL AS v", "0L AS _ingestion_ts")
+    twice = rows.filter("id IN (3, 4)")
+    for left, right, wanted in (
+        (rows, rows.withColumn("_ingestion_ts", F.lit(0)), (0, 0)),
+        (rows.unionByName(one), rows, (1, 0)),
+        (rows.unionByName(twice), rows.unionByName(twice).unionByName(twice).unionByName(one), (0, 3)),
+        (rows.filter("id <> 7"), rows.filter("id <> 8"), (1, 1)),
+        (rows.limit(0), rows, (0, 20_000)),
+    ):
+        found = refresh.generation_difference(Generation(left), Generation(right))
+        assert [tuple(r) for r in found.collect()] == [("t", *wanted)]
+        parts = refresh.unlike_parts(refresh._sides(Generation(left), Generation(right), "t", ()))
+        assert parts.count() <= sum(wanted) and (parts.count() == 0) == (wanted == (0, 0))
+
+
 def test_declared_schemas_give_the_same_tables(spark, one_delivery, scratch):
     folder, _, whole = one_delivery
     store = refresh.refresh(spark, folder, scratch, TODAY, infer=False)
